@@ -1,8 +1,8 @@
 """Communities of a weighted undirected graph by modularity (Blondel et al. 2008).
 
 Nodes move to the neighbouring community of highest modularity gain, in rounds;
-when no round helps any more, communities become the nodes of a smaller graph
-and the rounds start again. Each round is a handful of joins and grouped sums;
+when rounds stop helping, communities become the nodes of a smaller graph and
+the rounds start again. Each round is a handful of joins and grouped sums;
 the driver sees one number per round, the modularity.
 """
 
@@ -39,39 +39,35 @@ def _modularity(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
     return per_community.agg(F.sum(share).alias("modularity"))
 
 
-def _move(adjacency: DataFrame, communities: DataFrame, turn: int) -> DataFrame:
-    """One round: a seeded half of the nodes may move, so that neighbours seldom swap."""
-    two_m = adjacency.agg(F.sum("w")).scalar()
-    strength = adjacency.groupBy("node").agg(F.sum("w").alias("k"))
-    state = communities.join(strength, "node")
-    total = state.groupBy("community").agg(F.sum("k").alias("tot"))
-    far = communities.select(F.col("node").alias("other"), F.col("community").alias("target"))
+def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> DataFrame:
+    """One round over (node, community, k), k being the node's summed weight.
+
+    Seven of eight nodes may move, another choice each turn, and a lone node
+    joins another lone node only towards the lower name: neighbours that would
+    otherwise swap places for ever come to rest.
+    """
+    total = state.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))
     links = (
         adjacency.filter(F.col("node") != F.col("other"))
-        .join(far, "other")
+        .join(state.select(F.col("node").alias("other"), F.col("community").alias("target")), "other")
         .groupBy("node", "target")
         .agg(F.sum("w").alias("links"))
     )
-    # Staying is an option as well, also for a node without a link into its community.
-    options = (
-        links.unionByName(state.select("node", F.col("community").alias("target"), F.lit(0.0).alias("links")))
-        .groupBy("node", "target")
-        .agg(F.sum("links").alias("links"))
-        .join(total.withColumnRenamed("community", "target"), "target")
-        .join(state, "node")
-    )
+    own = total.select("community", F.col("tot").alias("own_tot"), F.col("size").alias("own_size"))
+    there = total.select(F.col("community").alias("target"), "tot", "size")
+    options = state.join(own, "community").join(links.join(there, "target"), "node", "left")
     here = F.col("target") == F.col("community")
-    rest = F.col("tot") - F.when(here, F.col("k")).otherwise(0.0)
-    value = F.col("links") - F.col("k") * rest / two_m
-    scored = options.select("node", "community", "target", value.alias("value"), here.alias("here"))
-    best = scored.groupBy("node", "community").agg(
-        F.max(F.when(F.col("here"), F.col("value"))).alias("stay"),
-        F.min(F.struct((-F.col("value")).alias("loss"), "target")).alias("best"),
+    allowed = ~here & ((F.col("size") > 1) | (F.col("own_size") > 1) | (F.col("target") < F.col("community")))
+    gain = F.col("links") - F.col("k") * F.col("tot") / F.lit(two_m)
+    best = options.groupBy("node", "community", "k", "own_tot").agg(
+        F.coalesce(F.max(F.when(here, F.col("links"))), F.lit(0.0)).alias("own_links"),
+        F.min(F.when(allowed, F.struct((-gain).alias("loss"), "target"))).alias("best"),
     )
-    gain = -F.col("best.loss") - F.col("stay")
-    may_move = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+    stay = F.col("own_links") - F.col("k") * (F.col("own_tot") - F.col("k")) / F.lit(two_m)
+    may_move = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(8)) != 0
+    better = F.coalesce(-F.col("best.loss") - stay > _EPS, F.lit(False))
     return best.select(
-        "node", F.when(may_move & (gain > _EPS), F.col("best.target")).otherwise(F.col("community")).alias("community")
+        "node", F.when(may_move & better, F.col("best.target")).otherwise(F.col("community")).alias("community"), "k"
     )
 
 
@@ -86,31 +82,30 @@ def _contract(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
     )
 
 
-def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int = 12, min_gain: float = 1e-4) -> DataFrame:
+def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int = 10, min_gain: float = 1e-3) -> DataFrame:
     """(node, community). Communities are named after their lowest node.
 
-    State is checkpointed in the shared folder after every round, which keeps
-    the plan short and survives lost executors.
+    Rounds end when one adds less than ``min_gain`` to the modularity. State is
+    checkpointed in the shared folder after every round, which keeps the plan
+    short and survives lost executors.
     """
     shared_dir(edges.sparkSession)
     adjacency = _adjacency(edges).checkpoint()
-    start = adjacency.select("node").distinct()
-    membership = start.select("node", F.col("node").alias("community"))
-    for level in range(max_levels):
-        communities = adjacency.select("node").distinct().select("node", F.col("node").alias("community"))
-        base = best_q = _modularity(adjacency, communities).first()["modularity"]
-        best = communities
-        idle = 0
+    two_m = adjacency.agg(F.sum("w").alias("w")).first()["w"]
+    membership = adjacency.select("node").distinct().select("node", F.col("node").alias("community"))
+    best_q = -1.0
+    for level in range(max_levels if two_m else 0):
+        state = adjacency.groupBy("node").agg(F.sum("w").alias("k")).select("node", F.col("node").alias("community"), "k")
+        best = None
         for turn in range(max_rounds):
-            communities = _move(adjacency, communities, level * max_rounds + turn).checkpoint()
-            q = _modularity(adjacency, communities).first()["modularity"]
-            if q > best_q + min_gain:
-                best, best_q, idle = communities, q, 0
-            else:
-                idle += 1
-                if idle == 2:  # both halves of the nodes had their turn
-                    break
-        if best_q <= base + min_gain:
+            state = _move(adjacency, state, two_m, level * max_rounds + turn).checkpoint()
+            q = _modularity(adjacency, state).first()["modularity"]
+            gained, improved = q - best_q, q > best_q
+            if improved:
+                best, best_q = state, q
+            if gained < min_gain:
+                break
+        if best is None:
             break
         names = best.select(F.col("node").alias("community"), F.col("community").alias("to"))
         membership = membership.join(names, "community").select("node", F.col("to").alias("community")).checkpoint()

@@ -18,7 +18,7 @@ def _count_if(cond: Column) -> Column:
 
 def table_profile(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns and the optimiser's size estimate in bytes."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(name).alias("table"),
         "rows",

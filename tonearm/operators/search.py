@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import normalise_name
 from .sets import head_per_group, repeatable_sample
@@ -21,7 +22,7 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.try_divide(F.levenshtein(a, b).cast("double"), F.greatest(F.length(a), F.length(b)).cast("double"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of characters in matching blocks."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
