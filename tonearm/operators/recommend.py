@@ -199,25 +199,25 @@ def similar_items(seeds: DataFrame, items: DataFrame, n: int = SIMILAR_ITEMS, se
         seed_blocks = -(-n_seeds // seeds_per_block)
         item_blocks = max(1, -(-n_items // items_per_block))
         left = seeds.select(
-            "seed_id",
-            "features",
-            F.pmod(F.xxhash64("seed_id"), F.lit(seed_blocks)).alias("sb"),
+            F.col("seed_id").alias("sid"),
+            F.col("features").alias("svec"),
+            F.pmod(F.xxhash64("seed_id"), F.lit(seed_blocks)).cast("int").alias("sb"),
             F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
         )
         right = items.select(
-            "item_id",
-            "features",
+            F.col("item_id").alias("iid"),
+            F.col("features").alias("ivec"),
             F.explode(F.sequence(F.lit(0), F.lit(seed_blocks - 1))).alias("sb"),
-            F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).alias("ib"),
+            F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).cast("int").alias("ib"),
         )
 
         def multiply(s: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
             if not len(s) or not len(i):
                 return pd.DataFrame({"seed_id": [], "item_id": [], "score": []})
-            return _score_block(s["seed_id"].to_numpy(), _unit(s["features"]), i, n)
+            i = i.rename(columns={"iid": "item_id", "ivec": "features"})
+            return _score_block(s["sid"].to_numpy(), _unit(s["svec"]), i, n)
 
-        keys = [F.col("sb").cast("int"), F.col("ib").cast("int")]
-        scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(multiply, _SCORED)
+        scored = left.groupBy("sb", "ib").cogroup(right.groupBy("sb", "ib")).applyInPandas(multiply, _SCORED)
     return head_per_group(scored, "seed_id", n, F.col("score").desc(), F.col("item_id").asc())
 
 
