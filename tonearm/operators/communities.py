@@ -55,7 +55,7 @@ def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> Da
     )
     own = total.select("community", F.col("tot").alias("own_tot"), F.col("size").alias("own_size"))
     there = total.select(F.col("community").alias("target"), "tot", "size")
-    options = state.join(own, "community").join(links.join(there, "target"), "node", "left")
+    options = links.join(there, "target").join(state.join(own, "community"), "node")
     here = F.col("target") == F.col("community")
     allowed = ~here & ((F.col("size") > 1) | (F.col("own_size") > 1) | (F.col("target") < F.col("community")))
     gain = F.col("links") - F.col("k") * F.col("tot") / F.lit(two_m)
@@ -65,10 +65,8 @@ def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> Da
     )
     stay = F.col("own_links") - F.col("k") * (F.col("own_tot") - F.col("k")) / F.lit(two_m)
     may_move = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(8)) != 0
-    better = F.coalesce(-F.col("best.loss") - stay > _EPS, F.lit(False))
-    return best.select(
-        "node", F.when(may_move & better, F.col("best.target")).otherwise(F.col("community")).alias("community"), "k"
-    )
+    moves = best.filter(may_move & (-F.col("best.loss") - stay > _EPS)).select("node", F.col("best.target").alias("to"))
+    return state.join(moves, "node", "left").select("node", F.coalesce("to", "community").alias("community"), "k")
 
 
 def _contract(adjacency: DataFrame, communities: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from ..functions import bucket_label, percent
 from ..schemas import LISTENER_BUCKETS
-from .stats import artist_totals, combine_rows
+from .stats import artist_totals, key_totals
 
 PERCENTILES = {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
@@ -92,7 +92,12 @@ def cumulative_distribution(distribution: DataFrame, n: int = 100) -> DataFrame:
 
 
 def distribution_summary(counts: DataFrame) -> DataFrame:
-    """One row: artists, users, percentiles, mean, spread."""
-    per_artist = artist_totals(counts).agg(F.count(F.lit(1)).alias("total_artists"))
-    users = counts.select("user_id").distinct().agg(F.count(F.lit(1)).alias("total_users"))
-    return combine_rows(per_artist, users, listener_percentiles(counts), listener_spread(counts))
+    """One row: artists, users, exact percentiles, mean, spread; one pass over the counts."""
+    return key_totals(counts).agg(
+        F.count("artist_keys").alias("total_artists"),
+        F.count("user_keys").alias("total_users"),
+        *[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY artist_keys)").alias(n) for n, p in PERCENTILES.items()],
+        F.max("artist_keys").alias("max"),
+        F.avg("artist_keys").alias("mean"),
+        F.stddev_samp("artist_keys").alias("stddev"),
+    )

@@ -39,27 +39,41 @@ def _char_tokens(text: Column) -> Column:
     return F.transform(chars, numbered)
 
 
+def _token_pairs(tokens: Column) -> Column:
+    """All unordered pairs of a sorted token list, as text."""
+    return F.flatten(
+        F.transform(
+            tokens,
+            lambda x, i: F.transform(F.slice(tokens, i + 2, F.size(tokens)), lambda y: F.concat(x, F.lit("\u0001"), y)),
+        )
+    )
+
+
 def candidate_pairs(values: DataFrame, column: str, threshold: float) -> DataFrame:
     """(value1, value2) of all distinct values that can reach the threshold.
 
-    Two texts of similarity t share at least t (m + n) / 2 characters, both for
-    matching blocks and for edits. A text of n characters then needs
-    ceil(n t / (2 - t)) of them in common with any partner, so both texts hold a
-    common token among their n - need + 1 rarest ones (prefix filter). Joining
-    on those tokens misses no pair; the length bound drops most of the rest.
+    Two texts of m and n characters and similarity t share at least t (m + n) / 2
+    characters, both for matching blocks and for edits. So a text of n needs
+    ceil(n t / (2 - t)) characters in common with any partner, and the
+    n - need + 2 rarest tokens of both texts hold two common ones (prefix
+    filter). Joining on pairs of those tokens misses no pair and keeps the join
+    groups small; the length bound drops most of the rest. Above a threshold of
+    2/3 a text of one character has no partner but itself.
     """
-    texts = values.select(F.col(column).alias("value")).filter(F.length(column) > 0).distinct()
+    if threshold <= 2 / 3:
+        raise ValueError("the threshold must be above 2/3")
+    texts = values.select(F.col(column).alias("value")).filter(F.length(column) > 1).distinct()
     tokens = texts.select("value", F.explode(_char_tokens(F.col("value"))).alias("token"))
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     ordered = tokens.join(frequency, "token").groupBy("value").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     n = F.length("value")
     need = F.ceil(n * F.lit(threshold / (2.0 - threshold)) - F.lit(1e-9)).cast("int")
-    signature = F.slice(F.col("t.token"), F.lit(1), n - need + 1)
-    prefix = ordered.select("value", n.alias("n"), F.explode(signature).alias("token"))
-    a, b = prefix.alias("a"), prefix.alias("b")
-    short = F.least(F.col("a.n"), F.col("b.n")) * 2.0 >= F.lit(threshold) * (F.col("a.n") + F.col("b.n"))
+    rarest = ordered.select("value", n.alias("n"), F.slice(F.col("t.token"), F.lit(1), n - need + 2).alias("s"))
+    keyed = rarest.select("value", "n", F.explode(_token_pairs(F.col("s"))).alias("key"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    close = F.least(F.col("a.n"), F.col("b.n")) * 2.0 >= F.lit(threshold - 1e-9) * (F.col("a.n") + F.col("b.n"))
     return (
-        a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.value") < F.col("b.value")) & short)
+        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.value") < F.col("b.value")) & close)
         .select(F.col("a.value").alias("value1"), F.col("b.value").alias("value2"))
         .distinct()
     )

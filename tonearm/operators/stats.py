@@ -35,19 +35,34 @@ def artist_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def key_totals(counts: DataFrame) -> DataFrame:
+    """Totals per user and per artist in one pass over the counts.
+
+    ``user_keys`` / ``artist_keys`` hold the entries of a user's / an artist's
+    row and are null in rows of the other kind.
+    """
+    both = counts.groupingSets([["user_id"], ["artist_id"]], "user_id", "artist_id").agg(
+        F.grouping("artist_id").alias("is_user"), F.sum("listen_count").alias("listens"), F.count(F.lit(1)).alias("n")
+    )
+    user = F.col("is_user") == 1
+    return both.select(
+        F.when(user, F.col("n")).alias("user_keys"),
+        F.when(user, F.col("listens")).alias("user_listens"),
+        F.when(~user, F.col("n")).alias("artist_keys"),
+    )
+
+
 def dataset_statistics(counts: DataFrame) -> DataFrame:
     """One row: users, artists, entries, listens and the three averages."""
-    per_user = user_totals(counts).agg(
-        F.count(F.lit(1)).alias("total_users"),
-        F.sum("unique_artists").alias("total_entries"),
-        F.sum("total_listens").alias("total_listens"),
-        F.avg("total_listens").alias("avg_listens_per_user"),
-        F.avg("unique_artists").alias("avg_artists_per_user"),
-    )
-    per_artist = artist_totals(counts).agg(
-        F.count(F.lit(1)).alias("total_artists"), F.avg("unique_listeners").alias("avg_users_per_artist")
+    return key_totals(counts).agg(
+        F.count("user_keys").alias("total_users"),
+        F.count("artist_keys").alias("total_artists"),
+        F.sum("user_keys").alias("total_entries"),
+        F.sum("user_listens").alias("total_listens"),
+        F.avg("user_listens").alias("avg_listens_per_user"),
+        F.avg("user_keys").alias("avg_artists_per_user"),
+        F.avg("artist_keys").alias("avg_users_per_artist"),
     )
-    return combine_rows(per_user, per_artist)
 
 
 def top_rows(df: DataFrame, by: str, tie: str, n: int) -> DataFrame:

@@ -48,8 +48,7 @@ def summary_document(counts: DataFrame, artists: DataFrame) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("total_listens", "artist_id", "unique_listeners", "name")))
         ).alias("top_artists")
     )
-    row = st.select(F.struct(*st.columns).alias("dataset_statistics"), F.lit(1).alias("k"))
-    return row.join(listed.withColumn("k", F.lit(1)), "k").drop("k")
+    return st.select(F.struct(*st.columns).alias("dataset_statistics"), listed.scalar().alias("top_artists"))
 
 
 def executive_summary(counts: DataFrame, artists: DataFrame) -> DataFrame:

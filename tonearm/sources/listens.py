@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import RAW_LISTEN
 
+ROWS_PER_FILE = 10_000_000  # about 250 MB of two id columns
+
 
 def parse_months(text: str) -> list[int]:
     """``1-3`` or ``1,3,5``."""
@@ -83,9 +85,10 @@ def land_listens(listens: DataFrame, path: str, mode: str = "overwrite") -> None
     """Write (user_id, recording_msid, month) as Parquet, one folder per month.
 
     Only the months present in the frame are replaced. Rows keep the read
-    partitioning: a month with most of the rows is written by many tasks.
+    partitioning: a month with most of the rows is written by many tasks, and
+    the one task of a zstd file still writes files of a bounded size.
     """
-    writer = listens.write.mode(mode).partitionBy("month")
+    writer = listens.write.mode(mode).partitionBy("month").option("maxRecordsPerFile", ROWS_PER_FILE)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
