@@ -149,7 +149,7 @@ def ag14(t: Tables) -> DataFrame:
 
 @query("ag15_cluster_statistics")
 def ag15(t: Tables) -> DataFrame:
-    clustered = segments.cluster_users(segments.user_features(t.counts))
+    clustered = segments.cluster_users(segments.user_features(t.landed_counts))
     return segments.cluster_statistics(clustered).withColumn("example_users", F.array_join("example_users", ","))
 
 

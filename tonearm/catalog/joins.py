@@ -63,7 +63,7 @@ ui AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_idx FROM
 
 @query("jn06_matrix_entries", _INDEX + "SELECT user_idx, item_idx, listen_count FROM counts JOIN ai USING (artist_id) JOIN ui USING (user_id)")
 def jn06(t: Tables) -> DataFrame:
-    counts = t.counts
+    counts = t.landed_counts
     return recommend.matrix_entries(
         counts, recommend.dense_index(counts, "artist_id", "item_idx"), recommend.dense_index(counts, "user_id", "user_idx")
     )
@@ -87,7 +87,7 @@ def jn07(t: Tables) -> DataFrame:
 def jn08(t: Tables) -> DataFrame:
     part = t.read("part")
     wanted = part.select(F.col("p_type").alias("artist_id")).unionByName(part.select(F.col("p_name").alias("artist_id")))
-    found, missing = recommend.find_artists(wanted, t.counts)
+    found, missing = recommend.find_artists(wanted, t.landed_counts)
     return found.withColumn("present", F.lit(True)).unionByName(missing.withColumn("present", F.lit(False)))
 
 

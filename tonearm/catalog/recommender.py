@@ -20,7 +20,7 @@ SMALL_MODEL = {"factors": 16, "iterations": 5}
 
 @query("ml01_matrix", _INDEX + "SELECT user_idx, item_idx, listen_count FROM counts JOIN ai USING (artist_id) JOIN ui USING (user_id)")
 def ml01(t: Tables) -> DataFrame:
-    entries, _, _ = recommend.build_matrix(t.counts)
+    entries, _, _ = recommend.build_matrix(t.landed_counts)
     return entries
 
 
@@ -38,9 +38,9 @@ def ml02(t: Tables) -> DataFrame:
 
 
 def _weighted(t: Tables) -> tuple[DataFrame, DataFrame]:
-    weights = recommend.bm25_weights(t.counts)
-    artists = recommend.dense_index(t.counts, "artist_id", "item_idx")
-    users = recommend.dense_index(t.counts, "user_id", "user_idx")
+    weights = recommend.bm25_weights(t.landed_counts)
+    artists = recommend.dense_index(t.landed_counts, "artist_id", "item_idx")
+    users = recommend.dense_index(t.landed_counts, "user_id", "user_idx")
     entries = weights.join(artists, "artist_id").join(users, "user_id").select("user_idx", "item_idx", "weight")
     return entries, artists
 
@@ -73,8 +73,8 @@ def ml04_blocked(t: Tables) -> DataFrame:
 @query("ml05_recommendations")
 def ml05(t: Tables) -> DataFrame:
     """The most played artists' 20 nearest artists with names."""
-    model, index = jobs.model_for(t.spark, t.counts, scratch_path(t.spark, "model"), **SMALL_MODEL)
-    return jobs.recommendations_for(t.spark, t.counts, model, index, t.artists)
+    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"), **SMALL_MODEL)
+    return jobs.recommendations_for(t.spark, t.landed_counts, model, index, t.artists)
 
 
 @query(
@@ -85,7 +85,7 @@ def ml05(t: Tables) -> DataFrame:
     """,
 )
 def ml06(t: Tables) -> DataFrame:
-    return recommend.select_seeds(t.counts, None, ["Brand#1", "Brand#7", "nobody"])
+    return recommend.select_seeds(t.landed_counts, None, ["Brand#1", "Brand#7", "nobody"])
 
 
 @query(
@@ -94,7 +94,7 @@ def ml06(t: Tables) -> DataFrame:
 )
 def ml06_requested(t: Tables) -> DataFrame:
     wanted = t.read("part").select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("artist_id"))
-    return recommend.select_seeds(t.counts, wanted)
+    return recommend.select_seeds(t.landed_counts, wanted)
 
 
 @query(
@@ -112,39 +112,39 @@ def ml06_requested(t: Tables) -> DataFrame:
 def ml07(t: Tables) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    scaled = segments.standardise(segments.user_features(t.counts)).withColumn("z", vector_to_array("scaled"))
+    scaled = segments.standardise(segments.user_features(t.landed_counts)).withColumn("z", vector_to_array("scaled"))
     at = lambda i, name: F.round(F.col("z")[i], 5).alias(name)
     return scaled.select("user_id", at(0, "z_artists"), at(1, "z_listens"), at(4, "z_max"))
 
 
 @query("ml08_user_clusters")
 def ml08(t: Tables) -> DataFrame:
-    return segments.cluster_users(segments.user_features(t.counts)).select("user_id", "cluster")
+    return segments.cluster_users(segments.user_features(t.landed_counts)).select("user_id", "cluster")
 
 
 @query("ml09_named_segments")
 def ml09(t: Tables) -> DataFrame:
-    clustered = segments.cluster_users(segments.user_features(t.counts))
+    clustered = segments.cluster_users(segments.user_features(t.landed_counts))
     named = segments.name_segments(segments.cluster_statistics(clustered))
     return named.withColumn("example_users", F.array_join("example_users", ","))
 
 
 @query("ml10_segment_centroids")
 def ml10(t: Tables) -> DataFrame:
-    clustered = segments.cluster_users(segments.user_features(t.counts))
+    clustered = segments.cluster_users(segments.user_features(t.landed_counts))
     return rounded(segments.segment_centroids(clustered), "centre_artists", "centre_listens")
 
 
 @query("ml11_segment_points")
 def ml11(t: Tables) -> DataFrame:
-    return segments.chart_points(segments.cluster_users(segments.user_features(t.counts)))
+    return segments.chart_points(segments.cluster_users(segments.user_features(t.landed_counts)))
 
 
 @query("snk06_saved_model")
 def snk06(t: Tables) -> DataFrame:
     """Train, save, load by the fingerprint of the data; factors of the loaded model."""
     root = scratch_path(t.spark, "saved-model")
-    jobs.model_for(t.spark, t.counts, root, **SMALL_MODEL)
-    model, index, _ = sinks.load_model(t.spark, root, sinks.content_fingerprint(t.counts))
+    jobs.model_for(t.spark, t.landed_counts, root, **SMALL_MODEL)
+    model, index, _ = sinks.load_model(t.spark, root, sinks.content_fingerprint(t.landed_counts))
     factors = recommend.artist_factors(model, index)
     return factors.select("artist_id", r6(F.col("features")[0], "first_factor"))

@@ -96,7 +96,7 @@ def rp05(t: Tables) -> DataFrame:
 
 @query("rp06_user_segments")
 def rp06(t: Tables) -> DataFrame:
-    stats = reports.user_segments(t.counts)["cluster_stats"]
+    stats = reports.user_segments(t.landed_counts)["cluster_stats"]
     return stats.withColumn("example_users", F.array_join("example_users", ","))
 
 
@@ -161,7 +161,7 @@ def rp09(t: Tables) -> DataFrame:
     recs = user_recommendations(t)
     external = two_lists(t)[1]
     out = scratch_path(t.spark, "report")
-    paths = reports.full_report(t.counts, t.artists, recs, t.artist_metadata, external, out)
+    paths = reports.full_report(t.landed_counts, t.artists, recs, t.artist_metadata, external, out)
     rows = [t.spark.read.text(p).agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit(n)) for n, p in paths.items()]
     return union_all(*rows)
 

@@ -27,7 +27,7 @@ def overlap_count(a: Column, b: Column) -> Column:
 
 def overlap_percent(a: Column, b: Column) -> Column:
     """Shared values as a share of the shorter list, 0 where a list is empty or absent."""
-    shorter = F.least(F.size(a), F.size(b))
-    return F.when(F.coalesce(shorter, F.lit(0)) <= 0, F.lit(0.0)).otherwise(
+    shorter = F.least(F.coalesce(F.size(a), F.lit(0)), F.coalesce(F.size(b), F.lit(0)))
+    return F.when(shorter <= 0, F.lit(0.0)).otherwise(
         F.try_divide(overlap_count(a, b).cast("double"), shorter.cast("double")) * 100
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import staged
 from .graph import both_ends
 
 _EPS = 1e-9
@@ -84,11 +84,10 @@ def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int =
     """(node, community). Communities are named after their lowest node.
 
     Rounds end when one adds less than ``min_gain`` to the modularity. State is
-    checkpointed in the shared folder after every round, which keeps the plan
-    short and survives lost executors.
+    written to the shared folder after every round, which keeps the plan short
+    and survives lost executors.
     """
-    shared_dir(edges.sparkSession)
-    adjacency = _adjacency(edges).checkpoint()
+    adjacency = staged(_adjacency(edges), "graph")
     two_m = adjacency.agg(F.sum("w").alias("w")).first()["w"]
     membership = adjacency.select("node").distinct().select("node", F.col("node").alias("community"))
     best_q = -1.0
@@ -96,7 +95,7 @@ def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int =
         state = adjacency.groupBy("node").agg(F.sum("w").alias("k")).select("node", F.col("node").alias("community"), "k")
         best = None
         for turn in range(max_rounds):
-            state = _move(adjacency, state, two_m, level * max_rounds + turn).checkpoint()
+            state = staged(_move(adjacency, state, two_m, level * max_rounds + turn), "moves")
             q = _modularity(adjacency, state).first()["modularity"]
             gained, improved = q - best_q, q > best_q
             if improved:
@@ -106,7 +105,7 @@ def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int =
         if best is None:
             break
         names = best.select(F.col("node").alias("community"), F.col("community").alias("to"))
-        membership = membership.join(names, "community").select("node", F.col("to").alias("community")).checkpoint()
-        adjacency = _contract(adjacency, best).checkpoint()
+        membership = staged(membership.join(names, "community").select("node", F.col("to").alias("community")), "members")
+        adjacency = staged(_contract(adjacency, best), "graph")
     lowest = membership.groupBy("community").agg(F.min("node").alias("lowest"))
     return membership.join(lowest, "community").select("node", F.col("lowest").alias("community"))

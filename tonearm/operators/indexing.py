@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import shared_dir
+from ..session import staged
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -15,25 +15,20 @@ def with_row_index(df: DataFrame, *order: Column, name: str = "idx") -> DataFram
     """Add the position of each row in ``order``, which must be total.
 
     Rows are range-partitioned and sorted locally; a partition's first position
-    is the row count of those before it. The sorted rows are checkpointed, so
+    is the row count of those before it. The numbered rows are written once, so
     positions and offsets come from the same partitioning even when executors
     are lost between them. The only window runs over one row per partition.
     """
-    shared_dir(df.sparkSession)
-    staged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    numbered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+    rows = staged(numbered, "index")
     part = F.shiftright(F.col("_mid"), _ROW_BITS)
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    staged = staged.withColumn("_part", part).withColumn("_row", row)
-    sizes = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("_part", part).withColumn("_row", row)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"))
     return (
-        staged.join(offsets, "_part")
+        rows.join(offsets, "_part")
         .withColumn(name, F.col("_off") + F.col("_row"))
         .drop("_mid", "_part", "_row", "_off")
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.resolve import user_artist_counts
+from ..session import staged
 
 
 class Tables:
@@ -137,6 +138,11 @@ class Tables:
     def counts(self) -> DataFrame:
         return user_artist_counts(self.listens, self.mapping, self.redirects, self.canonical)
 
+    @cached_property
+    def landed_counts(self) -> DataFrame:
+        """The counts as a stage table, as the jobs that read them several times find them."""
+        return staged(self.counts, "counts")
+
     @cached_property
     def ranked_parts(self) -> DataFrame:
         """Per part: the customers' two top-10 lists need count and spend."""

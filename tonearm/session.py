@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tonearm", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,3 +48,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
     return f"{shared_dir(spark).rstrip('/')}/tonearm-{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as a table in the shared folder and read back.
+
+    Cuts lineage like a checkpoint and survives lost executors. The table also
+    brings its true size: the estimate of a checkpointed frame is that of its
+    plan, which grows with every join of an iterative job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
