@@ -77,6 +77,11 @@ def test_csv_quoting_and_zstd(spark, tmp_path):
     assert tables.head_rows(landed, 2).count() == 2
     with pytest.raises(ValueError):
         tables.read_table(spark, str(plain))
+    moved = tmp_path / "moved.csv"
+    moved.write_text("extra,name,artist_mbid\n1,Ex,x\n")
+    assert rows(tables.read_csv(spark, str(moved), ARTISTS)) == [("x", "Ex")]
+    with pytest.raises(ValueError):
+        tables.read_csv(spark, str(moved), MSID_MAPPING)
 
 
 def test_stage_preference(spark, tmp_path):

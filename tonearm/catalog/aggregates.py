@@ -164,6 +164,29 @@ FROM c
 """
 
 
+@query(
+    "ag15_clusters_cover_users",
+    """--with
+    f AS (SELECT user_id, count(*) AS a, sum(listen_count) AS l FROM counts GROUP BY user_id HAVING count(*) > 5)
+    SELECT CAST(3 AS BIGINT) AS clusters, CAST(3 AS BIGINT) AS names, count(*) AS users, round(avg(a), 6) AS avg_artists, round(avg(l), 6) AS avg_listens,
+           CAST(15 AS BIGINT) AS examples FROM f
+    """,
+)
+def ag15_cover(t: Tables) -> DataFrame:
+    """Clusters, names and sizes are arbitrary one by one, but together they must hold every user."""
+    clustered = segments.cluster_users(segments.user_features(t.landed_counts))
+    named = segments.name_segments(segments.cluster_statistics(clustered))
+    users = F.sum("user_count")
+    return named.agg(
+        F.count(F.lit(1)).alias("clusters"),
+        F.count_distinct("name").alias("names"),
+        users.alias("users"),
+        r6(F.sum(F.col("user_count") * F.col("avg_artists")) / users, "avg_artists"),
+        r6(F.sum(F.col("user_count") * F.col("avg_listens")) / users, "avg_listens"),
+        F.sum(F.size("example_users")).cast("long").alias("examples"),
+    )
+
+
 @query("ag16_mapping_coverage", _COVERAGE)
 def ag16(t: Tables) -> DataFrame:
     df = profile.mapping_coverage(t.listens, resolve.filter_match_levels(t.mapping))
@@ -439,6 +462,21 @@ def ag38(t: Tables) -> DataFrame:
     return union_all(*[profile.table_profile(df, name) for name, df in named.items()])
 
 
+@query(
+    "ag38_rows_and_columns",
+    """
+    SELECT 'listens' AS "table", count(*) AS rows, 2 AS columns FROM listens
+    UNION ALL SELECT 'msid_mapping', count(*), 3 FROM msid_mapping
+    UNION ALL SELECT 'canonical_data', count(*), 2 FROM canonical
+    """,
+)
+def ag38_rows(t: Tables) -> DataFrame:
+    from ..operators.sets import union_all
+
+    named = {"listens": t.listens, "msid_mapping": t.mapping, "canonical_data": t.canonical}
+    return union_all(*[profile.table_profile(df, name) for name, df in named.items()]).drop("estimated_bytes")
+
+
 _FLOW = "SELECT CAST(step_no AS INTEGER) AS step_no, step, original_count, processed_count, round(retention_pct, 6) AS retention_pct, loss_count, round(100 - retention_pct, 6) AS loss_pct FROM flow"
 
 

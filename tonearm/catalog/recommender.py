@@ -45,6 +45,18 @@ def _weighted(t: Tables) -> tuple[DataFrame, DataFrame]:
     return entries, artists
 
 
+@query(
+    "ml03_factors_per_artist",
+    "SELECT DISTINCT artist_id, CAST(16 AS INTEGER) AS factors, TRUE AS finite FROM counts",
+)
+def ml03_shape(t: Tables) -> DataFrame:
+    """Every artist has a vector of the asked length, and no number in it is lost."""
+    entries, artists = _weighted(t)
+    model = recommend.train_model(entries, **SMALL_MODEL)
+    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    return recommend.artist_factors(model, artists).select("artist_id", F.size("features").alias("factors"), finite.alias("finite"))
+
+
 @query("ml03_factor_model")
 def ml03(t: Tables) -> DataFrame:
     """Factors per artist with their length, and the training loss."""
@@ -77,6 +89,29 @@ def ml05(t: Tables) -> DataFrame:
     return jobs.recommendations_for(t.spark, t.landed_counts, model, index, t.artists)
 
 
+@query(
+    "ml05_recommendation_shape",
+    """--with
+    top AS (SELECT artist_id, total_listens FROM artist_totals ORDER BY total_listens DESC, artist_id LIMIT 10)
+    SELECT artist_id AS source_artist_id, coalesce(name, 'Unknown Artist') AS source_artist, CAST(20 AS BIGINT) AS n,
+           CAST(20 AS BIGINT) AS artists, CAST(1 AS INTEGER) AS first_rank, CAST(20 AS INTEGER) AS last_rank, 1.0::DOUBLE AS best, TRUE AS holds_itself
+    FROM top LEFT JOIN artists ON artist_mbid = artist_id
+    """,
+)
+def ml05_shape(t: Tables) -> DataFrame:
+    """Each of the ten most played artists has 20 ranked ones, itself among them, the best at similarity 1."""
+    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"), **SMALL_MODEL)
+    recs = jobs.recommendations_for(t.spark, t.landed_counts, model, index, t.artists)
+    return recs.groupBy("source_artist_id", "source_artist").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("artist_id").alias("artists"),
+        F.min("rank").alias("first_rank"),
+        F.max("rank").alias("last_rank"),
+        F.round(F.max("similarity_score"), 4).alias("best"),
+        F.bool_or(F.col("artist_id") == F.col("source_artist_id")).alias("holds_itself"),
+    )
+
+
 @query(
     "ml06_seeds_popular_and_defaults",
     """
@@ -135,11 +170,29 @@ def ml10(t: Tables) -> DataFrame:
     return rounded(segments.segment_centroids(clustered), "centre_artists", "centre_listens")
 
 
+@query(
+    "ml11_points_of_all_users",
+    "SELECT user_id, count(*) AS artist_count, CAST(sum(listen_count) AS BIGINT) AS total_listens, TRUE AS clustered FROM counts GROUP BY user_id HAVING count(*) > 5",
+)
+def ml11_points(t: Tables) -> DataFrame:
+    points = segments.chart_points(segments.cluster_users(segments.user_features(t.landed_counts)))
+    return points.select("user_id", "artist_count", "total_listens", F.col("cluster").between(0, 2).alias("clustered"))
+
+
 @query("ml11_segment_points")
 def ml11(t: Tables) -> DataFrame:
     return segments.chart_points(segments.cluster_users(segments.user_features(t.landed_counts)))
 
 
+@query("snk06_saved_artists", "SELECT DISTINCT artist_id FROM counts")
+def snk06_artists(t: Tables) -> DataFrame:
+    """Artists of the model that was saved and loaded again."""
+    root = scratch_path(t.spark, "saved-model")
+    jobs.model_for(t.spark, t.landed_counts, root, **SMALL_MODEL)
+    model, index, _ = sinks.load_model(t.spark, root, sinks.content_fingerprint(t.landed_counts))
+    return recommend.artist_factors(model, index).select("artist_id")
+
+
 @query("snk06_saved_model")
 def snk06(t: Tables) -> DataFrame:
     """Train, save, load by the fingerprint of the data; factors of the loaded model."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.profile import quality_metrics
+from ..functions import percent
+from ..operators.profile import quality_from_percents, quality_metrics
 from ..operators.sets import union_all
 from ..plans import reports
 from ..plans.adapters import Tables
@@ -155,6 +156,20 @@ def rp08_log(t: Tables) -> DataFrame:
     return rounded(quality_metrics(results.read_mapping_counts(t.spark, path)), "mapped", "quality_score").select("mapped", "total", "quality_score")
 
 
+@query(
+    "rp08_quality_from_percents",
+    """--with
+    p AS (SELECT round(100.0::DOUBLE * count(*) FILTER (match_type <> 'no_match') / count(*), 3) AS mapped, count(*) AS total FROM msid_mapping)
+    SELECT mapped, round(100 - mapped, 3) AS unmapped, total, CAST(floor(total * mapped / 100) AS BIGINT) AS mapped_count,
+           CAST(floor(total * round(100 - mapped, 3) / 100) AS BIGINT) AS unmapped_count, mapped AS quality_score FROM p
+    """,
+)
+def rp08_percents(t: Tables) -> DataFrame:
+    matched = F.count_if(F.col("match_type") != "no_match")
+    row = t.mapping.agg(F.round(percent(matched, F.count(F.lit(1))), 3).alias("mapped"), F.count(F.lit(1)).alias("total"))
+    return quality_from_percents(row.withColumn("unmapped", F.round(F.lit(100.0) - F.col("mapped"), 3)))
+
+
 @query("rp09_full_report")
 def rp09(t: Tables) -> DataFrame:
     """Write every dataset of the report; lists their names and rows."""

@@ -90,6 +90,14 @@ def smp02(t: Tables) -> DataFrame:
     return sets.repeatable_sample(t.mapping.select("recording_msid"), 1000, "recording_msid", 42)
 
 
+@query("smp02_sample_members", "SELECT least(1000, count(*)) AS sampled, least(1000, count(*)) AS members FROM msid_mapping")
+def smp02_members(t: Tables) -> DataFrame:
+    """Size of the sample, and how many of its distinct rows the table holds."""
+    sample = sets.repeatable_sample(t.mapping.select("recording_msid"), 1000, "recording_msid", 42)
+    known = sample.distinct().join(t.mapping.select("recording_msid"), "recording_msid", "left_semi")
+    return stats.combine_rows(sample.agg(F.count(F.lit(1)).alias("sampled")), known.agg(F.count(F.lit(1)).alias("members")))
+
+
 @query("set01_union_of_months", _MONTHLY + "SELECT user_id, count(*) AS plays FROM monthly WHERE month IN (1, 6, 12) GROUP BY user_id")
 def set01(t: Tables) -> DataFrame:
     months = [t.monthly_listens.filter(F.col("month") == m) for m in (1, 6, 12)]

@@ -143,8 +143,31 @@ def quality_metrics(counts: DataFrame) -> DataFrame:
 
 
 def quality_from_percents(stats: DataFrame) -> DataFrame:
-    """The same row out of already computed percentages ``mapped`` and ``unmapped``."""
-    return stats.select("mapped", "unmapped", F.col("mapped").alias("quality_score"))
+    """The same row out of percentages ``mapped`` and ``unmapped``.
+
+    ``total``, ``mapped_count`` and ``unmapped_count`` are used where the frame
+    has them; counts that are missing follow from the total, which is 100 then.
+    """
+    has = set(stats.columns)
+    if "total" in has:
+        total = F.col("total").cast("long")
+    elif {"mapped_count", "unmapped_count"} <= has:
+        total = (F.col("mapped_count") + F.col("unmapped_count")).cast("long")
+    else:
+        total = F.lit(100).cast("long")
+
+    def count(name: str, share: str) -> Column:
+        whole = F.col(name) if name in has else (total * F.col(share) / 100)
+        return whole.cast("long").alias(name)
+
+    return stats.select(
+        "mapped",
+        "unmapped",
+        total.alias("total"),
+        count("mapped_count", "mapped"),
+        count("unmapped_count", "unmapped"),
+        F.col("mapped").alias("quality_score"),
+    )
 
 
 def coverage_by_level(listens: DataFrame, mapping: DataFrame) -> DataFrame:

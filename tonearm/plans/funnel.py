@@ -15,6 +15,16 @@ from ..schemas import MATCH_LEVELS
 
 ACCEPTED = MATCH_LEVELS[:4]
 
+# Names of the profiled steps.
+STEPS = (
+    "Clean Listen Events",
+    "MSID to MBID Mapping",
+    "Canonical Redirection",
+    "Finding Artists for Recordings",
+    "Finding Artist Names",
+    "Generating User-Artist Counts",
+)
+
 
 def _n(df: DataFrame, *columns: str) -> DataFrame:
     """One-row count of distinct rows of the columns (null counts as a value)."""
@@ -66,13 +76,12 @@ def stage_funnel(listens: DataFrame, mapping: DataFrame, redirects: DataFrame, c
         .join(per_message, "recording_msid")
         .agg(F.coalesce(F.sum(F.col("users") * F.col("k")), F.lit(0)).alias("n"))
     )
-    return stage_flow(
-        [
-            ("Clean Listen Events", _rows(listens), _rows(clean)),
-            ("MSID to MBID Mapping", _n(clean, "recording_msid"), _n(canonical_mapping, "recording_msid")),
-            ("Canonical Redirection", _n(canonical_mapping, "recording_mbid"), _n(canonical_mapping, "canonical_mbid")),
-            ("Finding Artists for Recordings", _n(canonical_mapping, "canonical_mbid"), _n(found, "recording_mbid")),
-            ("Finding Artist Names", _rows(artist_ids), _rows(named)),
-            ("Generating User-Artist Counts", _rows(clean), pairs),
-        ]
+    counts = (
+        (_rows(listens), _rows(clean)),
+        (_n(clean, "recording_msid"), _n(canonical_mapping, "recording_msid")),
+        (_n(canonical_mapping, "recording_mbid"), _n(canonical_mapping, "canonical_mbid")),
+        (_n(canonical_mapping, "canonical_mbid"), _n(found, "recording_mbid")),
+        (_rows(artist_ids), _rows(named)),
+        (_rows(clean), pairs),
     )
+    return stage_flow([(step, before, after) for step, (before, after) in zip(STEPS, counts)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import STAGE_COLUMNS, STAGE_SCHEMAS
@@ -12,19 +13,18 @@ from .sinks import path_exists
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with a header and double-quoted fields; columns are matched by position of the schema.
+    """CSV with a header and double-quoted fields, as the columns of ``schema``.
 
-    Nothing is inferred, so there is no extra pass over the file.
+    Columns are found by their names in the header, whatever their order and
+    whatever else the file holds; types are declared, so only the header is
+    read ahead. A value that does not fit its type becomes null.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", False)
-        .csv(path)
-    )
-    return df.select(*columns) if columns else df
+    wanted = [f for f in schema.fields if columns is None or f.name in columns]
+    raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    missing = [f.name for f in wanted if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no columns {missing}, only {raw.columns}")
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
