@@ -101,6 +101,9 @@ def test_recommendation_files(spark, tmp_path):
     (tmp_path / "other.csv").write_text("a\n1\n")
     got = rows(results.read_recommendation_files(spark, str(tmp_path)))
     assert got == [("Simon and Garfunkel", 1, "x", "Ex", 0.99), ("Simon and Garfunkel", 2, "y", None, 0.5)]
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "similar_to_Queen.csv").write_text("rank,artist_id,similarity_score\n1,q,1.0\n")
+    assert rows(results.read_recommendation_files(spark, str(tmp_path / "old"))) == [("Queen", 1, "q", None, 1.0)]
 
 
 def test_recommendations_round_trip(spark, tmp_path):

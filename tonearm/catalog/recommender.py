@@ -34,7 +34,7 @@ def ml01(t: Tables) -> DataFrame:
     """,
 )
 def ml02(t: Tables) -> DataFrame:
-    return rounded(recommend.bm25_weights(t.counts), "weight")
+    return rounded(recommend.bm25_weights(t.landed_counts), "weight")
 
 
 def _weighted(t: Tables) -> tuple[DataFrame, DataFrame]:

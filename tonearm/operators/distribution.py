@@ -81,14 +81,13 @@ def first_points(distribution: DataFrame, n: int = 100) -> DataFrame:
 
 
 def cumulative_distribution(distribution: DataFrame, n: int = 100) -> DataFrame:
-    """Cumulative share of artists over the n lowest listener counts.
-
-    The running sum needs only those n rows; the total is a scalar.
-    """
-    total = distribution.agg(F.sum("artist_count")).scalar()
-    running = F.sum("artist_count").over(W.orderBy("listener_count").rowsBetween(W.unboundedPreceding, W.currentRow))
-    head = first_points(distribution, n).withColumn("cumulative_artists", running)
-    return head.withColumn("cumulative_pct", percent(F.col("cumulative_artists"), total))
+    """Cumulative share of artists over the n lowest listener counts."""
+    order = W.orderBy("listener_count")
+    running = F.sum("artist_count").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    total = F.sum("artist_count").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    curve = distribution.select("listener_count", "artist_count", running.alias("cumulative_artists"), total.alias("_total"))
+    head = curve.orderBy("listener_count").limit(n)
+    return head.withColumn("cumulative_pct", percent(F.col("cumulative_artists"), F.col("_total"))).drop("_total")
 
 
 def distribution_summary(counts: DataFrame) -> DataFrame:

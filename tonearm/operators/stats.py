@@ -140,7 +140,8 @@ def activity_shares(totals: DataFrame) -> DataFrame:
     freq = totals.groupBy("total_listens").agg(F.count(F.lit(1)).alias("n"))
     order = W.orderBy(F.col("total_listens").desc())
     ranked = freq.withColumn("upto", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    n_users = totals.agg(F.count(F.lit(1))).scalar()
+    ranked = ranked.withColumn("users", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    n_users = F.col("users")
     one, ten, half = _cuts(n_users)
     # The second band starts after the first, which is never empty.
     bounds = [(F.lit(0), one), (one, ten), (ten, half), (half, n_users)]
@@ -164,7 +165,7 @@ def activity_bands(totals: DataFrame) -> DataFrame:
     indexed = with_row_index(
         totals.select("user_id", "total_listens"), F.col("total_listens").desc(), F.col("user_id").asc(), name="position"
     )
-    one, ten, half = _cuts(totals.agg(F.count(F.lit(1))).scalar())
+    one, ten, half = _cuts(indexed.agg(F.max("position") + 1).scalar())
     pos = F.col("position")
     return indexed.withColumn(
         "band",

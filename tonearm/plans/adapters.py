@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.resolve import user_artist_counts
 from ..session import staged
@@ -21,9 +22,14 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table; its file footer is looked at only once."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     @cached_property
     def listens(self) -> DataFrame:

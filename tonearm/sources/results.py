@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import parse_count, seed_name
+from ..functions.text import SEED_FILE_PREFIX
 from ..schemas import RECOMMENDATIONS
 
 # Fixed value: the log line that holds the mapping counts.
@@ -14,9 +15,16 @@ MAPPING_LINE = r"MSID to MBID mapping:\s*([\d,]+) mapped.*?([\d,]+) unmapped"
 
 
 def read_recommendation_files(spark: SparkSession, path: str) -> DataFrame:
-    """All ``similar_to_*.csv`` files of a folder, the seed's name taken from the file name."""
-    files = spark.read.schema(RECOMMENDATIONS).option("header", True).option("pathGlobFilter", "similar_to_*.csv").csv(path)
-    return files.select(seed_name(F.col("_metadata.file_name")).alias("source_artist"), *RECOMMENDATIONS.names)
+    """All ``similar_to_*.csv`` files of a folder, the seed's name taken from the file name.
+
+    Files of older runs without artist names have null there.
+    """
+    files = spark.read.option("header", True).option("escape", '"').option("pathGlobFilter", f"{SEED_FILE_PREFIX}*.csv").csv(path)
+    fields = [
+        (F.col(f.name).try_cast(f.dataType) if f.name in files.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in RECOMMENDATIONS.fields
+    ]
+    return files.select(seed_name(F.col("_metadata.file_name")).alias("source_artist"), *fields)
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
