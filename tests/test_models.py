@@ -41,6 +41,19 @@ def test_item_of_every_user_has_a_negative_weight(spark):
     assert w[(0, "x")] < 0 < w[(0, "y")]
 
 
+def test_users_without_a_positive_weight(spark):
+    """Every user plays x, some only x: those users and x end up at zero, the fit does not fail."""
+    data = [(u, "x", 5) for u in range(12)] + [(u, f"y{u % 3}", 4) for u in range(8)] + [(u, f"y{(u + 1) % 3}", 2) for u in range(4)]
+    counts = spark.createDataFrame(data, COUNTS)
+    artists, users = recommend.dense_index(counts, "artist_id", "item_idx"), recommend.dense_index(counts, "user_id", "user_idx")
+    entries = recommend.bm25_weights(counts).join(artists, "artist_id").join(users, "user_id")
+    model = recommend.train_model(entries, factors=16, iterations=3)
+    got = {r["artist_id"]: r["features"] for r in recommend.artist_factors(model, artists).collect()}
+    assert set(got) == {"x", "y0", "y1", "y2"} and all(len(v) == 16 for v in got.values())
+    assert got["x"] == [0.0] * 16 and any(got["y0"])
+    assert recommend.training_loss(model, entries).first()["entries"] == len(data)
+
+
 def test_model_recovers_blocks_and_is_saved(spark, blocks, tmp_path):
     root = str(tmp_path)
     model, index = jobs.model_for(spark, blocks, root, factors=8, iterations=8)

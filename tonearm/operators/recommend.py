@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_SEEDS
-from ..session import shared_dir
+from ..session import staged
 from .indexing import dense_index
 from .resolve import add_artist_names
 from .sets import head_per_group
@@ -83,10 +83,17 @@ def train_model(
 ) -> ALSModel:
     """Implicit-feedback ALS over (user_idx, item_idx, weight).
 
-    Lineage is cut every few iterations in the shared folder. ``blocks`` is the
-    number of user and of item blocks; set it to the cores of the cluster.
+    A user or item without a positive weight has the zero vector as its
+    solution and adds nothing to others, so it stays out of the fit; its system
+    would have no regularisation. Lineage is cut every few iterations in the
+    shared folder. ``blocks`` is the number of user and of item blocks; set it
+    to the cores of the cluster.
     """
-    shared_dir(weighted.sparkSession)
+    weighted = staged(weighted.select("user_idx", "item_idx", "weight"), "ratings")
+    positive = weighted.filter(F.col("weight") > 0)
+    weighted = weighted.join(positive.select("user_idx").distinct(), "user_idx", "left_semi").join(
+        positive.select("item_idx").distinct(), "item_idx", "left_semi"
+    )
     width = blocks or weighted.sparkSession.sparkContext.defaultParallelism
     als = ALS(
         rank=factors,
@@ -119,8 +126,8 @@ def training_loss(model: ALSModel, weighted: DataFrame, alpha: float = ALPHA) ->
     dot = F.aggregate(F.zip_with("u", "v", lambda a, b: (a * b).cast("double")), F.lit(0.0), lambda s, x: s + x)
     confidence = F.lit(1.0) + F.lit(alpha) * F.abs("weight")
     wanted = F.when(F.col("weight") > 0, 1.0).otherwise(0.0)
-    scored = weighted.join(users, "user_idx").join(items, "item_idx").select(
-        confidence.alias("c"), (wanted - dot).alias("e")
+    scored = weighted.join(users, "user_idx", "left").join(items, "item_idx", "left").select(
+        confidence.alias("c"), (wanted - F.coalesce(dot, F.lit(0.0))).alias("e")
     )
     return scored.agg(
         F.count(F.lit(1)).alias("entries"), F.try_divide(F.sum(F.col("c") * F.col("e") * F.col("e")), F.sum("c")).alias("loss")
@@ -128,9 +135,10 @@ def training_loss(model: ALSModel, weighted: DataFrame, alpha: float = ALPHA) ->
 
 
 def artist_factors(model: ALSModel, artist_index: DataFrame) -> DataFrame:
-    """(artist_id, features)."""
+    """(artist_id, features) of every artist; zeros for one without a positive weight."""
     factors = model.itemFactors.select(F.col("id").cast("long").alias("item_idx"), "features")
-    return factors.join(artist_index, "item_idx").select("artist_id", "features")
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), model.rank)
+    return artist_index.join(factors, "item_idx", "left").select("artist_id", F.coalesce("features", zeros).alias("features"))
 
 
 # -- similar items ---------------------------------------------------------
