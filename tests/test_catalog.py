@@ -35,9 +35,6 @@ def test_every_check_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-PYTHON = {"jn13_similar_names_matching", "ml04_similar_items", "ml04_similar_items_blocked", "src11_recommendation_files", "snk03_folder_per_seed"}
-
-
 @pytest.mark.parametrize("name", ["ag01_user_artist_counts", "ag16_mapping_coverage", "ag21_duplicate_listens", "ag36_mean_overlap", "gr06_redirect_chains", "jn14_artist_search", "ml02_bm25_weights", "set03_best_mapping"])
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
