@@ -10,10 +10,11 @@ A task goes through its buckets in order, a bounded block at a time, and sorts a
 two suffixes some shift below 31 lands both in the sample, whose ranks were made beforehand by doubling. Starts
 that agree with a sorted neighbour on 200 bytes are repeats. Memory depends on the block alone.
 
-Equal stretches count as repeats without sorting, and one of them stands for all. A bucket with more than ``hot``
-stretches is not sorted in one task: its stretches that are not equal to another one as a whole are cut into
-single strings, and equal strings are counted, which combines before the shuffle. Texts that are equal as a whole
-are worked on once.
+Equal stretches count as repeats without sorting, and one of them stands for all. Buckets with more than ``hot``
+stretches are divided while they are fetched: starts fall into bands of 32 by their distance from the anchor, and
+a band's bucket is named by the 169 bytes that all its strings share, so a common line no longer makes a bucket.
+From 64 times as many stretches on the bands have one start, whose bucket is the string itself and needs no
+sorting. Texts that are equal as a whole are worked on once.
 
 Offsets are of UTF-8 bytes. A null text is empty; texts under 200 bytes lose nothing. Repeated rows are copies
 of one another and lose all they have, from 200 bytes on. Rows without an id are treated like others. An empty
@@ -35,6 +36,8 @@ from tonearm.session import staged
 from .common import texts_of
 
 LENGTH, GRAM, HOT = 200, 24, 1 << 15
+#: Width of the bands of starts in hot buckets, and how many times as hot a bucket has bands of one.
+BAND, HOTTER = 32, 64
 #: Bytes of stretches that are sorted at once.
 BLOCK = 1 << 21
 #: A perfect difference set: every difference modulo 31 occurs.
@@ -59,7 +62,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(hash, first start, number of starts) of each run of starts with one anchor."""
+    """(hash, first start, number of starts, from there to the anchor) of each run of starts with one anchor."""
     window = length - GRAM + 1
     out: list[tuple[np.ndarray, ...]] = []
     for at in range(0, len(data) - length + 1, SEGMENT):
@@ -72,8 +75,18 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
         if size < window:
             h = np.minimum(h[: len(h) - (window - size)], h[window - size :])
         cuts = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1))
-        out.append(((h[cuts] >> np.uint64(20)).astype(np.int64), cuts + at, np.diff(np.append(cuts, len(h)))))
-    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        to = (PLACE - (h[cuts] & PLACE)).astype(np.int64) - cuts
+        out.append(((h[cuts] >> np.uint64(20)).astype(np.int64), cuts + at, np.diff(np.append(cuts, len(h))), to))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
+
+
+def bands(data: bytes, bucket: int, lo: int, n: int, to: int, width: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, first start, number of starts) of a hot stretch, cut by the distance of its starts from the anchor."""
+    for band in range((to - n + 1) // width, to // width + 1):
+        last = lo + to - band * width
+        core = data[last : last - width + 1 + length]
+        first, last = max(lo, last - width + 1), min(lo + n - 1, last)
+        yield xxhash.xxh64_intdigest(core, (bucket + band) & (1 << 63) - 1) >> 1, first, last - first + 1
 
 
 def shifts() -> np.ndarray:
@@ -236,62 +249,42 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> tup
                     owner.append(np.full(len(found[-1][0]), i))
             if found:
                 own = pa.array(np.concatenate(owner))
-                h, lo, n = (np.concatenate(c) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(0).take(own), batch.column(1).take(own), pa.array(lo), pa.array(n.astype(np.int32))], names=["bucket", "doc_id", "digest", "lo", "n"])
+                h, lo, n, to = (np.concatenate(c) for c in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(0).take(own), batch.column(1).take(own), pa.array(lo), pa.array((to << 16 | n).astype(np.int32))], names=["bucket", "doc_id", "digest", "lo", "reach"])
 
-    every = staged(rows.mapInArrow(anchored, schema("bucket long, doc_id long, digest binary, lo long, n int")), "anchors")
+    every = staged(rows.mapInArrow(anchored, schema("bucket long, doc_id long, digest binary, lo long, reach int")), "anchors")
     place = F.xxhash64("digest", "lo")
     shared = every.groupBy("bucket").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("members")).where("a != b")
-    shared = staged(shared.select("bucket", (F.col("members") > hot).alias("hot")), "buckets")
-    copies = rows.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
-    wanted = every.join(shared, "bucket").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.collect_set(F.struct("bucket", "lo", "n", "hot")).alias("wanted"))
+    shared = staged(shared.select("bucket", F.when(F.col("members") > hot * HOTTER, 1).when(F.col("members") > hot, BAND).otherwise(0).alias("width")), "buckets")
+    copies = staged(rows.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    wanted = every.join(shared, "bucket").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.collect_set(F.struct("bucket", "lo", "reach", "width")).alias("wanted"))
+
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+    member = schema("bucket long, whole binary, digest binary, lo long, n int, stretch binary")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "whole", "digest", "lo", "n", "stretch", "hot"]
+        made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=member.names)
         for batch in batches:
             out: list[tuple] = []
             for digest, text, wanted_ in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode("utf-8")
                 for x in wanted_:
-                    stretch = data[x["lo"] : x["lo"] + x["n"] + length - 1]
-                    out.append((x["bucket"], xxhash.xxh3_128_digest(stretch), digest, x["lo"], x["n"], stretch, x["hot"]))
+                    n, to = x["reach"] & 0xFFFF, x["reach"] >> 16
+                    parts = bands(data, x["bucket"], x["lo"], n, to, x["width"], length) if x["width"] else [(x["bucket"], x["lo"], n)]
+                    for bucket, lo, starts in parts:
+                        stretch = data[lo : lo + starts + length - 1]
+                        out.append((bucket, xxhash.xxh3_128_digest(stretch), digest, lo, starts, stretch))
                 if len(out) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                    yield made(out)
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield made(out)
 
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
-    member = schema("bucket long, whole binary, digest binary, lo long, n int, stretch binary, hot boolean")
     fetched = rows.join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "text", "wanted").mapInArrow(stretches, member)
-    usual = fetched.where("not hot").drop("hot").repartition("bucket").sortWithinPartitions("bucket", "whole")
-    spans = usual.mapInArrow(in_buckets(length), schema(SPAN))
-    if not shared.where("hot").isEmpty():
-        spans = spans.unionByName(hot_spans(staged(fetched.where("hot").drop("hot"), "hot"), length))
+    spans = fetched.repartition("bucket").sortWithinPartitions("bucket", "whole").mapInArrow(in_buckets(length), schema(SPAN))
     return spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), copies
 
 
-def hot_spans(members: DataFrame, length: int) -> DataFrame:
-    """(digest, start, stop) within buckets of any size, by counts that combine before the shuffle."""
-    spark = members.sparkSession
-    classes = members.groupBy("bucket", "whole").agg(F.count("*").alias("same"))
-    counted = staged(members.join(staged(classes, "classes"), ["bucket", "whole"]), "members")
-    full = counted.where("same > 1").select("digest", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + length - 1).alias("stop"))
-    single = counted.where("same = 1").select("digest", "lo", "stretch").unionByName(counted.where("same > 1").groupBy("bucket", "whole").agg(F.first("stretch").alias("stretch")).select(F.lit(None).cast("binary").alias("digest"), F.lit(0).cast("long").alias("lo"), "stretch"))
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for digest, lo, stretch in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(stretch) - length + 1
-                keys = [xxhash.xxh3_128_digest(stretch[i : i + length]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([digest] * n, pa.binary()), pa.array(range(lo, lo + n), pa.int64())], names=["string", "digest", "start"])
-
-    cut = staged(single.mapInArrow(strings, spark.createDataFrame([], "string binary, digest binary, start long").schema), "strings")
-    again = staged(cut.groupBy("string").agg(F.count("*").alias("same")).where("same > 1").select("string"), "again")
-    found = cut.where("digest is not null").join(again, "string")
-    return full.unionByName(found.select("digest", "start", (F.col("start") + length).alias("stop")))
-
-
 def without(text: str, spans: list[dict]) -> tuple[bytes, int, int]:
     """(remaining bytes, removed bytes, maximal removed runs)."""
     data = text.encode("utf-8")
@@ -333,7 +326,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     kept = kept.select("digest", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     kept = kept.join(copies, "digest", "left_anti")
     base = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.md5("text")).alias("digest"), F.sha2("text", 256).alias("own"))
-    joined = base.join(staged(kept, "kept"), "digest", "left").join(staged(copies, "copies"), "digest", "left")
+    joined = base.join(staged(kept, "kept"), "digest", "left").join(copies, "digest", "left")
     gone = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     return joined.select(
         "doc_id", "n_bytes",
@@ -354,7 +347,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.decode("utf-8", "ignore") for k in batch.column(1).to_pylist()], pa.string())], names=schema.names)
 
     changed = staged(kept.select("digest", "kept").mapInArrow(decoded, schema), "kept")
-    copies = staged(copies, "copies")
     keyed = docs.withColumn("__digest", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     keyed = keyed.join(changed.withColumnsRenamed({"digest": "__digest", "kept": "__kept"}), "__digest", "left").join(copies.withColumnsRenamed({"digest": "__digest", "copies": "__copies"}), "__digest", "left")
     gone = F.col("__copies").isNotNull() & (F.octet_length(text_col) >= length)
