@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 FOLDS = 5
+#: Words of 64 bits in the filter of known ids: 2 MB at any size.
+FILTER_WORDS = 1 << 18
 
 
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
@@ -67,3 +69,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, f
         known = known.where(fold_of() == fold)
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return texts_of(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+
+
+def likely_known(df: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose doc_id may be among the known ones: a superset, found without a shuffle.
+
+    A bit per hashed id, in a table of at most ``FILTER_WORDS`` rows, which is broadcast. It keeps texts that
+    have no label out of the exchange while the known ids are not too many for it, and lets all through beyond.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(64 * FILTER_WORDS))
+    word = F.floor(bit / 64).cast("int")
+    words = known.select(word.alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
+    met = df.withColumn("word", word).join(F.broadcast(words), "word")
+    return met.where(F.expr("(shiftrightunsigned(bits, cast(pmod(xxhash64(doc_id), 64) as int)) & 1) = 1")).select(*df.columns)

@@ -19,16 +19,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import fold_of, labelled_sample, labels_of, map_texts, texts_of
+from .common import fold_of, labelled_sample, labels_of, likely_known, map_texts, texts_of
 
 ORDER, DISCOUNT = 5, 0.75
 #: Primes: the numbers of cells for grams and for contexts.
 CELLS, CONTEXT_CELLS = 2_097_143, 524_287
+#: Cells that travel together.
+PACK = 1 << 14
 #: The fold that calibrates, and the most documents of it that do.
 CALIBRATION_FOLD, CALIBRATION_ROWS = 4, 8192
 COUNTS = ("toxic", "plain", "toxic_fit", "plain_fit")
@@ -69,18 +72,21 @@ def expression_counts(train: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             labels, folds, texts = (c.to_pylist() for c in batch.columns)
-            for label in (0, 1):
-                for fit in (False, True):
-                    read = [grams(t) for y, k, t in zip(labels, folds, texts) if y == label and (k != CALIBRATION_FOLD) == fit]
-                    if not read:
-                        continue
-                    for kind in (0, 1):
-                        found = [r[2 * kind] for r in read]
-                        gram, n = np.unique(np.concatenate(found), return_counts=True)
-                        zero = np.zeros_like(n)
-                        seen = np.unique(np.concatenate([np.unique(f) for f in found]), return_counts=True)[1] if kind else zero
-                        parts = [n if label else zero, zero if label else n, n if label and fit else zero, n if fit and not label else zero, seen]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), kind, np.int32)), pa.array(gram), *map(pa.array, parts)], names=["kind", "gram", *COUNTS, "texts"])
+            read = [grams(t) for t in texts]
+            code = np.array([2 * y + (k != CALIBRATION_FOLD) for y, k in zip(labels, folds)])
+            for kind in (0, 1):
+                found = [r[2 * kind] for r in read]
+                gram, at = np.unique(np.concatenate(found), return_inverse=True)
+                if not len(gram):
+                    continue
+                n = np.bincount(at * 4 + np.repeat(code, [len(f) for f in found]), minlength=4 * len(gram)).reshape(-1, 4)
+                seen = np.zeros(len(gram), np.int64)
+                if kind:
+                    ends = np.cumsum([len(f) for f in found])
+                    for i, j in zip(ends - [len(f) for f in found], ends):
+                        seen[np.unique(at[i:j])] += 1
+                parts = [n[:, 2] + n[:, 3], n[:, 0] + n[:, 1], n[:, 3], n[:, 1], seen]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), kind, np.int32)), pa.array(gram), *map(pa.array, parts)], names=["kind", "gram", *COUNTS, "texts"])
 
     return train.mapInArrow(count, fields).groupBy("kind", "gram").agg(*(F.sum(c).alias(c) for c in (*COUNTS, "texts")))
 
@@ -140,15 +146,24 @@ def word_ratios(counted: DataFrame) -> tuple[DataFrame, dict[str, float]]:
 
 
 def cells_of(rows: DataFrame, key: str, cells: int) -> dict[str, np.ndarray]:
-    """Arrays over all cells; the driver gets a row per cell at most."""
+    """Arrays over all cells, gathered in blocks: the driver gets four bytes per cell and figure, whatever the corpus."""
     w = F.col("weight")
     by_cell = rows.groupBy((F.col(key) % cells).cast("int").alias("cell")).agg(*((F.sum(F.col(c) * w) / F.sum(w)).cast("float").alias(c) for c in ("all", "fit")))
-    found = by_cell.toPandas()
-    out = {}
-    for c in ("all", "fit"):
-        out[c] = np.full(cells, np.nan, np.float32)
-        out[c][found["cell"].to_numpy()] = found[c].to_numpy()
-    return out
+
+    def packed(block: pd.DataFrame) -> pd.DataFrame:
+        at, out = block["cell"].to_numpy() % PACK, {}
+        for c in ("all", "fit"):
+            values = np.full(PACK, np.nan, np.float32)
+            values[at] = block[c].to_numpy()
+            out[c] = [values.tobytes()]
+        return pd.DataFrame({"block": [int(block["cell"].iloc[0]) // PACK], **out})
+
+    blocks = by_cell.withColumn("b", F.floor(F.col("cell") / PACK)).groupBy("b").applyInPandas(packed, "block int, all binary, fit binary")
+    out = {c: np.full(-(-cells // PACK) * PACK, np.nan, np.float32) for c in ("all", "fit")}
+    for r in blocks.toLocalIterator():
+        for c in out:
+            out[c][r.block * PACK : (r.block + 1) * PACK] = np.frombuffer(r[c], np.float32)
+    return {c: v[:cells] for c, v in out.items()}
 
 
 def highest(words: np.ndarray) -> tuple[float, float]:
@@ -187,7 +202,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     """(doc_id, held_out, score, predicted) per row, by models of the labelled rows outside the held-out fold."""
     spark = docs.sparkSession
     known = labels_of(labels, label)
-    train = texts_of(docs, id_col, text_col).join(known, "doc_id").select(F.when(F.col("label") > 0, 1).otherwise(0).alias("label"), fold_of().alias("fold"), "text")
+    train = likely_known(texts_of(docs, id_col, text_col), known).join(known, "doc_id").select(F.when(F.col("label") > 0, 1).otherwise(0).alias("label"), fold_of().alias("fold"), "text")
     counted = staged(expression_counts(train), "expressions")
     by_gram, by_context = ratios(counted.where("kind = 0").drop("kind", "texts"))
     by_word, no_word = word_ratios(counted.where("kind = 1").drop("kind"))
