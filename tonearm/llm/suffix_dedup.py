@@ -42,6 +42,8 @@ BAND, HOTTER = 32, 64
 BLOCK = 1 << 21
 #: A perfect difference set: every difference modulo 31 occurs.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
+#: Stretches that a task remembers to forward equal ones twice only.
+SEEN = 1 << 18
 PLACE = np.uint64((1 << 20) - 1)
 SEGMENT = 1 << 19
 
@@ -205,6 +207,9 @@ def in_buckets(length: int):
         out: list[tuple[bytes, int, int]] = []
         for batch in batches:
             for b, w, digest, lo, n, stretch in zip(*(c.to_pylist() for c in batch.columns)):
+                if stretch is None:
+                    out.append((digest, lo, lo + n + length - 1))
+                    continue
                 if b != bucket:
                     if alone and held:
                         held.pop()  # a bucket of one stretch has no partner
@@ -264,6 +269,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> tup
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=member.names)
+        seen: dict[bytes, int] = {}
         for batch in batches:
             out: list[tuple] = []
             for digest, text, wanted_ in zip(*(c.to_pylist() for c in batch.columns)):
@@ -273,14 +279,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> tup
                     parts = bands(data, x["bucket"], x["lo"], n, to, x["width"], length) if x["width"] else [(x["bucket"], x["lo"], n)]
                     for bucket, lo, starts in parts:
                         stretch = data[lo : lo + starts + length - 1]
-                        out.append((bucket, xxhash.xxh3_128_digest(stretch), digest, lo, starts, stretch))
+                        whole = xxhash.xxh3_128_digest(stretch)
+                        times = seen[whole] = seen.get(whole, 0) + 1
+                        # two equal stretches speak for all of the task's; the others are repeats already, and travel by text
+                        out.append((bucket, whole, digest, lo, starts, stretch) if times < 3 else (-1 - (digest[0] << 8 | digest[1]), digest, digest, lo, starts, None))
+                if len(seen) > SEEN:
+                    seen.clear()
                 if len(out) > 20_000:
                     yield made(out)
                     out = []
             if out:
                 yield made(out)
 
-    fetched = rows.join(wanted, "digest").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "text", "wanted").mapInArrow(stretches, member)
+    # one row of each text; told by a comparison that is no join key, so that both joins use one exchange of the texts
+    one = F.least("doc_id", "first_id") == F.greatest("doc_id", "first_id")
+    fetched = rows.join(wanted, "digest").where(F.coalesce(one, F.lit(True))).select("digest", "text", "wanted").mapInArrow(stretches, member)
     spans = fetched.repartition("bucket").sortWithinPartitions("bucket", "whole").mapInArrow(in_buckets(length), schema(SPAN))
     return spans.groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), copies
 
@@ -303,11 +316,11 @@ def without(text: str, spans: list[dict]) -> tuple[bytes, int, int]:
 
 
 def kept_texts(rows: DataFrame, length: int, hot: int) -> tuple[DataFrame, DataFrame]:
-    """((digest, kept, n_removed, n_spans) of the texts that lose bytes, (digest, copies))."""
+    """((digest, kept, n_removed, n_spans) of the texts in one row that lose bytes, (digest, copies) of the others)."""
     spans, copies = repeated_spans(rows, length, hot)
     spark = rows.sparkSession
     texts = rows.select("doc_id", F.unhex(F.md5("text")).alias("digest"), "text")
-    once = texts.select("digest", "text").join(spans, "digest")
+    once = texts.join(spans.join(copies, "digest", "left_anti"), "digest").select("digest", "text", "spans", "doc_id")  # the same columns as before: the texts' exchange is used again
     schema = spark.createDataFrame([], "digest binary, kept binary, n_removed long, n_spans long").schema
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +337,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     rows = texts_of(docs, id_col, text_col)
     kept, copies = kept_texts(rows, length, hot)
     kept = kept.select("digest", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    kept = kept.join(copies, "digest", "left_anti")
     base = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.md5("text")).alias("digest"), F.sha2("text", 256).alias("own"))
     joined = base.join(staged(kept, "kept"), "digest", "left").join(copies, "digest", "left")
     gone = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
