@@ -1,0 +1,144 @@
+"""Classifiers, URL verdicts, neighbours, mixing and the pipeline."""
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tonearm.llm import mixing, neighbours, quality, toxicity, url_filter
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def held_out_auc(scored, labels, label):
+    rows = scored.join(labels, "doc_id").where("held_out").select("score", label).collect()
+    y, s = np.array([r[label] for r in rows]), np.array([r.score for r in rows])
+    return (s[y == 1][:, None] > s[y == 0][None, :]).mean() + 0.5 * (s[y == 1][:, None] == s[y == 0][None, :]).mean()
+
+
+def test_quality_on_held_out_documents(docs, labels):
+    model = quality.fit_quality(docs, labels)
+    scored = quality.score_quality(docs, model)
+    assert held_out_auc(scored, labels, "quality") > 0.97
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for r in scored.collect())
+
+
+def test_attention_gradient():
+    rng = np.random.default_rng(0)
+    x, starts, y = rng.normal(size=(12, quality.FEATURES)), np.array([0, 3, 4, 9]), np.array([0.0, 1, 1, 0])
+    before = quality.Attention()
+    loss = lambda m: -np.mean(y * np.log(m.forward(x, starts)["y"]) + (1 - y) * np.log(1 - m.forward(x, starts)["y"]))
+    assert loss(quality.Attention().fit(x, starts, y)) < loss(before) / 5
+
+
+def test_toxicity_on_held_out_documents(docs, labels):
+    scored = toxicity.score_toxicity(docs, labels)
+    assert held_out_auc(scored, labels, "toxic") > 0.7  # some forty toxic documents to learn from
+
+
+def test_scores_of_odd_rows(odd_docs, no_docs, odd_labels):
+    few = [quality.score_quality(odd_docs, quality.fit_quality(odd_docs, odd_labels)), toxicity.score_toxicity(odd_docs, odd_labels)]
+    none = odd_labels.limit(0)
+    few += [quality.score_quality(odd_docs, quality.fit_quality(odd_docs, none)), toxicity.score_toxicity(odd_docs, none)]
+    for scored in few:
+        rows = scored.collect()
+        assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+        assert [r.held_out for r in rows if r.doc_id is None] == [False]
+    assert quality.score_quality(no_docs, quality.fit_quality(no_docs, odd_labels)).count() == 0
+    assert toxicity.score_toxicity(no_docs, odd_labels).count() == 0
+
+
+URLS = [
+    ("http://A.Example.NET/en/x?y=1#z", "a.example.net", "/en/x", "example.net/en/", "allow"), ("https://x.net", "x.net", "", None, None),
+    ("https://x.net/", "x.net", "/", "net/", "block"), ("http://notexample.com/de/1", "notexample.com", "/de/1", None, None),
+    ("http://example.com/de/1", "example.com", "/de/1", "example.com/de/", "block"), ("ftp://b.org/fr/", "b.org", "/fr/", "org/fr/", "allow"),
+    ("no scheme", "", "", None, None), (None, "", "", None, None), ("", "", "", None, None), ("a://b://c.net/", "b:", "//c.net/", None, None), ("x://?q", "", "", None, None),
+]
+
+
+def test_url_rules(spark):
+    frame = spark.createDataFrame([(i, u[0], "clash") for i, u in enumerate(URLS * 2)], "page_id long, url string, verdict string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(frame).collect()}
+    assert len(got) == 2 * len(URLS)
+    for i, (_, host, path, rule, verdict) in enumerate(URLS * 2):
+        assert got[i][:3] == (host, path, rule) and got[i][3] == verdict if verdict else got[i][3] in ("allow", "block")
+    assert url_filter.judge_urls(frame.limit(0)).count() == 0
+    assert {r.verdict for r in url_filter.judge_urls(frame.where("url = 'no scheme'")).collect()} == {"allow"}
+
+
+def test_neighbours_reach_recall_with_exact_scores(spark):
+    frame = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = frame.collect()
+    x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    hit = total = 0
+    for q in neighbours.search(frame).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("l")).collect():
+        score = x @ x[ids == q.query_id][0]
+        best = [i for i in ids[np.lexsort((ids, -score))] if i != q.query_id][:20]
+        assert [n.rank for n in q.l] == list(range(1, 21))
+        assert all(n.score == pytest.approx(score[ids == n.vec_id][0], abs=1e-12) for n in q.l)
+        hit, total = hit + len({n.vec_id for n in q.l} & set(best)), total + 20
+    assert total == 20 * sum(i % 20 == 0 for i in ids) and hit / total >= 0.9
+
+
+def test_neighbours_of_odd_rows(spark):
+    nan, one = float("nan"), [1.0, 0.0]
+    rows = [(0, one), (20, one), (1, one), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, one), (40, [0.0, 0.0]), (1, one)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
+    got = sorted(tuple(r) for r in neighbours.search(frame).collect())
+    assert got == [(0, 1, 1, 1.0), (0, 2, 20, 1.0), (0, 3, 2, 0.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0), (20, 3, 2, 0.0)]
+    assert neighbours.search(frame.limit(0)).count() == 0
+
+
+def test_mixture_keeps_all_and_meets_the_limit(docs):
+    rows = mixing.mix_schedule(docs, limit=1.5).collect()
+    tokens = {}
+    for r in docs.collect():
+        tokens[r.source] = tokens.get(r.source, 0) + len(r.text.split())
+    read = {}
+    for r in rows:
+        read[r.source] = read.get(r.source, 0) + r.n_tokens
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.select("doc_id").collect()}
+    p = np.array(sorted(v / sum(tokens.values()) for v in tokens.values()))
+    exponent = max(0.0, 1 - math.log(1.5) / math.log(p[-1] / p[0]))
+    for source, n in tokens.items():
+        target = (n / sum(tokens.values()) / p[-1]) ** (exponent - 1)
+        assert target * n - max(r.n_tokens for r in rows) <= read[source] <= target * n * (1 + 1e-3)
+
+
+def test_mixture_to_an_entropy_and_a_budget(docs):
+    weights = {r.source: r.weight for r in mixing.mix_schedule(docs, entropy=0.999, budget=1e5).collect()}
+    every = mixing.plan(mixing.token_rows(docs), entropy=0.999, budget=1e5).collect()
+    w = np.array([r.weight for r in every])
+    assert w.sum() == pytest.approx(1) and -(w * np.log(w)).sum() >= 0.999 * math.log(len(w)) - 1e-4 and weights
+    assert sum(r.n_tokens for r in mixing.mix_schedule(docs, budget=1e5).collect()) <= 1e5
+
+
+def test_mixture_of_odd_rows(odd_docs, no_docs):
+    assert mixing.mix_schedule(odd_docs).select("doc_id").distinct().count() == odd_docs.select("doc_id").distinct().count()
+    assert mixing.mixed(odd_docs).columns == odd_docs.columns
+    assert mixing.mix_schedule(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
+
+
+def test_pipeline_stages(spark, docs):
+    columns = docs.columns
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, left, SF)
+        assert after.columns == columns, name
+        left = spark.createDataFrame(after.collect(), docs.schema)
+    assert {r.doc_id for r in left.select("doc_id").collect()} <= {r.doc_id for r in docs.select("doc_id").collect()}
+    ids = corpus_pipeline.STAGES[4][1](spark, left, SF).collect()
+    assert len(ids) == left.count() and all(r.n_tokens == len(r.ids) for r in ids)
