@@ -70,11 +70,11 @@ def test_model_recovers_blocks_and_is_saved(spark, blocks, tmp_path):
         assert {r["artist_id"][0] for r in found} == {seed[0]}
         assert [r["rank"] for r in found] == list(range(1, 9))
     assert got["a0"][0]["artist_name"] == "Name 0" and got["b1"][0]["artist_name"] == "Unknown Artist"
-    again = sinks.load_model(spark, root, sinks.content_fingerprint(blocks))
+    again = sinks.load_model(spark, root, jobs.model_key(blocks, factors=8, iterations=8))
     assert again is not None and rows(again[1]) == rows(index)
     assert sinks.load_model(spark, root, "other") is None
     other, _ = jobs.model_for(spark, blocks, root, factors=3, iterations=1)
-    assert other.rank == 8, "the saved model is used"
+    assert other.rank == 3, "other parameters are another model"
     entries = recommend.bm25_weights(blocks).join(again[1], "artist_id").join(again[2], "user_id")
     assert recommend.training_loss(model, entries).first()["loss"] < 0.5
 

@@ -268,7 +268,7 @@ def ag22_names(t: Tables) -> DataFrame:
     "ag22_duplicate_members",
     """
     SELECT p_partkey, p_name FROM part WHERE p_name IN (
-      SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 1 ORDER BY p_name LIMIT 5)
+      SELECT p_name FROM part GROUP BY p_name HAVING count(*) > 1)
     """,
     views=False,
 )

@@ -211,7 +211,7 @@ def jn13(t: Tables) -> DataFrame:
 
 @query("jn13_similar_names_matching")
 def jn13_matching(t: Tables) -> DataFrame:
-    """By matching blocks, on the report's repeatable sample of at most 1000 values."""
+    """By matching blocks, over all distinct titles."""
     titles = t.read("part").select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("title")).distinct()
     return rounded(search.similar_pairs(titles, "title"), "similarity")
 

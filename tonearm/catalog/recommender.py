@@ -14,8 +14,6 @@ from .base import query, r6, rounded
 from .ingest import SIMILAR_SQL, label_vectors
 from .joins import _INDEX
 
-# Settings for the registered runs; the operators' defaults are the full ones.
-SMALL_MODEL = {"factors": 16, "iterations": 5}
 
 
 @query("ml01_matrix", _INDEX + "SELECT user_idx, item_idx, listen_count FROM counts JOIN ai USING (artist_id) JOIN ui USING (user_id)")
@@ -47,12 +45,12 @@ def _weighted(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "ml03_factors_per_artist",
-    "SELECT DISTINCT artist_id, CAST(16 AS INTEGER) AS factors, TRUE AS finite FROM counts",
+    "SELECT DISTINCT artist_id, CAST(64 AS INTEGER) AS factors, TRUE AS finite FROM counts",
 )
 def ml03_shape(t: Tables) -> DataFrame:
     """Every artist has a vector of the asked length, and no number in it is lost."""
     entries, artists = _weighted(t)
-    model = recommend.train_model(entries, **SMALL_MODEL)
+    model = recommend.train_model(entries)
     finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
     return recommend.artist_factors(model, artists).select("artist_id", F.size("features").alias("factors"), finite.alias("finite"))
 
@@ -61,7 +59,7 @@ def ml03_shape(t: Tables) -> DataFrame:
 def ml03(t: Tables) -> DataFrame:
     """Factors per artist with their length, and the training loss."""
     entries, artists = _weighted(t)
-    model = recommend.train_model(entries, **SMALL_MODEL)
+    model = recommend.train_model(entries)
     loss = recommend.training_loss(model, entries).select("loss").scalar()
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + (x * x).cast("double")))
     return recommend.artist_factors(model, artists).select("artist_id", F.size("features").alias("factors"), norm.alias("norm"), loss.alias("loss"))
@@ -85,7 +83,7 @@ def ml04_blocked(t: Tables) -> DataFrame:
 @query("ml05_recommendations")
 def ml05(t: Tables) -> DataFrame:
     """The most played artists' 20 nearest artists with names."""
-    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"), **SMALL_MODEL)
+    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"))
     return jobs.recommendations_for(t.spark, t.landed_counts, model, index, t.artists)
 
 
@@ -100,7 +98,7 @@ def ml05(t: Tables) -> DataFrame:
 )
 def ml05_shape(t: Tables) -> DataFrame:
     """Each of the ten most played artists has 20 ranked ones, itself among them, the best at similarity 1."""
-    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"), **SMALL_MODEL)
+    model, index = jobs.model_for(t.spark, t.landed_counts, scratch_path(t.spark, "model"))
     recs = jobs.recommendations_for(t.spark, t.landed_counts, model, index, t.artists)
     return recs.groupBy("source_artist_id", "source_artist").agg(
         F.count(F.lit(1)).alias("n"),
@@ -188,8 +186,8 @@ def ml11(t: Tables) -> DataFrame:
 def snk06_artists(t: Tables) -> DataFrame:
     """Artists of the model that was saved and loaded again."""
     root = scratch_path(t.spark, "saved-model")
-    jobs.model_for(t.spark, t.landed_counts, root, **SMALL_MODEL)
-    model, index, _ = sinks.load_model(t.spark, root, sinks.content_fingerprint(t.landed_counts))
+    jobs.model_for(t.spark, t.landed_counts, root)
+    model, index, _ = sinks.load_model(t.spark, root, jobs.model_key(t.landed_counts))
     return recommend.artist_factors(model, index).select("artist_id")
 
 
@@ -197,7 +195,7 @@ def snk06_artists(t: Tables) -> DataFrame:
 def snk06(t: Tables) -> DataFrame:
     """Train, save, load by the fingerprint of the data; factors of the loaded model."""
     root = scratch_path(t.spark, "saved-model")
-    jobs.model_for(t.spark, t.landed_counts, root, **SMALL_MODEL)
-    model, index, _ = sinks.load_model(t.spark, root, sinks.content_fingerprint(t.landed_counts))
+    jobs.model_for(t.spark, t.landed_counts, root)
+    model, index, _ = sinks.load_model(t.spark, root, jobs.model_key(t.landed_counts))
     factors = recommend.artist_factors(model, index)
     return factors.select("artist_id", r6(F.col("features")[0], "first_factor"))

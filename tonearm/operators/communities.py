@@ -80,28 +80,31 @@ def _contract(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
     )
 
 
-def detect_communities(edges: DataFrame, max_levels: int = 5, max_rounds: int = 10, min_gain: float = 1e-3) -> DataFrame:
+def detect_communities(edges: DataFrame, guard: int = 500) -> DataFrame:
     """(node, community). Communities are named after their lowest node.
 
-    Rounds end when one adds less than ``min_gain`` to the modularity. State is
-    written to the shared folder after every round, which keeps the plan short
+    Rounds go on until one does not raise the modularity, levels until one has
+    no round that does. More than ``guard`` rounds in all are an error, never a
+    half result. State is written to the shared folder after every round, which keeps the plan short
     and survives lost executors.
     """
     adjacency = staged(_adjacency(edges), "graph")
     two_m = adjacency.agg(F.sum("w").alias("w")).first()["w"]
     membership = adjacency.select("node").distinct().select("node", F.col("node").alias("community"))
     best_q = -1.0
-    for level in range(max_levels if two_m else 0):
+    turn, open_level = 0, bool(two_m)
+    while open_level:
         state = adjacency.groupBy("node").agg(F.sum("w").alias("k")).select("node", F.col("node").alias("community"), "k")
         best = None
-        for turn in range(max_rounds):
-            state = staged(_move(adjacency, state, two_m, level * max_rounds + turn), "moves")
+        while True:
+            turn += 1
+            if turn > guard:
+                raise RuntimeError(f"communities still change after {guard} rounds")
+            state = staged(_move(adjacency, state, two_m, turn), "moves")
             q = _modularity(adjacency, state).first()["modularity"]
-            gained, improved = q - best_q, q > best_q
-            if improved:
-                best, best_q = state, q
-            if gained < min_gain:
+            if q <= best_q + 1e-12:
                 break
+            best, best_q = state, q
         if best is None:
             break
         names = best.select(F.col("node").alias("community"), F.col("community").alias("to"))

@@ -59,8 +59,8 @@ def duplicate_profile(df: DataFrame, *keys: str) -> DataFrame:
     return row.withColumn("duplicate_pct", percent(F.col("duplicate_rows"), F.col("rows")))
 
 
-def duplicate_members(df: DataFrame, key: str, sample: int | None = 5) -> DataFrame:
-    """All rows of the first ``sample`` duplicated keys (of every one with ``None``)."""
+def duplicate_members(df: DataFrame, key: str, sample: int | None = None) -> DataFrame:
+    """All rows of the duplicated keys, or of the first ``sample`` of them."""
     keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
     if sample is not None:
         keys = keys.orderBy(key).limit(sample)
@@ -220,7 +220,7 @@ def redirect_profile(redirects: DataFrame) -> DataFrame:
         _count_if(F.col("recording_mbid") == F.col("canonical_recording_mbid")).alias("self_redirects"),
     ).withColumn("self_redirect_pct", percent(F.col("self_redirects"), F.col("rows")))
     targets = redirects.select(F.col("canonical_recording_mbid").alias("recording_mbid")).dropna().distinct()
-    chained = targets.join(redirects.select("recording_mbid"), "recording_mbid", "left_semi").agg(
+    chained = targets.join(redirects.select("recording_mbid").distinct(), "recording_mbid", "left_semi").agg(
         F.count(F.lit(1)).alias("redirected_targets")
     )
     return combine_rows(row, chained)

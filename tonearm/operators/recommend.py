@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_SEEDS
@@ -152,20 +152,21 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n best (score, id) of one seed, equal scores by id."""
+def _best(scores: np.ndarray, ids: np.ndarray, n: int, own: str) -> tuple[np.ndarray, np.ndarray]:
+    """The n best (score, id) of one seed: itself first, then by score, equal scores by id."""
+    ranked = np.where(ids == own, np.inf, scores)
     if len(scores) > n:
-        floor = np.partition(scores, len(scores) - n)[len(scores) - n]
-        keep = scores >= floor
-        scores, ids = scores[keep], ids[keep]
-    order = np.lexsort((ids, -scores))[:n]
+        floor = np.partition(ranked, len(ranked) - n)[len(ranked) - n]
+        keep = ranked >= floor
+        scores, ids, ranked = scores[keep], ids[keep], ranked[keep]
+    order = np.lexsort((ids, -ranked))[:n]
     return scores[order], ids[order]
 
 
 def _score_block(seed_ids: np.ndarray, seeds: np.ndarray, items: pd.DataFrame, n: int) -> pd.DataFrame:
     """The n best items of every seed (unit vectors) within one block of items."""
     ids = items["item_id"].to_numpy()
-    best = [_best(row, ids, n) for row in seeds @ _unit(items["features"]).T]
+    best = [_best(row, ids, n, own) for own, row in zip(seed_ids, seeds @ _unit(items["features"]).T)]
     return pd.DataFrame(
         {
             "seed_id": np.repeat(seed_ids, [len(s) for s, _ in best]),
@@ -226,11 +227,12 @@ def similar_items(seeds: DataFrame, items: DataFrame, n: int = SIMILAR_ITEMS, se
             return _score_block(s["sid"].to_numpy(), _unit(s["svec"]), i, n)
 
         scored = left.groupBy("sb", "ib").cogroup(right.groupBy("sb", "ib")).applyInPandas(multiply, _SCORED)
-    return head_per_group(scored, "seed_id", n, F.col("score").desc(), F.col("item_id").asc())
+    return head_per_group(scored, "seed_id", n, (F.col("item_id") == F.col("seed_id")).desc(), F.col("score").desc(), F.col("item_id").asc())
 
 
 def _merge(rows: pd.DataFrame, n: int) -> pd.DataFrame:
-    ordered = rows.sort_values(["seed_id", "score", "item_id"], ascending=[True, False, True], kind="stable")
+    rows = rows.assign(other=rows["seed_id"] != rows["item_id"])
+    ordered = rows.sort_values(["seed_id", "other", "score", "item_id"], ascending=[True, True, False, True], kind="stable").drop(columns="other")
     return ordered.groupby("seed_id", sort=False).head(n)
 
 
@@ -264,11 +266,22 @@ def select_seeds(counts: DataFrame, requested: DataFrame | None = None, defaults
     return popular.unionByName(present).distinct()
 
 
+def _has_direction() -> Column:
+    return F.exists("features", lambda x: x != 0)
+
+
+def seeds_without_factors(seeds: DataFrame, factors: DataFrame) -> DataFrame:
+    """Seeds that get no recommendations: no vector, or a zero one."""
+    known = factors.where(_has_direction()).select("artist_id")
+    return seeds.select("artist_id").distinct().join(known, "artist_id", "left_anti")
+
+
 def recommend(seeds: DataFrame, factors: DataFrame, artists: DataFrame, n: int = SIMILAR_ITEMS) -> DataFrame:
-    """Ranked similar artists of all seeds in one job. Seeds without factors have no rows."""
+    """Ranked similar artists of all seeds in one job, the seed itself first. Seeds without a direction have no rows:
+    ``seeds_without_factors`` names them."""
     items = factors.select(F.col("artist_id").alias("item_id"), "features")
     wanted = seeds.select(F.col("artist_id").alias("item_id")).distinct()
-    vectors = items.join(wanted, "item_id", "left_semi").select(F.col("item_id").alias("seed_id"), "features")
+    vectors = items.join(wanted, "item_id", "left_semi").where(_has_direction()).select(F.col("item_id").alias("seed_id"), "features")
     scored = similar_items(vectors, items, n).select(
         F.col("seed_id").alias("source_artist_id"),
         F.col("rank"),

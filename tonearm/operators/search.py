@@ -24,8 +24,8 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of characters in matching blocks."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    """Share of characters in matching blocks; no character is ignored for being frequent, at any length."""
+    return pd.Series([SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)])
 
 
 def _char_tokens(text: Column) -> Column:
@@ -83,14 +83,14 @@ def similar_pairs(
     df: DataFrame,
     column: str,
     threshold: float = SIMILARITY_THRESHOLD,
-    sample_size: int | None = SAMPLE_SIZE,
+    sample_size: int | None = None,
     measure: str = "matching",
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
     """Pairs of different values of similarity in [threshold, 1).
 
-    The report looks at a repeatable sample of ``sample_size`` values; ``None``
-    takes all of them. Every candidate is verified with the exact measure,
+    All values are compared; a report may ask for a repeatable sample of
+    ``sample_size`` of them. Every candidate is verified with the exact measure,
     ``matching`` (blocks) or ``levenshtein``.
     """
     values = df.select(column).filter(F.col(column).isNotNull())

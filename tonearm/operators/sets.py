@@ -15,12 +15,12 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 def keys_in_both(a: DataFrame, b: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """Distinct keys of ``a`` that occur in ``b``."""
-    return a.select(key).dropna().distinct().join(b.select(F.col(other_key or key).alias(key)), key, "left_semi")
+    return a.select(key).dropna().distinct().join(b.select(F.col(other_key or key).alias(key)).distinct(), key, "left_semi")
 
 
 def keys_missing(a: DataFrame, b: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """Distinct keys of ``a`` that do not occur in ``b``."""
-    return a.select(key).dropna().distinct().join(b.select(F.col(other_key or key).alias(key)), key, "left_anti")
+    return a.select(key).dropna().distinct().join(b.select(F.col(other_key or key).alias(key)).distinct(), key, "left_anti")
 
 
 def distinct_items(df: DataFrame, list_column: str, name: str = "item") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.recommendation import ALSModel
@@ -73,9 +75,17 @@ def build_counts(
     return counts, quality, path
 
 
+def model_key(counts: DataFrame, **options) -> str:
+    """Names a model by its data and by all parameters of the fit, given or default."""
+    defaults = {k: p.default for k, p in inspect.signature(recommend.train_model).parameters.items() if p.default is not p.empty}
+    settings = sorted((defaults | options).items())
+    weighting = [(k, p.default) for k, p in inspect.signature(recommend.bm25_weights).parameters.items() if p.default is not p.empty]
+    return f"{sinks.content_fingerprint(counts)}-{hashlib.md5(repr((settings, weighting)).encode()).hexdigest()[:8]}"
+
+
 def model_for(spark: SparkSession, counts: DataFrame, work_root: str, force: bool = False, **options) -> tuple[ALSModel, DataFrame]:
-    """(model, artist index), trained unless one for the same data is saved."""
-    fingerprint = sinks.content_fingerprint(counts)
+    """(model, artist index), trained unless one for the same data and parameters is saved."""
+    fingerprint = model_key(counts, **options)
     if not force:
         saved = sinks.load_model(spark, work_root, fingerprint)
         if saved is not None:
