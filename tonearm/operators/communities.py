@@ -83,28 +83,28 @@ def _contract(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
 def detect_communities(edges: DataFrame, guard: int = 500) -> DataFrame:
     """(node, community). Communities are named after their lowest node.
 
-    Rounds go on until one does not raise the modularity, levels until one has
-    no round that does. More than ``guard`` rounds in all are an error, never a
-    half result. State is written to the shared folder after every round, which keeps the plan short
-    and survives lost executors.
+    Rounds go on until three in a row do not raise the modularity, as every round
+    rests some nodes; levels until one has no round that does. More than ``guard``
+    rounds in all are an error, never a half result. State is written to the shared
+    folder after every round, which keeps the plan short and survives lost executors.
     """
     adjacency = staged(_adjacency(edges), "graph")
     two_m = adjacency.agg(F.sum("w").alias("w")).first()["w"]
     membership = adjacency.select("node").distinct().select("node", F.col("node").alias("community"))
     best_q = -1.0
-    turn, open_level = 0, bool(two_m)
-    while open_level:
+    turn = 0
+    while two_m:
         state = adjacency.groupBy("node").agg(F.sum("w").alias("k")).select("node", F.col("node").alias("community"), "k")
-        best = None
-        while True:
-            turn += 1
-            if turn > guard:
+        best, idle = None, 0
+        while idle < 3:
+            if turn == guard:
                 raise RuntimeError(f"communities still change after {guard} rounds")
             state = staged(_move(adjacency, state, two_m, turn), "moves")
+            turn += 1
             q = _modularity(adjacency, state).first()["modularity"]
-            if q <= best_q + 1e-12:
-                break
-            best, best_q = state, q
+            idle += 1
+            if q > best_q + 1e-12:
+                best, best_q, idle = state, q, 0
         if best is None:
             break
         names = best.select(F.col("node").alias("community"), F.col("community").alias("to"))
