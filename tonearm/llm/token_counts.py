@@ -25,7 +25,8 @@ from .transducer import Machine, Merges
 
 SPACE = "▁"
 CHUNK = 1 << 16
-REMEMBER = 1 << 20
+#: Words whose count a task keeps; with more, it starts anew.
+REMEMBER = 1 << 17
 
 
 class ChunkMap(NamedTuple):
