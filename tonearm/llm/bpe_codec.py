@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from .common import columns_of, map_texts, texts_of
 from .transducer import Machine, Merges
 
-REMEMBER = 1 << 20
+#: Words whose result a task keeps, twice: the latest ones, and those of the round before, from which used ones come back.
+REMEMBER = 1 << 16
 SHORT = 48
 BLOCK = 1 << 16
 #: Fixed values of the vocabulary format: the bytes that stand for themselves, and the pattern of pre-tokens.
@@ -94,6 +95,7 @@ class ByteCodec:
         self.bytes_of = {i: bytes(back[s] for s in p) for p, i in self.vocab.items()} | {i: p.encode() for p, i in self.special.items()}
         self.id_of = [0, *(self.vocab[p] for p in self.rules.names[1:])]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @property
     def lookahead(self) -> int:
@@ -114,13 +116,16 @@ class ByteCodec:
         yield self.ids(machine.finish())
 
     def word(self, text: str) -> bytes:
-        data = text.encode("utf-8", "replace")
-        if len(data) > SHORT:
-            return b"".join(self.stream(data))
-        machine = Machine(self.rules)
-        machine.read(data.decode("latin-1").translate(self.symbols))
-        out = self.ids(machine.finish())
+        out = self.older.get(text)
+        if out is None:
+            data = text.encode("utf-8", "replace")
+            if len(data) > SHORT:
+                return b"".join(self.stream(data))
+            machine = Machine(self.rules)
+            machine.read(data.decode("latin-1").translate(self.symbols))
+            out = self.ids(machine.finish())
         if len(self.known) >= REMEMBER:
+            self.older = dict(self.known)
             self.known.clear()
         self.known[text] = out
         return out

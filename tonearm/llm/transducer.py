@@ -75,7 +75,7 @@ class Merges:
 
     def neighbours(self, a: int, b: int) -> bool:
         """Whether pieces a and b stay two tokens when they meet; a symbol without a piece merges with none."""
-        if len(self.fits) > 1 << 20:
+        if len(self.fits) >= 1 << 18:
             self.fits.clear()
         left, right = self.names[max(a, UNKNOWN)], self.names[b]
         ok = self.fits[a * len(self.names) + b] = not (left and right) or self.merged(left + right) == [left, right]
