@@ -217,3 +217,16 @@ def test_artist_search(spark):
     got = search.search_artists(q, artists, 2).orderBy("rank").collect()
     assert [(r["name"], r["rank"]) for r in got] == [("BEATLES!", 1), ("The Beatles", 2)]
     assert got[0]["score"] == 100.0 and got[0]["country"] == "XX"
+
+
+def test_redirect_chains_without_a_hop_limit_end_where_following_one_by_one_ends(spark):
+    links = {f"r{i}": f"r{i + 1}" for i in range(40)} | {"a": "b", "b": "c", "c": "b", "s": "s", "q": "a"}
+    df = spark.createDataFrame(list(links.items()), "recording_mbid string, canonical_recording_mbid string")
+    want = {}
+    for start in links:
+        path = [start]
+        while path[-1] in links and len(set(path)) == len(path):
+            path.append(links[path[-1]])
+        want[start] = (path, "circular" if len(set(path)) < len(path) else "terminal")
+    got = {x["recording_mbid"]: (x["path"], x["status"]) for x in graph.redirect_walks(df, max_hops=None).collect()}
+    assert got == want

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .resolve import add_artist_names
 
 
@@ -52,39 +53,44 @@ def labelled_nodes(deg: DataFrame, artists: DataFrame, above: int = 2) -> DataFr
     )
 
 
-def redirect_walks(redirects: DataFrame, max_hops: int = 10) -> DataFrame:
+def redirect_walks(redirects: DataFrame, max_hops: int | None = 10) -> DataFrame:
     """Follow every redirect to its end, all at once.
 
     ``path`` holds the ids in order, start first. ``status`` is ``terminal``,
     ``circular`` (the last id occurred before) or ``cut`` (more than
-    ``max_hops`` links). A source listed twice follows its highest target.
+    ``max_hops`` links; with None every path is followed to its end). A source
+    listed twice follows its highest target.
 
     Paths are doubled: after k self-joins a path spans 2**k links, so 10 links
     need four joins. A path that has ended finds no partner and stays as it is;
-    one in a cycle runs on to at most 16 links and is clipped at its first repeat.
+    one in a cycle stops once an id repeats and is clipped there. Every round is
+    written, so the plan stays short and a target of many sources can be split.
     """
     step = redirects.groupBy("recording_mbid").agg(F.max("canonical_recording_mbid").alias("next"))
-    paths = step.filter(F.col("next").isNotNull()).select(F.col("recording_mbid").alias("start"), F.array("recording_mbid", "next").alias("path"))
+    first = step.filter(F.col("next").isNotNull()).select(F.col("recording_mbid").alias("start"), F.array("recording_mbid", "next").alias("path"))
+    paths = staged(first.withColumn("grew", F.lit(True)), "walks")
     span = 1
-    while span <= max_hops:
+    while (max_hops is None or span <= max_hops) and not paths.filter("grew").isEmpty():
         tails = paths.select(F.col("start").alias("end"), F.slice(F.col("path"), 2, span).alias("tail"))
         walked = paths.withColumn("end", F.element_at("path", -1))
         joined = walked.join(tails, "end", "left")
-        grown = F.concat("path", F.coalesce("tail", F.array().cast("array<string>")))
-        paths = joined.select("start", grown.alias("path"))
+        open_ = F.col("tail").isNotNull() & (F.size(F.array_distinct("path")) == F.size("path"))
+        grown = F.when(open_, F.concat("path", "tail")).otherwise(F.col("path"))
+        paths = staged(joined.select("start", grown.alias("path"), open_.alias("grew")), "walks")
         span *= 2
     seen = F.size(F.array_distinct("path"))
-    circular = (seen < F.size("path")) & (seen <= max_hops + 1)
+    most = F.size("path") if max_hops is None else F.lit(max_hops + 1)
+    circular = (seen < F.size("path")) & (seen <= most)
     # A cycle shows its repeated id once, right after the distinct ones.
-    clipped = F.when(circular, F.slice("path", 1, seen + 1)).otherwise(F.slice("path", 1, max_hops + 2))
+    clipped = F.when(circular, F.slice("path", 1, seen + 1)).otherwise(F.slice("path", F.lit(1), most + 1))
     return paths.select(
         F.col("start").alias("recording_mbid"),
         clipped.alias("path"),
-        F.when(circular, "circular").when(F.size("path") > max_hops + 1, "cut").otherwise("terminal").alias("status"),
+        F.when(circular, "circular").when(F.size("path") > most, "cut").otherwise("terminal").alias("status"),
     )
 
 
-def resolve_redirect_chains(redirects: DataFrame, max_hops: int = 10) -> DataFrame:
+def resolve_redirect_chains(redirects: DataFrame, max_hops: int | None = 10) -> DataFrame:
     """Per redirected id: links followed, last id, status and the printed chain."""
     walks = redirect_walks(redirects, max_hops)
     last = F.element_at("path", -1)

@@ -86,9 +86,9 @@ def spread(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value with their share of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).withColumn("percentage", percent(F.col("n"), total))
+    """Rows per value with their share of all rows; the total is that of the grouped counts, so the rows are read once."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("percentage", percent(F.col("n"), counts.agg(F.sum("n")).scalar()))
 
 
 def coverage(a: DataFrame, b: DataFrame, key: str, other_key: str | None = None) -> DataFrame:

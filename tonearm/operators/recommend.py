@@ -57,9 +57,12 @@ def bm25_weights(counts: DataFrame, k1: float = BM25_K1, b: float = BM25_B, user
     weight = c (K1 + 1) / (K1 (1 - B + B len / avg_len) + c) * (ln N - ln(1 + df)),
     with len the user's total, N the users and df the item's users. An item that
     (nearly) every user plays gets a weight of 0 or below, as the formula says.
+
+    The totals are written first: the joins then shuffle both of their sides, and
+    AQE can split the rows of an item that a third of all users play.
     """
-    lengths = counts.groupBy(user).agg(F.sum(value).cast("double").alias("_len"))
-    frequency = counts.groupBy(item).agg(F.count(F.lit(1)).alias("_df"))
+    lengths = staged(counts.groupBy(user).agg(F.sum(value).cast("double").alias("_len")), "lengths")
+    frequency = staged(counts.groupBy(item).agg(F.count(F.lit(1)).alias("_df")), "frequency")
     n_users = lengths.agg(F.count(F.lit(1)).cast("double")).scalar()
     avg_len = lengths.agg(F.avg("_len")).scalar()
     c = F.col(value).cast("double")

@@ -12,6 +12,7 @@ from ..operators.profile import stage_flow
 from ..operators.resolve import apply_redirects, best_mapping, filter_match_levels, restrict_to_keys
 from ..operators.sets import distinct_items
 from ..schemas import MATCH_LEVELS
+from ..session import staged
 
 ACCEPTED = MATCH_LEVELS[:4]
 
@@ -35,9 +36,14 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def clean_listens(listens: DataFrame) -> DataFrame:
-    """Distinct (user, message id) pairs with a message id."""
-    return listens.filter(F.col("recording_msid").isNotNull()).select("user_id", "recording_msid").distinct()
+def _total(df: DataFrame, column: str) -> DataFrame:
+    return df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("n"))
+
+
+def message_counts(listens: DataFrame) -> DataFrame:
+    """(recording_msid, plays, users); rows without a message id are one row."""
+    pairs = listens.groupBy("recording_msid", "user_id").agg(F.count(F.lit(1)).alias("plays"))
+    return pairs.groupBy("recording_msid").agg(F.sum("plays").alias("plays"), F.count(F.lit(1)).alias("users"))
 
 
 def profiled_mapping(listens: DataFrame, mapping: DataFrame, redirects: DataFrame, levels: Iterable[str] = ACCEPTED) -> DataFrame:
@@ -57,31 +63,32 @@ def credited(canonical: DataFrame) -> DataFrame:
 def stage_funnel(listens: DataFrame, mapping: DataFrame, redirects: DataFrame, canonical: DataFrame, artists: DataFrame) -> DataFrame:
     """Six steps, each with rows or distinct keys before and after.
 
-    The last step weighs each message id with the users that played it instead
-    of joining every listen: the same count out of a dimension-sized join.
+    The listens are read once, for a written table of plays and users per message
+    id; a clean listen is a distinct (user, message id) with a message id. The last
+    step weighs each message id with its users instead of joining every listen.
     """
-    clean = clean_listens(listens)
-    canonical_mapping = profiled_mapping(listens, mapping, redirects)
+    messages = staged(message_counts(listens), "messages")
+    clean = messages.filter(F.col("recording_msid").isNotNull())
+    canonical_mapping = staged(profiled_mapping(messages, mapping, redirects), "canonical-mapping")
     targets = canonical_mapping.select(F.col("canonical_mbid").alias("recording_mbid")).distinct()
     found = canonical.join(targets, "recording_mbid", "left_semi")
     with_artists = credited(found)
     artist_ids = distinct_items(with_artists, "artist_ids", "artist_mbid")
     named = artist_ids.join(artists.select("artist_mbid"), "artist_mbid", "left_semi")
 
-    per_message = clean.groupBy("recording_msid").agg(F.count(F.lit(1)).alias("users"))
     sizes = with_artists.select(F.col("recording_mbid").alias("canonical_mbid"), F.size("artist_ids").alias("k"))
     pairs = (
         canonical_mapping.select("recording_msid", "canonical_mbid")
         .join(sizes, "canonical_mbid")
-        .join(per_message, "recording_msid")
+        .join(clean.select("recording_msid", "users"), "recording_msid")
         .agg(F.coalesce(F.sum(F.col("users") * F.col("k")), F.lit(0)).alias("n"))
     )
     counts = (
-        (_rows(listens), _rows(clean)),
-        (_n(clean, "recording_msid"), _n(canonical_mapping, "recording_msid")),
+        (_total(messages, "plays"), _total(clean, "users")),
+        (_rows(clean), _n(canonical_mapping, "recording_msid")),
         (_n(canonical_mapping, "recording_mbid"), _n(canonical_mapping, "canonical_mbid")),
         (_n(canonical_mapping, "canonical_mbid"), _n(found, "recording_mbid")),
         (_rows(artist_ids), _rows(named)),
-        (_rows(clean), pairs),
+        (_total(clean, "users"), pairs),
     )
     return stage_flow([(step, before, after) for step, (before, after) in zip(STEPS, counts)])
