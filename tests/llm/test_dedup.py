@@ -78,6 +78,40 @@ def test_one_near_copy_stays(spark, odd_docs, no_docs):
     assert simhash.without_near_copies(no_docs).count() == 0
 
 
+def with_similarity(rng, n, similarity):
+    """Two texts of n words each; the second has the words from some place on replaced, for about that Jaccard similarity."""
+    words = [f"w{i}" for i in rng.integers(0, 1 << 40, n)]
+    left = round((n - 4) * 2 * similarity / (1 + similarity)) + 4
+    return " ".join(words), " ".join(words[:left] + [f"v{i}" for i in rng.integers(0, 1 << 40, n - left)])
+
+
+def jaccard(a, b):
+    a, b = (set(zip(*(t.split()[i:] for i in range(5)))) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_are_those_of_exact_similarity(spark):
+    rng = np.random.default_rng(3)
+    pairs = [with_similarity(rng, 200, s) for s in np.repeat([0.7, 0.75, 0.78, 0.805, 0.82, 0.85, 0.9], 60)]
+    line = "one line of twelve words that comes back in all of these "
+    pairs += [tuple(line * 40 + " ".join(f"u{i}" for i in rng.integers(0, 1 << 40, 200)) for _ in "ab") for _ in range(20)]
+    rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = np.array([jaccard(*p) >= 0.8 for p in pairs])
+    got = np.array([found[2 * i] == found[2 * i + 1] for i in range(len(pairs))])
+    assert not got[~want].any()  # no clean text goes
+    assert got[want].mean() >= 0.98
+
+
+@pytest.mark.parametrize("rows", [1024, 3])
+def test_blocks_lose_no_near_copy(spark, monkeypatch, rows):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", rows)
+    words = [f"w{i * 7919 % 1009}" for i in range(300)]
+    texts = [" ".join([*words[: 10 * i], f"x{i}", *words[10 * i + 1 :]]) for i in range(12)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in simhash.near_copies(frame).collect()} == {0}
+
+
 def plain_repeats(texts, length=200):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[k : k + length] for d in data for k in range(len(d) - length + 1))

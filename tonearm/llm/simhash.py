@@ -5,9 +5,10 @@ vantage points. A fingerprint lives in one shard, and also visits each shard tha
 rule out for its radius. In a shard, a local tree prunes by the same bounds. Shards give back a forest of links
 instead of pairs, and components are joined across shards. So copies never expand into all pairs.
 
-``near_copies`` serves wide radii (a similarity of 0.8 of five-word shingles lies dozens of bits apart, where
-distance bands cover nearly everything and a tree prunes nothing). There, shards are made by sampled bits of a
-256-bit fingerprint in many tables, sorted, and the trees run inside the shards.
+``near_copies`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. They lie
+dozens of bits apart, where distance bands cover nearly everything and a tree prunes nothing. There, shards are made
+by sampled bits of a 256-bit fingerprint of the set in many tables. Links within a wide radius only make groups of
+candidates; in a group, the shingle sets (as 64-bit hashes) are compared exactly, and only those links count.
 
 Nulls and empty texts have fingerprint zero. Rows without an id link like others, but name no component, which
 is null where no member has an id. Repeated rows give repeated rows. An empty table gives an empty one.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import map_texts, texts_of
+from .common import likely_known, map_texts, texts_of
 from .components import components
 
 SEED = 42
@@ -35,9 +36,15 @@ SAMPLE = 4096
 SHARD = 1 << 15
 LEAF = 256
 #: For wide radii: tables, sampled bits that a shard shares, and the most rows compared at once.
-TABLES, SHARED_BITS, RUN = 40, 16, 4096
-#: Bits of 256 by which five-word shingle sets of Jaccard similarity 0.8 differ: cosine 2j/(1+j), angle over pi.
-WIDE_RADIUS = round(256 * math.acos(2 * 0.8 / 1.8) / math.pi)
+TABLES, SHARED_BITS, RUN = 100, 16, 4096
+#: Near copies have a Jaccard similarity of at least this fraction.
+SIMILAR = 4, 5
+#: Share of bits by which shingle sets of that similarity differ (cosine 2j/(1+j), angle over pi), and of 256 bits
+#: the mean distance and four standard deviations more (sets of four and five shingles vary more than large ones).
+APART = math.acos(2 * SIMILAR[0] / sum(SIMILAR)) / math.pi
+WIDE_RADIUS = math.ceil(256 * APART + 4 * math.sqrt(256 * APART * (1 - APART)))
+#: Rows and shingles of a group of candidates that are compared with as many others in one piece.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -62,8 +69,13 @@ def majority(hashes: np.ndarray) -> bytes:
 
 
 def fingerprint(text: str, size: int = 3, words: int = 1) -> bytes:
+    """``words`` x 64 bits of the shingles, repeats included."""
+    return mixed_majorities(shingle_hashes(text, size), words)
+
+
+def mixed_majorities(hashes: np.ndarray, words: int) -> bytes:
     """``words`` x 64 bits; further words come from remixed hashes."""
-    hashes, out = shingle_hashes(text, size), []
+    out = []
     for i in range(words):
         if i:
             hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -224,8 +236,8 @@ def sorted_tables(fps: DataFrame, bits: int, tables: int) -> DataFrame:
 def wide_edges(fps: DataFrame, radius: int, tables: int = TABLES) -> DataFrame:
     """(a, b): links within the radius, found where two fingerprints share the first sampled bits of a table.
 
-    A pair at the radius shares them in one table with probability (1 - radius/bits)^16, so 40 tables find 95 %
-    of the pairs at the very edge and 99 % of those a third closer; copies of copies link through others as well.
+    A pair d bits apart shares them in one table with probability (1 - d/256)^16. Sets of similarity 0.8 are 39 bits
+    apart on average, and 100 tables find 99 % of such pairs; copies of copies link through others as well.
     Rows are sorted by all sampled bits: a dense shard is gone through in runs of neighbours that share still
     more bits, so that no shard is one task's load. All rows are compared; nothing is skipped by size.
     """
@@ -254,10 +266,115 @@ def wide_edges(fps: DataFrame, radius: int, tables: int = TABLES) -> DataFrame:
     return dealt.mapInArrow(link, schema)
 
 
+def shingle_sets(docs: DataFrame, size: int, schema: str, columns, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, columns): ``columns`` makes them from the texts and the texts' sets of distinct shingle hashes."""
+    return map_texts(texts_of(docs, id_col, text_col), f"doc_id long, {schema}", lambda: lambda texts: columns(texts, [np.unique(shingle_hashes(t, size)) for t in texts]))
+
+
+def set_key(shingles: np.ndarray) -> bytes:
+    """128 bits that name a set of shingles."""
+    return xxhash.xxh3_128_digest(shingles.tobytes(), SEED)
+
+
+def alike(sets: list[np.ndarray], own: np.ndarray, whole: bool) -> np.ndarray:
+    """Component label per set, from all pairs that are near copies; of two blocks (not ``whole``), pairs across only.
+
+    Sets that are linked already are not compared again.
+    """
+    sizes = np.array([len(x) for x in sets])
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    names, at = np.unique(np.concatenate(sets), return_inverse=True)
+    label, mark = np.arange(len(sets)), np.zeros(len(names), np.int64)
+    low, high = SIMILAR
+    for x in np.argsort(-sizes, kind="stable"):
+        near = (label != label[x]) & (sizes * high >= low * sizes[x]) & (sizes[x] * high >= low * sizes)
+        if not whole:
+            near &= own != own[x]
+        near = np.flatnonzero(near)
+        if not len(near):
+            continue
+        mine = at[starts[x] : starts[x] + sizes[x]]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[at], starts)[near] if 4 * len(near) > len(sets) else np.array([mark[at[starts[y] : starts[y] + sizes[y]]].sum() for y in near])
+        mark[mine] = 0
+        hits = near[both * high >= low * (sizes[near] + sizes[x] - both)]
+        if len(hits):
+            joined = np.append(label[hits], label[x])
+            label[np.isin(label, joined)] = joined.min()
+    return label
+
+
+def paired(rows: DataFrame, keys: list[str], own) -> DataFrame:
+    """Each row once for every pair of blocks of its group that has the row's block: (rows, own, low, high).
+
+    ``parts`` is the number of blocks, ``own`` the row's one; so any two rows of a group meet in one pair.
+    """
+    met = rows.withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
+    met = met.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "parts")
+    return met.repartition(*keys, "low", "high").sortWithinPartitions(*keys, "low", "high")
+
+
+def exact_edges(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """(a, b): a forest that connects the keys of near copies within each group of candidates (key, fp, n, group).
+
+    A large group is cut into blocks, and all pairs of blocks are compared. Of texts with one set, one is fetched.
+    """
+    spark = docs.sparkSession
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS))
+    sizes = members.groupBy("group").agg(F.count("*").alias("rows"), blocks.alias("parts")).where("rows > 1").select("group", "parts")
+    chosen = staged(members.join(sizes, "group").select("key", "group", "parts"), "candidates")
+    name = F.xxhash64("key").alias("doc_id")
+    texts = shingle_sets(docs, size, "key binary, text string", lambda texts, sets: [[set_key(x) for x in sets], texts]).select(name, "key", "text")
+    texts = likely_known(texts, chosen.select(name)).groupBy("key").agg(F.min("text").alias("text"))
+    met = paired(texts.join(chosen, "key").select("group", "parts", "key", "text"), ["group"], F.pmod(F.xxhash64("key"), F.col("parts")))
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), (keys, texts, own) in pieces(batches, 3):
+            if len(keys) > 1:
+                yield edges_of(keys, alike([np.unique(shingle_hashes(t, size)) for t in texts], np.array(own), low == high))
+
+    schema = spark.createDataFrame([], "a binary, b binary").schema
+    return met.select("group", "low", "high", "key", "text", "own").mapInArrow(link, schema)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, tuple[list, ...]]]:
+    """Stretches of sorted rows that share the first ``keys`` columns: (those, the lists of the others)."""
+    now, held = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = list(zip(*(batch.column(i).to_pylist() for i in range(keys))))
+        others = [batch.column(i).to_pylist() for i in range(keys, batch.num_columns)]
+        ends = [i for i in range(1, len(names)) if names[i] != names[i - 1]] + [len(names)]
+        for a, b in zip([0, *ends], ends):
+            if names[a] == now:
+                for x, o in zip(held, others):
+                    x.extend(o[a:b])
+            else:
+                if held:
+                    yield now, held
+                now, held = names[a], tuple(o[a:b] for o in others)
+    if held:
+        yield now, held
+
+
+def edges_of(names: list[bytes], label: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(label != np.arange(len(names))).tolist()
+    return pa.RecordBatch.from_arrays([pa.array([names[i] for i in at], pa.binary()), pa.array([names[j] for j in label[at].tolist()], pa.binary())], names=["a", "b"])
+
+
 def near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): documents linked by 256-bit fingerprints of five-word shingles, similarity 0.8 or more."""
-    rows = staged(fingerprints(docs, size, 4, id_col, text_col), "fingerprints")
-    return rows_to_components(rows, lambda fps: wide_edges(fps, radius))
+    """(doc_id, fp, component_id): documents linked by sets of five-word shingles with a Jaccard similarity of 0.8 or more.
+
+    ``fp`` names the set. Fingerprints find the candidates, the sets themselves decide.
+    """
+    columns = lambda _, sets: [[set_key(x) for x in sets], [mixed_majorities(x, 4) for x in sets], [len(x) for x in sets]]
+    rows = staged(shingle_sets(docs, size, "key binary, bits binary, n long", columns, id_col, text_col), "fingerprints")
+    nodes = staged(rows.groupBy("key").agg(F.min("bits").alias("fp"), F.min("n").alias("n")).where("n > 0"), "sets")
+    groups = components(staged(wide_edges(staged(nodes.select("fp").distinct(), "distinct"), radius), "links"))
+    members = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("key", "n", F.coalesce("label", "fp").alias("group"))
+    exact = exact_edges(texts_of(docs, id_col, text_col), staged(members, "members"), size)
+    return rows_to_components(rows.select("doc_id", F.col("key").alias("fp")), lambda _: exact)
 
 
 def without_near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,7 +402,7 @@ def distinct_rows(few: DataFrame, kept: DataFrame, size: int, id_col: str, text_
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t or "", size, 4) for t in batch.column(at).to_pylist()]
+            fps = [set_key(np.unique(shingle_hashes(t or "", size))) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.binary())], names=[f.name for f in schema])
 
     with_fp = few.mapInArrow(add, schema).join(kept.select(F.col("doc_id").alias("__id"), F.col("fp").alias("__kept")), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__kept")))
