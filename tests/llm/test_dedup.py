@@ -112,6 +112,34 @@ def test_blocks_lose_no_near_copy(spark, monkeypatch, rows):
     assert {r.component_id for r in simhash.near_copies(frame).collect()} == {0}
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_hot_shards_lose_no_candidate(spark, monkeypatch, partitions):
+    monkeypatch.setattr(simhash, "RUN", 8)
+    rng = np.random.default_rng(9)
+    flips = rng.integers(0, 256, (300, 20))
+    values = np.zeros((300, 256), np.uint8)
+    values[np.arange(300)[:, None], flips] = 1  # all close to zero, so that many share a shard
+    values[150:] ^= rng.integers(0, 2, 256, dtype=np.uint8)
+    fps = sorted({np.packbits(v).tobytes() for v in values})
+    words = simhash.to_words(fps)
+    shared = simhash.shared_bits(len(fps))
+    x, y = np.nonzero(simhash.distances(words[:, None, :], words[None, :, :]) <= 28)
+    deals = {}
+    for r in simhash.dealt(spark.createDataFrame([(f,) for f in fps], "fp binary"), shared, simhash.tables_for(shared)).collect():
+        deals.setdefault(bytes(r.fp), set()).add(r.shard)
+    meet = np.array([bool(deals[fps[i]] & deals[fps[j]]) for i, j in zip(x, y)])
+    want = simhash.local_components(len(fps), x[meet], y[meet])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        at = {f: i for i, f in enumerate(fps)}
+        edges = [(at[bytes(r.a)], at[bytes(r.b)]) for r in simhash.wide_edges(spark.createDataFrame([(f,) for f in fps], "fp binary"), 28).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert simhash.local_components(len(fps), *map(np.array, zip(*edges))).tolist() == want.tolist()
+    assert len(set(want.tolist())) < len(fps)
+
+
 def plain_repeats(texts, length=200):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[k : k + length] for d in data for k in range(len(d) - length + 1))

@@ -35,8 +35,11 @@ SEED = 42
 SAMPLE = 4096
 SHARD = 1 << 15
 LEAF = 256
-#: For wide radii: tables, sampled bits that a shard shares, and the most rows compared at once.
-TABLES, SHARED_BITS, RUN = 100, 16, 4096
+#: For wide radii: the least number of sampled bits that a shard shares, the rows a shard has on average at most, and
+#: those of a block, of which two are compared at once.
+SHARED_BITS, SHARD_ROWS, RUN = 12, 128, 4096
+#: The most pairs, at the similarity in question, that no table may bring together.
+MISSED = 0.002
 #: Near copies have a Jaccard similarity of at least this fraction.
 SIMILAR = 4, 5
 #: Share of bits by which shingle sets of that similarity differ (cosine 2j/(1+j), angle over pi), and of 256 bits
@@ -214,56 +217,83 @@ def rows_to_components(rows: DataFrame, edges_of) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def sorted_tables(fps: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(table, key, fp): a sort key of 64 sampled bits of each fingerprint, for each table."""
+def shared_bits(rows: int) -> int:
+    return max(SHARED_BITS, math.ceil(math.log2(max(1, rows) / SHARD_ROWS)))
+
+
+def tables_for(shared: int, missed: float = MISSED) -> int:
+    """Tables by which all but a share ``missed`` of the pairs at the similarity share the bits of one.
+
+    A pair d of 256 bits apart shares the bits of a table with probability (1 - d/256)^shared; d is binomial.
+    """
+    d = np.arange(257)
+    p = np.array([math.comb(256, int(i)) * APART**i * (1 - APART) ** (256 - i) for i in d])
+    tables = 1
+    while (p * (1 - (1 - d / 256) ** shared) ** tables).sum() > missed:
+        tables += 1
+    return tables
+
+
+def dealt(fps: DataFrame, shared: int, tables: int) -> DataFrame:
+    """(shard, fp): each fingerprint once per table; a shard is a table and the sampled bits that its rows share."""
     rng = np.random.default_rng(SEED)
-    order = [rng.permutation(bits)[:64] for _ in range(tables)]
-    schema = fps.sparkSession.createDataFrame([], "table int, key binary, fp binary").schema
+    schema = fps.sparkSession.createDataFrame([], "shard long, fp binary").schema
+    order = [rng.permutation(256)[:shared] for _ in range(tables)]
+    place = 1 << np.arange(shared, dtype=np.int64)
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             column = batch.column(0)
-            flat = np.unpackbits(to_words(column.to_pylist()).astype(">u8").view(np.uint8).reshape(batch.num_rows, -1), axis=1)
+            flat = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
             for t, picked in enumerate(order):
-                key = np.packbits(flat[:, picked], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array([k.tobytes() for k in key], pa.binary()), column], names=["table", "key", "fp"])
-
-    return fps.mapInArrow(keys, schema)
+                yield pa.RecordBatch.from_arrays([pa.array((t << shared) + flat[:, picked] @ place), column], names=["shard", "fp"])
 
+    return fps.mapInArrow(deal, schema)
 
-def wide_edges(fps: DataFrame, radius: int, tables: int = TABLES) -> DataFrame:
-    """(a, b): links within the radius, found where two fingerprints share the first sampled bits of a table.
 
-    A pair d bits apart shares them in one table with probability (1 - d/256)^16. Sets of similarity 0.8 are 39 bits
-    apart on average, and 100 tables find 99 % of such pairs; copies of copies link through others as well.
-    Rows are sorted by all sampled bits: a dense shard is gone through in runs of neighbours that share still
-    more bits, so that no shard is one task's load. All rows are compared; nothing is skipped by size.
+def links_of(points: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:
+    """Component label per point from all links between left and right points."""
+    n = len(points)
+    label = np.arange(n)
+    step = max(1, (1 << 18) // max(1, len(right)))
+    held_a, held_b, held = [], [], 0
+    for i in range(0, len(left), step):
+        x, y = np.nonzero(distances(points[left[i : i + step]][:, None, :], points[right][None, :, :]) <= radius)
+        a, b = left[i : i + step][x], right[y]
+        apart = label[a] != label[b]
+        held_a.append(a[apart])
+        held_b.append(b[apart])
+        held += int(apart.sum())
+        if held > n:  # keep a forest in place of all links
+            label = local_components(n, np.concatenate([np.arange(n), *held_a]), np.concatenate([label, *held_b]))
+            held_a, held_b, held = [], [], 0
+    return local_components(n, np.concatenate([np.arange(n), *held_a]), np.concatenate([label, *held_b])) if held else label
+
+
+def wide_edges(fps: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links within the radius of 256 bits, found where two fingerprints share the sampled bits of a table.
+
+    Bits and tables follow the number of fingerprints. All rows of a shard are compared, wherever partitions end: a
+    shard of more than ``RUN`` rows is cut into blocks, and each pair of blocks gives a forest of links.
     """
-    bits = 8 * len(fps.first().fp) if not fps.isEmpty() else 256
     schema = fps.sparkSession.createDataFrame([], "a binary, b binary").schema
-
-    def linked(fp: list[bytes]) -> pa.RecordBatch | None:
-        label = links_within(to_words(fp), np.arange(len(fp)), radius)
-        at = np.flatnonzero(label != np.arange(len(fp))).tolist()
-        return pa.RecordBatch.from_arrays([pa.array([fp[i] for i in at], pa.binary()), pa.array([fp[j] for j in label[at].tolist()], pa.binary())], names=["a", "b"]) if at else None
+    shared = shared_bits(fps.count())
+    rows = dealt(fps, shared, tables_for(shared))
+    hot = staged(rows.groupBy("shard").agg(F.ceil(F.count("*") / RUN).alias("parts")).where("parts > 1"), "hot")
+    rows = rows.withColumn("parts", F.lit(1).cast("long")) if hot.isEmpty() else rows.join(hot, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    met = paired(rows, ["shard"], F.pmod(F.xxhash64("fp"), F.col("parts")))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, run = None, []
-        for batch in batches:
-            for t, key, fp in zip(*(c.to_pylist() for c in batch.columns)):
-                if (t, key[: SHARED_BITS // 8]) != shard or len(run) >= RUN:
-                    if len(run) > 1 and (out := linked(run)) is not None:
-                        yield out
-                    run = run[-RUN // 8 :] if (t, key[: SHARED_BITS // 8]) == shard else []
-                    shard = (t, key[: SHARED_BITS // 8])
-                run.append(fp)
-        if len(run) > 1 and (out := linked(run)) is not None:
-            yield out
-
-    dealt = sorted_tables(fps, bits, tables).repartitionByRange("table", "key").sortWithinPartitions("table", "key")
-    return dealt.mapInArrow(link, schema)
+        for (_, low, high), (fp, own) in pieces(batches, 3):
+            if len(fp) > 1:
+                own = np.array(own)
+                out = edges_of(fp, links_of(to_words(fp), np.flatnonzero(own == low), np.flatnonzero(own == high), radius))
+                if out.num_rows:
+                    yield out
+
+    return met.select("shard", "low", "high", "fp", "own").mapInArrow(link, schema)
 
 
 def shingle_sets(docs: DataFrame, size: int, schema: str, columns, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
