@@ -208,3 +208,17 @@ def test_edits_follow_descending_ids(case, docs, odd_docs, no_docs):
     if case == "given":
         assert np.mean([r.near_edited > r.near_next for r in got]) > 0.95
     assert fp.with_edits(no_docs).count() == 0
+
+
+def test_likeness_of_very_long_repetitive_texts(spark):
+    """60,000 lines of two word pairs each; the edited text keeps 40,000 of them."""
+    rows = [(2, "aa bb\n" * 60_000), (1, "x")]
+    by = {r.doc_id: r for r in fp.with_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert by[2].near_edited == pytest.approx(2 * 6 * 4 / (6 * 6 + 4 * 4), abs=1e-3) and by[2].near_next < 0.01
+    long = fp.fingerprints(spark.createDataFrame([(1, "aa bb\n" * 59_999 + "aa bb"), (2, "aa bb\n" * 29_999 + "aa bb")], "doc_id long, text string"))
+    a, b = (r.vector for r in long.orderBy("doc_id").collect())
+    assert a[fp.EQUAL_LANES] == 120_000
+    r = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(fp.inserted(F.col("b"), F.col("b")).alias("i"), fp.deleted(F.col("a"), F.col("b")).alias("d"), fp.unpacked(F.col("a")).alias("u")).first()
+    assert r.i == a and r.d == b
+    hashes = [spark.range(1).select(F.xxhash64(F.lit(w))).first()[0] for w in ("aa bb", "bb")]
+    assert sorted(r.u) == sorted(60_000.0 * sum(1 if h >> k & 1 else -1 for h in hashes) for k in range(64))

@@ -5,12 +5,13 @@ is their sum, lane by lane, modulo powers of two. The order of paragraphs does n
 subtracting a paragraph's vector inserts or deletes it (``inserted``, ``deleted``). The vector has
 
 * eight 32-bit lanes from the paragraph's SHA-256, which decide equality;
-* the number of its words, and 64 lanes of 14 bits that count, per bit, the paragraph's word pairs whose hash has
+* the number of its word pairs, and 64 lanes of 32 bits that count, per bit, the paragraph's word pairs whose hash has
   the bit set. Twice the count less the number is a sum of random signs, so dot products of two documents'
   lanes estimate how many word pairs they share: that is their likeness.
 
 A null or empty text has no paragraphs: all lanes are zero, equal to one another and unlike any other. Rows are
-ordered by descending id, equal ids by text, null ids last; repeated rows stay. Sums wrap by design. An empty
+ordered by descending id, equal ids by text, null ids last; repeated rows stay. Equality lanes wrap by
+design; a count of 32 bits holds the word pairs of any text that fits in a string. An empty
 table gives an empty one; other columns are not read.
 """
 
@@ -22,10 +23,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import texts_of
 
-EQUAL_LANES, PACKED = 8, 16
+EQUAL_LANES, PACKED = 8, 32
 WORD = (1 << 32) - 1
-#: Four lanes of 14 bits in a long; the gap keeps a lane's carry out of the next.
-ONES, KEEP = 0x0001000100010001, 0x3FFF3FFF3FFF3FFF
+#: Two lanes of 32 bits in a long: those of a bit and of the one 32 places up.
+ONES = 0x0000000100000001
 PAIRS = r"(?=(\S+(?:[^\S\n]+\S+)?))\S+"
 #: Rows of a stretch in the order of ids, and the most stretches; their heads are broadcast.
 STRETCH, STRETCHES, COARSE = 4000, 1 << 16, 256
@@ -48,7 +49,7 @@ def lanes(digests: Column, pairs: Column) -> Column:
         return F.aggregate(digests, zero, lambda a, d: (a + F.conv(F.substring(d, 1 + 8 * i, 8), 16, 10).cast("long")).bitwiseAND(F.lit(WORD)))
 
     def packed(i: int) -> Column:
-        return F.aggregate(pairs, zero, lambda a, h: (a + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(ONES))).bitwiseAND(F.lit(KEEP)))
+        return F.aggregate(pairs, zero, lambda a, h: a + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(ONES)))
 
     return F.array(*map(equal, range(EQUAL_LANES)), F.size(pairs).cast("long"), *map(packed, range(PACKED)))
 
@@ -57,9 +58,9 @@ def combined(a: Column, b: Column, sign: int) -> Column:
     """a plus or minus b, lane by lane."""
 
     def lane(x: Column, y: Column, i: Column) -> Column:
-        wrapped = F.when(i <= EQUAL_LANES, (x + sign * y).bitwiseAND(F.lit(WORD)))
-        borrow = F.lit(0x4000400040004000) if sign < 0 else F.lit(0).cast("long")
-        return wrapped.otherwise((x + borrow + sign * y).bitwiseAND(F.lit(KEEP)))
+        low = (x.bitwiseAND(F.lit(WORD)) + sign * y.bitwiseAND(F.lit(WORD))).bitwiseAND(F.lit(WORD))
+        high = F.shiftleft(F.shiftrightunsigned(x, 32) + sign * F.shiftrightunsigned(y, 32), 32)
+        return F.when(i < EQUAL_LANES, low).when(i == EQUAL_LANES, x + sign * y).otherwise(high.bitwiseOR(low))
 
     return F.transform(F.arrays_zip(a.alias("x"), b.alias("y")), lambda z, i: lane(z["x"], z["y"], i))
 
@@ -75,19 +76,15 @@ def deleted(fingerprint: Column, paragraphs: Column) -> Column:
 
 def as_text(vector: Column) -> Column:
     """Fixed-width lower-case hexadecimal digits of all lanes."""
-    return F.lower(F.concat_ws("", F.transform(vector, lambda x, i: F.lpad(F.hex(x), F.when(i <= EQUAL_LANES, 8).otherwise(16), F.lit("0")))))
+    return F.lower(F.concat_ws("", F.transform(vector, lambda x, i: F.lpad(F.hex(x), F.when(i < EQUAL_LANES, 8).otherwise(16), F.lit("0")))))
 
 
 def unpacked(vector: Column) -> Column:
-    """64 sums of random signs, centred: twice each count less the number, modulo 2^15."""
+    """64 sums of random signs: twice each count less the number."""
     number = F.element_at(vector, EQUAL_LANES + 1)
     held = F.slice(vector, EQUAL_LANES + 2, PACKED)
-
-    def every_fourth(shift: int) -> Column:
-        return F.transform(held, lambda x: F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(0x3FFF)))
-
-    counts = F.flatten(F.array(*map(every_fourth, (0, 16, 32, 48))))
-    return F.transform(counts, lambda c: (F.pmod(2 * c - number + F.lit(1 << 14), F.lit(1 << 15)) - F.lit(1 << 14)).cast("double"))
+    counts = F.concat(F.transform(held, lambda x: x.bitwiseAND(F.lit(WORD))), F.transform(held, lambda x: F.shiftrightunsigned(x, 32)))
+    return F.transform(counts, lambda c: (2 * c - number).cast("double"))
 
 
 def likeness(a: Column, b: Column, signs_a: Column, signs_b: Column) -> Column:
@@ -113,17 +110,11 @@ def summed(rows: DataFrame, keys: list[str]) -> DataFrame:
     split = rows.select(*keys, paragraph_digests(F.col("text")).alias("digests"), F.regexp_extract_all("text", F.lit(PAIRS), F.lit(1)).alias("pairs"))
     shown = split.select(*keys, equal_lanes(F.col("digests")).alias("equal"), "pairs")
     hashed = shown.select(*keys, "equal", F.explode_outer("pairs").alias("pair")).select(*keys, "equal", F.when(F.col("pair").isNotNull(), F.xxhash64("pair")).alias("h"))
-    two = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x0000000100000001))).alias(f"s{i}") for i in range(32)]
+    two = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(ONES))).alias(f"s{i}") for i in range(PACKED)]
     added = hashed.groupBy(*keys, "equal").agg(F.count("h").alias("number"), *two)
 
-    def packed(i: int) -> Column:
-        """Bits i, i+16, i+32 and i+48: each sum holds its bit and the one 32 places up."""
-        a, b = F.coalesce(F.col(f"s{i}"), F.lit(0)), F.coalesce(F.col(f"s{i + 16}"), F.lit(0))
-        low = F.lit(0x3FFF)
-        parts = [a.bitwiseAND(low), F.shiftleft(b.bitwiseAND(low), 16), F.shiftleft(F.shiftrightunsigned(a, 32).bitwiseAND(low), 32), F.shiftleft(F.shiftrightunsigned(b, 32).bitwiseAND(low), 48)]
-        return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).bitwiseOR(parts[3])
-
-    return added.select(*keys, F.concat("equal", F.array(F.col("number"), *map(packed, range(PACKED)))).alias("vector"))
+    held = (F.coalesce(F.col(f"s{i}"), F.lit(0)) for i in range(PACKED))
+    return added.select(*keys, F.concat("equal", F.array(F.col("number"), *held)).alias("vector"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
