@@ -49,6 +49,28 @@ def test_toxicity_on_held_out_documents(docs, labels):
     assert held_out_auc(scored, labels, "toxic") > 0.7  # some forty toxic documents to learn from
 
 
+@pytest.mark.parametrize("size", [8 << 20, 5000])
+def test_every_expression_keeps_its_own_figure(spark, docs, labels, monkeypatch, size):
+    """What a batch is scored by are the exact ratios of its grams, contexts and words, or else the backoff figure."""
+    monkeypatch.setattr(toxicity, "BATCH_BYTES", size)
+    few = docs.where("doc_id % 20 = 0")
+    shape = "gram long, all double, fit double"
+    texts = [r.text or "" for r in few.collect()]
+    read = [toxicity.grams(t) for t in texts]
+    seen = {int(g): (float(g % 1009) - 500, float(g % 997)) for r in read[::2] for g in r[0]}
+    after = {int(g) >> 8: (float(g % 11), 1.0) for r in read[1::3] for g in r[0]}
+    words = {int(g): (float(g % 101), 2.0) for r in read[::2] for g in r[2]}
+    rows = [(k, g, *v) for k, d in ((toxicity.GRAM, seen), (toxicity.CONTEXT, after), (toxicity.WORD, words)) for g, v in d.items()]
+    table = spark.createDataFrame(rows, "kind int, " + shape)
+    got = {r.doc_id: r for r in toxicity.featured(toxicity.numbered(few.select("doc_id", "text")), table, {"all": -7.0, "fit": 3.0}).collect()}
+    assert len(got) == len(texts)
+    for r, (gram, _, word) in zip(few.collect(), read):
+        v = [seen[g][0] if g in seen else after.get(g >> 8, (0.0,))[0] for g in gram.tolist()]
+        named = [words.get(g, (-7.0,))[0] for g in word.tolist()]
+        assert got[r.doc_id].f0 == pytest.approx(np.mean(v)) and got[r.doc_id].f3 == pytest.approx(np.mean(named)) and got[r.doc_id].f4 == max(named)
+        assert (got[r.doc_id].g0 is None) == (got[r.doc_id].fold != toxicity.CALIBRATION_FOLD)
+
+
 def test_scores_of_odd_rows(odd_docs, no_docs, odd_labels):
     few = [quality.score_quality(odd_docs, quality.fit_quality(odd_docs, odd_labels)), toxicity.score_toxicity(odd_docs, odd_labels)]
     none = odd_labels.limit(0)

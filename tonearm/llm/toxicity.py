@@ -7,8 +7,9 @@ same backed-off likelihood and does not speak for either. The two log-likelihood
 length, for the whole text and per word. A logistic curve, fitted on one fold that the calibration's counts
 leave out, turns the text's, the highest and the three highest words' figures into a score.
 
-Counts and statistics cover all labelled texts outside the held-out fold. The model that goes to the tasks is a
-table of fixed size (``CELLS``), whatever the corpus: grams that share a cell share their count-weighted figure.
+Counts and statistics cover all labelled texts outside the held-out fold. The model is a table of exact figures by
+gram, context and word, which grows with the corpus. Texts are numbered in batches; the distinct expressions of each
+batch are joined with the table, and each batch meets its own figures. What the table lacks takes the backoff figure.
 A null or empty text is scored from zeros. Without labels of both kinds each score is the share of toxic ones
 among them, or 0. Rows without an id are scored and never learned from; repeated rows give repeated rows;
 an empty table gives an empty one.
@@ -17,21 +18,23 @@ an empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import fold_of, labelled_sample, labels_of, likely_known, map_texts, texts_of
+from .common import fold_of, labels_of, likely_known, texts_of
 
 ORDER, DISCOUNT = 5, 0.75
-#: Primes: the numbers of cells for grams and for contexts.
-CELLS, CONTEXT_CELLS = 2_097_143, 524_287
-#: Cells that travel together.
-PACK = 1 << 14
+#: Kinds of expressions: byte grams, words, contexts of grams.
+GRAM, WORD, CONTEXT = 0, 1, 2
+#: Bytes of text in a batch whose expressions are looked up together.
+BATCH_BYTES = 8 << 20
 #: The fold that calibrates, and the most documents of it that do.
 CALIBRATION_FOLD, CALIBRATION_ROWS = 4, 8192
 COUNTS = ("toxic", "plain", "toxic_fit", "plain_fit")
@@ -118,7 +121,7 @@ def shared_backoff(counted: DataFrame) -> DataFrame:
 
 
 def ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, weight, all, fit) and (context, weight, all, fit): log-likelihood of the toxic model less the plain one's.
+    """(gram, all, fit) and (context, all, fit): log-likelihood of the toxic model less the plain one's.
 
     The second holds for grams that neither class has: there the shared part cancels.
     """
@@ -128,42 +131,78 @@ def ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     contexts = staged(grouped.select("context", *(F.col(f"{c}_n") for c in COUNTS), *(rest[c].alias(f"{c}_rest") for c in COUNTS)), "contexts")
     joined = counted.withColumn("context", F.shiftright("gram", 8)).withColumn("tail", low("gram", ORDER - 1)).join(contexts, "context").join(shared, "tail")
     seen = {c: F.when(F.col(f"{c}_n") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_n")).otherwise(0.0) + F.col(f"{c}_rest") * F.col("p") for c in COUNTS}
-    weight = (F.col("toxic") + F.col("plain")).alias("weight")
-    by_gram = joined.select("gram", weight, (F.log(seen["toxic"]) - F.log(seen["plain"])).alias("all"), (F.log(seen["toxic_fit"]) - F.log(seen["plain_fit"])).alias("fit"))
+    by_gram = joined.select("gram", (F.log(seen["toxic"]) - F.log(seen["plain"])).alias("all"), (F.log(seen["toxic_fit"]) - F.log(seen["plain_fit"])).alias("fit"))
     logs = {c: F.log(F.col(f"{c}_rest")) for c in COUNTS}
-    by_context = contexts.select("context", (F.col("toxic_n") + F.col("plain_n")).alias("weight"), (logs["toxic"] - logs["plain"]).alias("all"), (logs["toxic_fit"] - logs["plain_fit"]).alias("fit"))
+    by_context = contexts.select(F.col("context").alias("gram"), (logs["toxic"] - logs["plain"]).alias("all"), (logs["toxic_fit"] - logs["plain_fit"]).alias("fit"))
     return by_gram, by_context
 
 
 def word_ratios(counted: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """(gram, weight, all, fit) of words, and the figure of a word that no text has; one row of totals reaches the driver."""
+    """(gram, all, fit) of words, and the figure of a word that no text has; one row of totals reaches the driver."""
     totals = counted.agg(F.sum("texts").alias("texts"), *(f(c).alias(f"{c}_{k}") for c in COUNTS for f, k in ((F.sum, "n"), (lambda x: F.sum((F.col(x) > 0).cast("long")), "kinds")))).first()
     rest = {c: DISCOUNT * totals[f"{c}_kinds"] / totals[f"{c}_n"] if totals[f"{c}_n"] else 1.0 for c in COUNTS}
     shared = F.col("texts") / F.lit(float(totals["texts"] or 1))
     p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.lit(float(totals[f"{c}_n"] or 1)) + rest[c] * shared for c in COUNTS}
-    rows = counted.select("gram", (F.col("toxic") + F.col("plain")).alias("weight"), (F.log(p["toxic"]) - F.log(p["plain"])).alias("all"), (F.log(p["toxic_fit"]) - F.log(p["plain_fit"])).alias("fit"))
+    rows = counted.select("gram", (F.log(p["toxic"]) - F.log(p["plain"])).alias("all"), (F.log(p["toxic_fit"]) - F.log(p["plain_fit"])).alias("fit"))
     return rows, {"all": float(np.log(rest["toxic"] / rest["plain"])), "fit": float(np.log(rest["toxic_fit"] / rest["plain_fit"]))}
 
 
-def cells_of(rows: DataFrame, key: str, cells: int) -> dict[str, np.ndarray]:
-    """Arrays over all cells, gathered in blocks: the driver gets four bytes per cell and figure, whatever the corpus."""
-    w = F.col("weight")
-    by_cell = rows.groupBy((F.col(key) % cells).cast("int").alias("cell")).agg(*((F.sum(F.col(c) * w) / F.sum(w)).cast("float").alias(c) for c in ("all", "fit")))
+def numbered(docs: DataFrame) -> DataFrame:
+    """(batch, doc_id, fold, text): texts in the order read, cut into batches of some ``BATCH_BYTES`` within a task."""
+    rows = docs.select("doc_id", fold_of().alias("fold"), "text")
+    schema = docs.sparkSession.createDataFrame([], "batch long, doc_id long, fold int, text string").schema
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, read = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = first + (read + np.cumsum(sizes)) // BATCH_BYTES
+            read += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(at), *batch.columns], names=["batch", "doc_id", "fold", "text"])
+
+    return staged(rows.mapInArrow(number, schema), "texts")
+
+
+def expressions(texts: DataFrame) -> DataFrame:
+    """(batch, kind, gram): the distinct expressions of each batch; twice where tasks share a batch, which does no harm."""
+    schema = texts.sparkSession.createDataFrame([], "batch long, kind int, gram long").schema
+
+    def distinct(batch: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        gram, word = (np.unique(np.concatenate([p[i] for p in parts])) for i in (0, 1))
+        for kind, found in ((GRAM, gram), (WORD, word), (CONTEXT, np.unique(gram >> 8))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), batch)), pa.array(np.full(len(found), kind, np.int32)), pa.array(found)], names=["batch", "kind", "gram"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            at, read = batch.column(0).to_numpy(), [grams(t) for t in batch.column(1).to_pylist()]
+            for number in np.unique(at):
+                if number != now and parts:
+                    yield from distinct(now, parts)
+                    parts = []
+                now = int(number)
+                own = [read[i] for i in np.flatnonzero(at == number)]
+                parts.append(tuple(np.unique(np.concatenate([r[i] for r in own])) for i in (0, 2)))
+        if parts:
+            yield from distinct(now, parts)
+
+    return texts.select("batch", "text").mapInArrow(ask, schema)
 
-    def packed(block: pd.DataFrame) -> pd.DataFrame:
-        at, out = block["cell"].to_numpy() % PACK, {}
-        for c in ("all", "fit"):
-            values = np.full(PACK, np.nan, np.float32)
-            values[at] = block[c].to_numpy()
-            out[c] = [values.tobytes()]
-        return pd.DataFrame({"block": [int(block["cell"].iloc[0]) // PACK], **out})
 
-    blocks = by_cell.withColumn("b", F.floor(F.col("cell") / PACK)).groupBy("b").applyInPandas(packed, "block int, all binary, fit binary")
-    out = {c: np.full(-(-cells // PACK) * PACK, np.nan, np.float32) for c in ("all", "fit")}
-    for r in blocks.toLocalIterator():
-        for c in out:
-            out[c][r.block * PACK : (r.block + 1) * PACK] = np.frombuffer(r[c], np.float32)
-    return {c: v[:cells] for c, v in out.items()}
+class Figures:
+    """Sorted expressions with their figures; the ones that are not there take ``missing``."""
+
+    def __init__(self, gram: np.ndarray, values: np.ndarray, missing: float):
+        self.gram, at = np.unique(gram, return_index=True)
+        self.values, self.missing = values[at], missing
+
+    def __call__(self, gram: np.ndarray) -> np.ndarray:
+        if not len(self.gram):
+            return np.full(len(gram), self.missing)
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        return np.where(self.gram[at] == gram, self.values[at], self.missing)
 
 
 def highest(words: np.ndarray) -> tuple[float, float]:
@@ -171,20 +210,43 @@ def highest(words: np.ndarray) -> tuple[float, float]:
     return float(top.max()), float(top.mean())
 
 
-def features(text: str, seen: np.ndarray, unseen: np.ndarray, words: np.ndarray) -> tuple[float, ...]:
+def features(text: str, seen: Figures, unseen: Figures, words: Figures) -> tuple[float, ...]:
     """By bytes and by words: the mean over the text, the highest word, the mean of the three highest."""
     gram, starts, word = grams(text)
     if not len(gram):
         return (0.0,) * 6
-    v = seen[gram % len(seen)]
+    v = seen(gram)
     gap = np.flatnonzero(np.isnan(v))
     if len(gap):
-        v[gap] = np.nan_to_num(unseen[(gram[gap] >> 8) % len(unseen)])
-    spelt = np.add.reduceat(v.astype(float), starts) / np.diff(np.append(starts, len(v)))
-    named = words[word % len(words)].astype(float)
+        v[gap] = unseen(gram[gap] >> 8)
+    spelt = np.add.reduceat(v, starts) / np.diff(np.append(starts, len(v)))
+    named = words(word)
     return float(v.mean()), *highest(spelt), float(named.mean()), *highest(named)
 
 
+def featured(texts: DataFrame, table: DataFrame, no_word: dict[str, float]) -> DataFrame:
+    """(doc_id, fold, f0..f5, g0..g5) of (batch, doc_id, fold, text): by all counts, and in the calibration fold by those without it."""
+    found = expressions(texts).join(table, ["kind", "gram"]).select("batch", "kind", "gram", "all", "fit")
+    names = [f"{k}{i}" for k in "fg" for i in range(6)]
+    schema = "doc_id long, fold int, " + ", ".join(f"{n} double" for n in names)
+
+    def score(rows: pa.Table, figures: pa.Table) -> pa.Table:
+        kind, gram = (figures.column(c).to_numpy() for c in ("kind", "gram"))
+        own = [kind == k for k in (GRAM, CONTEXT, WORD)]
+
+        def tables(c: str) -> list[Figures]:
+            values = figures.column(c).to_numpy()
+            return [Figures(gram[at], values[at], m) for at, m in zip(own, (np.nan, 0.0, no_word[c]))]
+
+        every, part = tables("all"), tables("fit")
+        folds = rows.column("fold").to_pylist()
+        made = [(*features(t, *every), *(features(t, *part) if k == CALIBRATION_FOLD else (None,) * 6)) for t, k in zip(rows.column("text").to_pylist(), folds)]
+        columns = [pa.array(list(c), pa.float64()) for c in zip(*made)] or [pa.array([], pa.float64())] * len(names)
+        return pa.table([rows.column("doc_id").combine_chunks(), pa.array(folds, pa.int32()), *columns], names=["doc_id", "fold", *names])
+
+    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(score, schema)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Newton's method with a little ridge: (weights and bias, mean, scale)."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
@@ -200,35 +262,24 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) per row, by models of the labelled rows outside the held-out fold."""
-    spark = docs.sparkSession
     known = labels_of(labels, label)
     train = likely_known(texts_of(docs, id_col, text_col), known).join(known, "doc_id").select(F.when(F.col("label") > 0, 1).otherwise(0).alias("label"), fold_of().alias("fold"), "text")
     counted = staged(expression_counts(train), "expressions")
     by_gram, by_context = ratios(counted.where("kind = 0").drop("kind", "texts"))
     by_word, no_word = word_ratios(counted.where("kind = 1").drop("kind"))
-    tables = [cells_of(by_gram, "gram", CELLS), cells_of(by_context, "context", CONTEXT_CELLS), cells_of(by_word, "gram", CELLS)]
-    for c, figure in no_word.items():
-        tables[2][c] = np.nan_to_num(tables[2][c], nan=figure)
-    fit = spark.sparkContext.broadcast([t["fit"] for t in tables])
-    sample = labelled_sample(texts_of(docs, id_col, text_col), labels, label, CALIBRATION_ROWS, CALIBRATION_FOLD).select("doc_id", "label", "text")
-    schema = "doc_id long, label int, " + ", ".join(f"f{i} double" for i in range(6))
-
-    def columns(texts, table):
-        return [list(c) for c in zip(*(features(t, *table) for t in texts))]
-
-    rows = sorted(map(tuple, map_texts(sample, schema, lambda: lambda texts: columns(texts, fit.value), carry=2).collect()))
+    kinds = ((GRAM, by_gram), (CONTEXT, by_context), (WORD, by_word))
+    table = reduce(DataFrame.unionByName, (rows.select(F.lit(kind).alias("kind"), "gram", "all", "fit") for kind, rows in kinds))
+    scored = staged(featured(numbered(texts_of(docs, id_col, text_col)), staged(table, "figures"), no_word), "features")
+    chosen = known.where(fold_of() == CALIBRATION_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    sample = scored.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", *(f"g{i}" for i in range(6)))
+    rows = sorted(map(tuple, sample.collect()))
     y = np.array([min(r[1], 1) for r in rows], float)
-    full = spark.sparkContext.broadcast([t["all"] for t in tables])
     if len(y) and y.min() < y.max():
         w, mean, scale = logistic(np.array([r[2:] for r in rows], float), y)
     else:
         share = float(y.mean()) if len(y) else 0.0
         w, mean, scale = np.append(np.zeros(6), np.log(max(share, 1e-9) / max(1 - share, 1e-9))), np.zeros(6), np.ones(6)
 
-    def scores(texts):
-        x = (np.array([features(t, *full.value) for t in texts]) - mean) / scale
-        return [1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))]
-
-    every = texts_of(docs, id_col, text_col).select("doc_id", (fold_of() == 0).alias("held_out"), "text")
-    scored = map_texts(every, "doc_id long, held_out boolean, score double", lambda: scores, carry=2)
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    z = sum(((F.col(f"f{i}") - F.lit(float(mean[i]))) / F.lit(float(scale[i])) * F.lit(float(w[i])) for i in range(6)), F.lit(float(w[-1])))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+    return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
