@@ -6,8 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,8 +20,3 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     return s
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF
+from frame_rows import SF
 
 import __spark_entry__ as entry_points
 from check import TABLES, compare

@@ -4,7 +4,7 @@ import json
 
 import pytest
 import zstandard
-from conftest import rows
+from frame_rows import rows
 
 from tonearm.plans import jobs, reports
 from tonearm.schemas import ARTIST_METADATA, EXTERNAL_SIMILAR

@@ -6,7 +6,7 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from tonearm.operators import communities, graph, recommend, search, segments

@@ -1,7 +1,7 @@
 """Resolution chain on hand-made tables."""
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from tonearm.operators import resolve

@@ -4,7 +4,7 @@ import json
 
 import pytest
 import zstandard
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from tonearm.schemas import ARTISTS, COUNTS, MSID_MAPPING

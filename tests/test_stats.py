@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from frame_rows import rows
 from pyspark.sql import functions as F
 
 from tonearm import functions as fn
