@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, fingerprint, mixing, neighbours, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from . import bpe_codec, collocations, decontaminate, fingerprint, merkle, mixing, neighbours, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from .oracles import merkle_sql, phrase_sql, window_sql
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,24 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_source_mix, op3_token_counts, op4_toxicity, op5_simhash, op6_quality, op7_bpe_round_trip, op8_neighbours, op9_url_verdicts, op10_repeated_strings)}
-#: SQL has none of the hashes, tokenizers and learned models; the tests hold these queries against brute force instead.
-ORACLE: dict[str, str] = {}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_fingerprints, op2_source_mix, op3_token_counts, op4_toxicity, op5_simhash, op6_quality, op7_bpe_round_trip, op8_neighbours,
+        op9_url_verdicts, op10_repeated_strings, op11_collocations, op12_contamination, op13_merkle_manifest,
+    )
+}
+#: SQL has none of the other operators' hashes, tokenizers and learned models; the tests hold those against brute force.
+ORACLE: dict[str, str] = {"op11_collocations": phrase_sql(), "op12_contamination": window_sql(), "op13_merkle_manifest": merkle_sql()}
