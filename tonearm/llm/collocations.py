@@ -1,8 +1,9 @@
 r"""Phrase collocations by set-oriented mining over relations of occurrences.
 
 Texts fall into pieces at punctuation and line breaks, pieces into words at blanks; A-Z is lower-cased. Words'
-occurrences are persisted in the order of piece and position, a piece's words in one row, so that neighbours of
-length two meet within their row. Then, length by length:
+occurrences are persisted in the order of piece and position, a piece's words in one row, so that neighbours
+meet within their row. A bit table of at most 2 MB keeps most rare words, and then most rare pairs, out of the
+exchanges; counts and joins by the words themselves decide. Then, length by length:
 
 1. extend: occurrences of frequent phrases of k words meet those of frequent pairs by piece and position, where the
    phrase's last word is the pair's first (a merge join of two sorted relations, one to one);
@@ -11,7 +12,7 @@ length two meet within their row. Then, length by length:
 
 A phrase is frequent at ``min_count`` occurrences. All parts of a frequent phrase are frequent, so nothing is lost,
 and every count that a score needs is in the tables of frequent phrases. Groups are numbered when written; numbers
-stand for words and phrases exactly, nothing is hashed.
+stand for phrases exactly; hashes only skip what is rare.
 
 A phrase is cut in two after each of its words; the score of a cut is floor(1000 a n / (l r)) in decimals of 38
 digits, and the lowest one counts, of equal ones the first. Phrases that occur inside a longer frequent phrase no less
@@ -29,18 +30,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import columns_of
+from .common import bit_table, columns_of, likely_in
 
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
-PIECES, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
+#: Ends of pieces, all read as a line feed, and blanks, all read as a space.
+ENDS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 
 
 def piece_rows(docs: DataFrame) -> DataFrame:
     """(piece, lang, words): every piece that has words, numbered."""
     rows = columns_of(docs, "text", "lang")
-    lowered = F.translate(F.coalesce("text", F.lit("")), ascii_uppercase, ascii_lowercase)
-    pieces = rows.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(lowered, PIECES)).alias("piece"))
-    words = pieces.select("lang", F.array_remove(F.split("piece", BLANKS), "").alias("words")).where(F.size("words") > 0)
+    plain = F.translate(F.coalesce("text", F.lit("")), ascii_uppercase + ENDS + BLANKS, ascii_lowercase + "\n" * len(ENDS) + " " * len(BLANKS))
+    pieces = rows.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(plain, "\n")).alias("piece"))
+    words = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words")).where(F.size("words") > 0)
     return words.select(F.monotonically_increasing_id().alias("piece"), "lang", "words")
 
 
@@ -51,23 +53,34 @@ def numbered(groups: DataFrame, name: str) -> DataFrame:
 
 def frequent_words(pieces: DataFrame, min_count: int) -> DataFrame:
     words = pieces.select("lang", F.explode("words").alias("phrase")).groupBy("lang", "phrase").agg(F.count("*").alias("a"))
-    return numbered(words.where(F.col("a") >= min_count), "phrases-1")
+    return staged(words.where(F.col("a") >= min_count), "phrases-1")
 
 
 def neighbours(pieces: DataFrame, words: DataFrame) -> DataFrame:
-    """(piece, pos, left, right): adjacent words that are both frequent, by number."""
+    """(piece, pos, lang, w0, w1): adjacent words that are both frequent, or taken so by the bit table."""
     at = pieces.where(F.size("words") > 1).select("piece", "lang", "words", F.posexplode("words").alias("pos", "w0"))
-    at = at.select("piece", "lang", "pos", "w0", F.get("words", F.col("pos") + 1).alias("w1")).where("w1 is not null")
-    one = words.select("lang", F.col("phrase").alias("w0"), F.col("id").alias("left"))
-    two = words.select("lang", F.col("phrase").alias("w1"), F.col("id").alias("right"))
-    return at.join(one, ["lang", "w0"]).join(two, ["lang", "w1"]).select("piece", "pos", "left", "right")
+    at = at.select("piece", "pos", "lang", "w0", F.get("words", F.col("pos") + 1).alias("w1")).where("w1 is not null")
+    table = bit_table(words.select("lang", F.col("phrase").alias("w")), "lang", "w")
+    return likely_in(likely_in(at, table, "lang", "w0"), table, "lang", "w1")
 
 
-def frequent_groups(grown: DataFrame, shorter: DataFrame, last: DataFrame, min_count: int, name: str) -> DataFrame:
-    """(lang, phrase, a, id, left, right) of the groups that are frequent; ``last`` brings the word that is added."""
+def frequent_pairs(near: DataFrame, min_count: int) -> DataFrame:
+    """(lang, phrase, a, id, w0, w1): a pair that the bit table lets pass wrongly is too rare to stay."""
+    counts = near.groupBy("lang", "w0", "w1").agg(F.count("*").alias("a")).where(F.col("a") >= min_count)
+    return numbered(counts.withColumn("phrase", F.concat_ws(" ", "w0", "w1")), "phrases-2")
+
+
+def pair_occurrences(near: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(piece, pos, id): the bit table keeps the rare ones out of the exchange, the join decides."""
+    keys = ["lang", "w0", "w1"]
+    return staged(likely_in(near, bit_table(pairs, *keys), *keys).join(pairs.select(*keys, "id"), keys).select("piece", "pos", "id"), "occurrences-2")
+
+
+def frequent_groups(grown: DataFrame, shorter: DataFrame, pairs: DataFrame, min_count: int, name: str) -> DataFrame:
+    """(lang, phrase, a, id, left, right) of the groups that are frequent; a pair brings the word that is added."""
     counts = grown.groupBy("left", "right").agg(F.count("*").alias("a")).where(F.col("a") >= min_count)
     first = shorter.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
-    added = last.select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("word"))
+    added = pairs.select(F.col("id").alias("right"), F.col("w1").alias("word"))
     met = counts.join(first, "left").join(added, "right")
     return numbered(met.select("lang", F.concat_ws(" ", "head", "word").alias("phrase"), "a", "left", "right"), name)
 
@@ -86,15 +99,16 @@ def extended(occurrences: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
 
 def phrase_counts(pieces: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, size, a): every frequent phrase of up to ``longest`` words."""
-    levels = [frequent_words(pieces, min_count)]
-    occurrences = pairs = None
-    for size in range(1, longest):
-        # neighbours of length two are read from the pieces twice, which is cheaper than to keep the infrequent ones
-        grown = neighbours(pieces, levels[0]) if size == 1 else staged(extended(occurrences, pairs, size), f"extended-{size + 1}")
-        groups = frequent_groups(grown, levels[-1], levels[min(size, 2) - 1], min_count, f"phrases-{size + 1}")
+    words = frequent_words(pieces, min_count)
+    near = neighbours(pieces, words)  # read from the pieces twice, which is cheaper than to write the rare ones
+    pairs = frequent_pairs(near, min_count)
+    levels = [words, pairs][:longest]
+    starts = occurrences = pair_occurrences(near, pairs) if longest > 2 else None
+    for size in range(2, longest):
+        grown = staged(extended(occurrences, starts, size), f"extended-{size + 1}")
+        groups = frequent_groups(grown, levels[-1], pairs, min_count, f"phrases-{size + 1}")
         if size + 1 < longest:
             occurrences = kept(grown, groups, f"occurrences-{size + 1}")
-            pairs = occurrences if size == 1 else pairs
         levels.append(groups)
     out = None
     for size, level in enumerate(levels, 1):

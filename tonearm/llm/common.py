@@ -82,3 +82,17 @@ def likely_known(df: DataFrame, known: DataFrame) -> DataFrame:
     words = known.select(word.alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))").alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
     met = df.withColumn("word", word).join(F.broadcast(words), "word")
     return met.where(F.expr("(shiftrightunsigned(bits, cast(pmod(xxhash64(doc_id), 64) as int)) & 1) = 1")).select(*df.columns)
+
+
+def bit_table(df: DataFrame, *keys: str) -> DataFrame:
+    """(cell, bits): a bit per hashed key, in at most ``FILTER_WORDS`` rows."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(64 * FILTER_WORDS))
+    marks = df.select(F.floor(bit / 64).cast("int").alias("cell"), (bit % 64).cast("int").alias("at"))
+    return marks.groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
+
+
+def likely_in(df: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``df`` whose keys may be among those of a bit table: a superset, found without a shuffle."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(64 * FILTER_WORDS))
+    met = df.withColumns({"cell": F.floor(bit / 64).cast("int"), "at": (bit % 64).cast("int")}).join(F.broadcast(table), "cell")
+    return met.where(F.expr("(shiftrightunsigned(bits, at) & 1) = 1")).select(*df.columns)
