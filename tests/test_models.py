@@ -9,6 +9,7 @@ import pytest
 from frame_rows import rows
 from pyspark.sql import functions as F
 
+from tonearm import functions as fn
 from tonearm.operators import communities, graph, recommend, search, segments
 from tonearm.plans import jobs
 from tonearm.schemas import COUNTS
@@ -182,18 +183,27 @@ def test_communities_of_two_cliques(spark):
     assert communities.detect_communities(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("threshold", [0.7, 0.85])
-def test_similar_pairs_against_all_pairs(spark, threshold):
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("measure, threshold", [("matching", 0.7), ("matching", 0.85), ("levenshtein", 0.6), ("levenshtein", 0.75), ("levenshtein", 0.85)])
+def test_similar_pairs_against_all_pairs(spark, measure, threshold):
     rnd = random.Random(11)
     base = ["the silver band", "silver bands", "queen", "queens", "radio head", "radiohead", "ab", "abc", "a", "b", "mötley crüe", "motley crue"]
     words = base + ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(2, 9))).strip() for _ in range(150)]
     values = sorted({w for w in words if w})
     df = spark.createDataFrame([(w,) for w in words] + [(None,)], "name STRING")
-    got = {(r[0], r[1]): r[2] for r in rows(search.similar_pairs(df, "name", threshold, None))}
+    got = {(r[0], r[1]): r[2] for r in rows(search.similar_pairs(df, "name", threshold, None, measure))}
     want = {}
     for i, a in enumerate(values):
         for b in values[i + 1 :]:
-            s = SequenceMatcher(None, a, b).ratio()
+            s = SequenceMatcher(None, a, b).ratio() if measure == "matching" else 1 - edits(a, b) / max(len(a), len(b))
             if threshold <= s < 1:
                 want[(a, b)] = s
     assert got == pytest.approx(want)
@@ -208,13 +218,67 @@ def test_similar_pairs_sample(spark):
         search.similar_pairs(df, "name", 0.5)
 
 
-def test_artist_search(spark):
+def test_split_pieces_lose_no_pair(spark):
+    rnd = random.Random(12)
+    names = sorted({f"the same start {rnd.choice('abc')}{rnd.choice('abc')}{rnd.randint(0, 40)}" for _ in range(150)})
+    df = spark.createDataFrame([(n,) for n in names], "name STRING")
+    whole = rows(search.candidate_pairs(df, "name", 0.85))
+    assert whole == rows(search.candidate_pairs(df, "name", 0.85, split_at=7))
+    assert {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if 1 - edits(a, b) / max(len(a), len(b)) >= 0.85} <= set(whole)
+
+
+def test_candidates_are_few(spark):
+    rnd = random.Random(13)
+    word = lambda: "".join(rnd.choice("bcdfghklmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4)))
+    names = list({f"{word()} {word()}" for _ in range(4000)})
+    df = spark.createDataFrame([(n,) for n in names], "name STRING")
+    every = len(names) * (len(names) - 1) / 2
+    assert search.candidate_pairs(df, "name", 0.85).count() < 0.001 * every
+    assert search.candidate_pairs(df, "name", 0.85, "matching").count() < 0.01 * every
+
+
+def test_default_measure_stays_in_the_jvm(spark):
+    df = spark.createDataFrame([("a name",)], "name STRING")
+    plan = search.similar_pairs(df, "name")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan and "CartesianProduct" not in plan
+
+
+def test_artist_search_against_all_names(spark):
+    rnd = random.Random(14)
+    plain = ["metallica", "björk", "sigur rós", "the beatles", "mötley crüe", "beyoncé", "ac dc", "straße", "o", "the the", "the"] + ["".join(rnd.choice("abco ") for _ in range(rnd.randint(1, 14))).strip() or "x" for _ in range(250)]
+    names = [(f"id{i:03}", n.upper() if i % 2 else n) for i, n in enumerate(plain)] + [("id900", None), ("id901", " - "), ("id000", "metallica")]
+    asked = ["Metalica", "Bjork", "sigur ros", "Beatles", "Motley Crue", "Beyonce", "AC/DC", "strasse", "The", "?", "", None] + ["".join(rnd.choice("abco ") for _ in range(rnd.randint(1, 14))) for _ in range(60)]
+    a = spark.createDataFrame(names, "artist_mbid STRING, name STRING")
+    q = spark.createDataFrame([(x,) for x in asked], "query STRING")
+    folded = dict(a.select("name", fn.fold_name(F.col("name"))).collect())
+    wanted = dict(q.select("query", fn.fold_name(F.col("query"))).collect())
+    for least in (70, 80):
+        got = {(r["query"], r["rank"]): (r["artist_mbid"], r["score"]) for r in search.search_artists(q, a, 5, least).collect()}
+        want = {}
+        for x in set(asked) - {None}:
+            hits = {(-round(100 * (1 - edits(wanted[x], f) / max(len(f), len(wanted[x]))), 4), i) for i, n in names if n and (f := folded[n]) and wanted[x]}
+            for rank, (score, i) in enumerate(sorted(h for h in hits if h[0] <= -least)[:5], 1):
+                want[x, rank] = (i, -score)
+        assert got == want
+    assert {wanted[x] for x in ("Metalica", "Bjork", "Beatles")} == {"metalica", "bjork", "beatles"} and got["Metalica", 1][0] == "id000" and got["Bjork", 1][0] == "id001"
+    with pytest.raises(ValueError):
+        search.search_artists(q, a, min_score=60)
+
+
+def test_frequent_trigrams_are_split(spark):
+    """A trigram that every name holds makes no group of all names: a key holds the names of one length only."""
+    names = [(f"id{i}", f"the {'x' * (i % 23)}{i}") for i in range(2300)]
+    keys = search.name_index(spark.createDataFrame(names, "artist_mbid STRING, name STRING")).groupBy("gram", "size").count()
+    assert keys.agg(F.max("count")).first()[0] <= 400
+
+
+def test_artists_sharing_a_word(spark):
     artists = spark.createDataFrame(
         [(f"id{i}", n, "XX") for i, n in enumerate(["The Beatles", "Beatles Revival", "The The", "Beat", "BEATLES!"])],
         "artist_mbid STRING, name STRING, country STRING",
     )
     q = spark.createDataFrame([("beatles",), ("nobody here",)], "query STRING")
-    got = search.search_artists(q, artists, 2).orderBy("rank").collect()
+    got = search.artists_sharing_word(q, artists, 2).orderBy("rank").collect()
     assert [(r["name"], r["rank"]) for r in got] == [("BEATLES!", 1), ("The Beatles", 2)]
     assert got[0]["score"] == 100.0 and got[0]["country"] == "XX"
 

@@ -213,7 +213,7 @@ def jn13(t: Tables) -> DataFrame:
 def jn13_matching(t: Tables) -> DataFrame:
     """By matching blocks, over all distinct titles."""
     titles = t.read("part").select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("title")).distinct()
-    return rounded(search.similar_pairs(titles, "title"), "similarity")
+    return rounded(search.similar_pairs(titles, "title", measure="matching"), "similarity")
 
 
 @query(
@@ -239,7 +239,47 @@ def jn14(t: Tables) -> DataFrame:
         F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("artist_mbid"),
         F.concat(F.upper("p_name"), F.lit(" ("), "p_brand", F.lit(")")).alias("name"),
     )
-    return search.search_artists(queries, artists)
+    return search.artists_sharing_word(queries, artists)
+
+
+_FOLD = "regexp_replace(trim(regexp_replace(strip_accents(lower({})), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), '^the (.)', '\\1')"
+
+
+@query(
+    "jn14_misspelt_search",
+    f"""--with
+    q AS (SELECT DISTINCT replace(concat(substr(p_name, 1, 3), substr(p_name, 5)), 'o', 'ö') AS query FROM part),
+    a AS (SELECT concat('m', p_partkey) AS artist_mbid, CASE WHEN p_partkey % 3 = 0 THEN concat('The ', upper(p_name)) ELSE p_name END AS name FROM part),
+    n AS (SELECT *, {_FOLD.format("name")} AS an FROM a),
+    m AS (SELECT *, {_FOLD.format("query")} AS qn FROM q),
+    s AS (SELECT query, artist_mbid, name, round((1 - levenshtein(qn, an)::DOUBLE / greatest(length(qn), length(an))) * 100, 4) AS score FROM m, n)
+    SELECT query, artist_mbid, name, score, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, artist_mbid) AS rank FROM s WHERE score >= 70) r
+    WHERE rank <= 10
+    """,
+)
+def jn14_misspelt(t: Tables) -> DataFrame:
+    """Every part name with a letter left out and accents put in, searched among all part names, a third with an article."""
+    part = t.read("part")
+    queries = part.select(F.replace(F.concat(F.substring("p_name", 1, 3), F.substring("p_name", 5, 1 << 20)), F.lit("o"), F.lit("ö")).alias("query"))
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("The "), F.upper("p_name"))).otherwise(F.col("p_name"))
+    return search.search_artists(queries, part.select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("artist_mbid"), name.alias("name")))
+
+
+@query(
+    "jn14_name_index",
+    f"""--with
+    a AS (SELECT concat('m', p_partkey) AS artist_mbid, {_FOLD.format("p_name")} AS folded FROM part),
+    g AS (SELECT artist_mbid, folded, substr(concat('##', folded, '$$'), i, 3) AS g FROM (SELECT *, unnest(range(1, length(folded) + 3)) AS i FROM a)),
+    k AS (SELECT artist_mbid, folded, g, unnest(range(1, count(*) + 1)) AS no FROM g GROUP BY artist_mbid, folded, g)
+    SELECT concat(g, no) AS gram, length(folded) AS size, count(*) AS names, min(artist_mbid) AS first_artist FROM k GROUP BY ALL
+    """,
+)
+def jn14_index(t: Tables) -> DataFrame:
+    """Names per key of the inverted index of all part names."""
+    artists = t.read("part").select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("artist_mbid"), F.col("p_name").alias("name"))
+    keys = search.name_index(artists).groupBy("gram", "size")
+    return keys.agg(F.count(F.lit(1)).alias("names"), F.min("who.artist_mbid").alias("first_artist")).withColumn("size", F.col("size").cast("long"))
 
 
 @query("jn07_recommendation_names", _RECS + "SELECT source_artist_id, rank, artist_name FROM recs WHERE artist_name <> 'Unknown Artist'")

@@ -3,6 +3,7 @@
 from .text import (  # noqa: F401
     clip_name,
     count_label,
+    fold_name,
     item_count,
     names_or_none,
     normalise_name,

@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: prefix of the recommendation files.
 SEED_FILE_PREFIX = "similar_to_"
+# Letters that have no decomposition.
+PLAIN_LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l", "ı": "i", "þ": "th", "ð": "d"}
+
+
+def _accents() -> dict[str, str]:
+    """Lower-case Latin letters with marks, from Unicode's decompositions to a plain letter."""
+    letters = map(chr, [*range(0xE0, 0x250), *range(0x1E00, 0x1F00)])
+    return {c: unicodedata.normalize("NFD", c)[0] for c in letters if c.islower() and unicodedata.normalize("NFD", c)[0].isascii()}
+
+
+ACCENTS = _accents()
 
 
 def split_items(text: Column, delimiter: str = ";") -> Column:
@@ -60,3 +73,11 @@ def count_label(name: Column, count: Column) -> Column:
 def normalise_name(name: Column) -> Column:
     """Lower case, punctuation to single spaces, trimmed."""
     return F.trim(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", " "))
+
+
+def fold_name(name: Column) -> Column:
+    """A name without case, accents, punctuation and a leading article, for searches."""
+    plain = F.translate(F.regexp_replace(F.lower(name), r"\p{Mn}", ""), "".join(ACCENTS), "".join(ACCENTS.values()))
+    for letter, letters in PLAIN_LETTERS.items():
+        plain = F.replace(plain, F.lit(letter), F.lit(letters))
+    return F.regexp_replace(normalise_name(plain), "^the (?=.)", "")
