@@ -3,4 +3,4 @@
 from __future__ import annotations
 
 from .base import ORACLE, QUERIES  # noqa: F401
-from . import aggregates, functions, graphs, ingest, joins, recommender, report_jobs, windows_sets  # noqa: F401,E402
+from . import aggregates, functions, graphs, ingest, joins, recommender, report_jobs, stage_profiles, windows_sets  # noqa: F401,E402
