@@ -170,6 +170,26 @@ def test_edges_and_degrees(spark):
     assert rows(graph.labelled_nodes(graph.degrees(e), names)) == [("s", 5, "Unknown (s)")]
 
 
+def test_restarts_together_cost_no_more_than_apart(spark):
+    """Ten runs advanced in one scan a round, against ten fits of the library's k-means from as many seeds."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(4)
+    data = np.concatenate([rng.normal(c, s, size=(n, 5)) for c, s, n in ((0, 1, 120), (6, 2, 80), (-5, 1, 60), (12, 0.5, 9))])
+    names = [f"x{i}" for i in range(5)]
+    points = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(data)], ["user_id", *names]).repartition(4)
+    centres, cost = segments.fit_centres(points, 3, range(42, 52), 300)
+    vectors = VectorAssembler(inputCols=names, outputCol="v").transform(points).cache()
+    apart = min(KMeans(k=3, seed=s, featuresCol="v", maxIter=300, tol=1e-4).fit(vectors).summary.trainingCost for s in range(42, 52))
+    assert cost <= apart * 1.0001
+    far = ((data[:, None, :] - np.array(centres)[None]) ** 2).sum(2)
+    assert cost == pytest.approx(far.min(1).sum(), rel=1e-6)
+    assert [r["cluster"] for r in segments.assign(points, centres).orderBy("user_id").collect()] == far.argmin(1).tolist()
+    same = spark.createDataFrame([(i, 1.0, 1.0, 1.0, 1.0, 1.0) for i in range(12)], ["user_id", *names])
+    assert segments.fit_centres(same, 3, range(2), 300)[1] == 0.0
+
+
 def test_communities_of_two_cliques(spark):
     left, right = "abcd", "wxyz"
     edges = [(p[i], p[j], 1.0) for p in (left, right) for i in range(4) for j in range(i + 1, 4)] + [("d", "w", 0.5)]

@@ -58,6 +58,22 @@ def gr03_cover(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "gr03_star_communities",
+    """
+    SELECT s_name AS node, min(s_name) OVER (PARTITION BY s_nationkey) AS community FROM supplier
+    WHERE s_nationkey IN (SELECT s_nationkey FROM supplier GROUP BY s_nationkey HAVING count(*) > 1)
+    """,
+    views=False,
+)
+def gr03_stars(t: Tables) -> DataFrame:
+    """Suppliers linked to the first one of their nation: every nation is a community."""
+    suppliers = t.read("supplier").select("s_nationkey", "s_name")
+    first = suppliers.groupBy("s_nationkey").agg(F.min("s_name").alias("src"))
+    edges = suppliers.join(first, "s_nationkey").filter("s_name <> src").select("src", F.col("s_name").alias("dst"), F.lit(1.0).alias("weight"))
+    return communities.detect_communities(edges)
+
+
 @query(
     "gr03_modularity",
     EDGES_SQL.rstrip()

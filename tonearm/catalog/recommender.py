@@ -143,10 +143,8 @@ def ml06_requested(t: Tables) -> DataFrame:
     """,
 )
 def ml07(t: Tables) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    scaled = segments.standardise(segments.user_features(t.landed_counts)).withColumn("z", vector_to_array("scaled"))
-    at = lambda i, name: F.round(F.col("z")[i], 5).alias(name)
+    scaled = segments.standardise(segments.user_features(t.landed_counts))
+    at = lambda i, name: F.round(F.col(f"x{i}"), 5).alias(name)
     return scaled.select("user_id", at(0, "z_artists"), at(1, "z_listens"), at(4, "z_max"))
 
 
@@ -182,6 +180,66 @@ def ml11(t: Tables) -> DataFrame:
     return segments.chart_points(segments.cluster_users(segments.user_features(t.landed_counts)))
 
 
+_FEATURES_SQL = """--with
+f AS (SELECT user_id, count(*) AS artist_count, CAST(sum(listen_count) AS BIGINT) AS total_listens, avg(listen_count) AS avg_listens_per_artist,
+             stddev_samp(listen_count) AS stddev_listens, max(listen_count) AS max_listens
+      FROM counts GROUP BY user_id HAVING count(*) > 5),
+given AS (SELECT *, CAST(user_id % 3 AS INTEGER) AS cluster FROM f),
+stats AS (SELECT cluster AS cluster_id, count(*) AS user_count, round(avg(artist_count), 6) AS avg_artists, round(avg(total_listens), 6) AS avg_listens,
+                 round(avg(avg_listens_per_artist), 6) AS avg_listens_per_artist, array_to_string(list_sort(list(user_id))[1:5], ',') AS example_users
+          FROM given GROUP BY cluster)
+"""
+
+
+def given_clusters(t: Tables) -> DataFrame:
+    """Users in three groups by their number: what is computed of clusters can be checked row by row."""
+    features = segments.user_features(t.landed_counts)
+    return features.withColumn("cluster", (F.col("user_id") % 3).cast("int"))
+
+
+@query(
+    "ml08_nearest_centres",
+    _FEATURES_SQL.rstrip()
+    + """,
+    z AS (SELECT user_id, cluster, (artist_count - avg(artist_count) OVER ()) / stddev_samp(artist_count) OVER () AS x0, (total_listens - avg(total_listens) OVER ()) / stddev_samp(total_listens) OVER () AS x1,
+                 (avg_listens_per_artist - avg(avg_listens_per_artist) OVER ()) / stddev_samp(avg_listens_per_artist) OVER () AS x2,
+                 (stddev_listens - avg(stddev_listens) OVER ()) / stddev_samp(stddev_listens) OVER () AS x3, (max_listens - avg(max_listens) OVER ()) / stddev_samp(max_listens) OVER () AS x4 FROM given),
+    c AS (SELECT cluster AS no, avg(x0) AS c0, avg(x1) AS c1, avg(x2) AS c2, avg(x3) AS c3, avg(x4) AS c4 FROM z GROUP BY cluster),
+    d AS (SELECT user_id, no, (x0-c0)*(x0-c0) + (x1-c1)*(x1-c1) + (x2-c2)*(x2-c2) + (x3-c3)*(x3-c3) + (x4-c4)*(x4-c4) AS d FROM z, c)
+    SELECT user_id, CAST(arg_min(no, d) AS INTEGER) AS cluster FROM d GROUP BY user_id
+    """,
+)
+def ml08_nearest(t: Tables) -> DataFrame:
+    """Every user at the nearest of three given centres, the means of the three groups."""
+    points = segments.standardise(given_clusters(t))
+    means = points.groupBy("cluster").agg(*(F.avg(f"x{i}") for i in range(len(segments.FEATURES)))).orderBy("cluster").collect()
+    return segments.assign(points.drop("cluster"), [list(r)[1:] for r in means]).select("user_id", "cluster")
+
+
+@query("ag15_given_clusters", _FEATURES_SQL + "SELECT * FROM stats")
+def ag15_given(t: Tables) -> DataFrame:
+    stats = segments.cluster_statistics(given_clusters(t)).withColumn("example_users", F.array_join("example_users", ","))
+    return rounded(stats, "avg_artists", "avg_listens", "avg_listens_per_artist")
+
+
+@query(
+    "ml09_given_clusters",
+    _FEATURES_SQL.rstrip()
+    + """,
+    power AS (SELECT arg_max(cluster_id, avg_listens_per_artist) AS p FROM stats),
+    explorer AS (SELECT arg_max(cluster_id, avg_artists) AS e FROM stats, power WHERE cluster_id <> p)
+    SELECT cluster_id, user_count, CASE cluster_id WHEN p THEN 'Power Users' WHEN e THEN 'Explorers' ELSE 'Casual Listeners' END AS name FROM stats, power, explorer
+    """,
+)
+def ml09_given(t: Tables) -> DataFrame:
+    return segments.name_segments(segments.cluster_statistics(given_clusters(t))).select("cluster_id", "user_count", "name")
+
+
+@query("ml10_given_clusters", _FEATURES_SQL + "SELECT cluster, round(avg(artist_count), 6) AS centre_artists, round(avg(total_listens), 6) AS centre_listens FROM given GROUP BY cluster")
+def ml10_given(t: Tables) -> DataFrame:
+    return rounded(segments.segment_centroids(given_clusters(t)), "centre_artists", "centre_listens")
+
+
 @query("snk06_saved_artists", "SELECT DISTINCT artist_id FROM counts")
 def snk06_artists(t: Tables) -> DataFrame:
     """Artists of the model that was saved and loaded again."""

@@ -16,6 +16,7 @@ from .aggregates import _COVERAGE, _STATS_SQL
 from .base import query, r6, rounded
 from .ingest import _BUCKETS, _RECS, FUNNEL_SQL, funnel, user_recommendations
 from .joins import TWO_LISTS_SQL, two_lists
+from .recommender import _FEATURES_SQL, given_clusters
 
 
 @query(
@@ -101,6 +102,28 @@ def rp06(t: Tables) -> DataFrame:
     return stats.withColumn("example_users", F.array_join("example_users", ","))
 
 
+@query(
+    "rp06_given_segments",
+    _FEATURES_SQL
+    + """
+    SELECT 'cluster_stats' AS dataset, cluster_id AS cluster, user_count AS users, avg_artists AS x, avg_listens AS y FROM stats
+    UNION ALL SELECT 'points', cluster, 1, artist_count, total_listens FROM given
+    UNION ALL SELECT 'centroids', cluster, 0, round(avg(artist_count), 6), round(avg(total_listens), 6) FROM given GROUP BY cluster
+    """,
+)
+def rp06_given(t: Tables) -> DataFrame:
+    """The three datasets of the segments over given clusters, one below the other."""
+    made = reports.segment_datasets(given_clusters(t))
+    columns = {"cluster_stats": ("cluster_id", "user_count", "avg_artists", "avg_listens"), "points": ("cluster", None, "artist_count", "total_listens"), "centroids": ("cluster", None, "centre_artists", "centre_listens")}
+
+    def part(name: str) -> DataFrame:
+        cluster, users, x, y = columns[name]
+        count = F.col(users) if users else F.lit(int(name == "points")).cast("long")
+        return made[name].select(F.lit(name).alias("dataset"), F.col(cluster).alias("cluster"), count.alias("users"), r6(x, "x"), r6(y, "y"))
+
+    return union_all(*map(part, columns))
+
+
 @query("rp07_listener_buckets", _BUCKETS)
 def rp07(t: Tables) -> DataFrame:
     return rounded(reports.listener_report(t.counts)["buckets"], "percentage")

@@ -1,8 +1,8 @@
 """Communities of a weighted undirected graph by modularity (Blondel et al. 2008).
 
 Nodes move to the neighbouring community of highest modularity gain, in rounds;
-when rounds stop helping, communities become the nodes of a smaller graph and
-the rounds start again. Each round is a handful of joins and grouped sums;
+when rounds stop helping, communities are cut into their connected parts, which
+become the nodes of a smaller graph, and the rounds start again. So every community is connected. Each round is a handful of joins and grouped sums;
 the driver sees one number per round, the modularity.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .components import connected_components
 from .graph import both_ends
 
 _EPS = 1e-9
@@ -39,6 +40,28 @@ def _modularity(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
     return per_community.agg(F.sum(share).alias("modularity"))
 
 
+def _totals(state: DataFrame) -> DataFrame:
+    """(community, tot, size), written: what meets a giant community's rows is a small table of its own, so the join can split them."""
+    return staged(state.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size")), "totals")
+
+
+def _links(adjacency: DataFrame, state: DataFrame) -> DataFrame:
+    """(node, target, links): each node's weight towards every community beside it."""
+    beside = state.select(F.col("node").alias("other"), F.col("community").alias("target"))
+    met = adjacency.filter(F.col("node") != F.col("other")).join(beside, "other")
+    return met.groupBy("node", "target").agg(F.sum("w").alias("links"))
+
+
+def _options(links: DataFrame, state: DataFrame, total: DataFrame) -> DataFrame:
+    """(node, community, k, own_tot, own_size, target, links, tot, size): where each node could go.
+
+    A community's rows are many only on the left of its two joins; there a giant one is split among tasks.
+    """
+    own = total.select("community", F.col("tot").alias("own_tot"), F.col("size").alias("own_size"))
+    there = total.select(F.col("community").alias("target"), "tot", "size")
+    return links.join(there, "target").join(state.join(own, "community"), "node")
+
+
 def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> DataFrame:
     """One round over (node, community, k), k being the node's summed weight.
 
@@ -46,16 +69,7 @@ def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> Da
     joins another lone node only towards the lower name: neighbours that would
     otherwise swap places for ever come to rest.
     """
-    total = state.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))
-    links = (
-        adjacency.filter(F.col("node") != F.col("other"))
-        .join(state.select(F.col("node").alias("other"), F.col("community").alias("target")), "other")
-        .groupBy("node", "target")
-        .agg(F.sum("w").alias("links"))
-    )
-    own = total.select("community", F.col("tot").alias("own_tot"), F.col("size").alias("own_size"))
-    there = total.select(F.col("community").alias("target"), "tot", "size")
-    options = links.join(there, "target").join(state.join(own, "community"), "node")
+    options = _options(_links(adjacency, state), state, _totals(state))
     here = F.col("target") == F.col("community")
     allowed = ~here & ((F.col("size") > 1) | (F.col("own_size") > 1) | (F.col("target") < F.col("community")))
     gain = F.col("links") - F.col("k") * F.col("tot") / F.lit(two_m)
@@ -69,6 +83,19 @@ def _move(adjacency: DataFrame, state: DataFrame, two_m: float, turn: int) -> Da
     return state.join(moves, "node", "left").select("node", F.coalesce("to", "community").alias("community"), "k")
 
 
+def connected_parts(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
+    """(node, community): every community cut into its connected parts, named after their lowest nodes.
+
+    Moves may take away the node that held a community together. Parts without a link between them gain nothing
+    from each other, so the modularity never falls.
+    """
+    own = communities.select("node", F.col("community").alias("c"))
+    far = communities.select(F.col("node").alias("other"), F.col("community").alias("oc"))
+    inside = adjacency.select("node", "other").join(own, "node").join(far, "other").filter("c = oc").select("node", "other")
+    lone = communities.select("node", F.col("node").alias("other"))
+    return connected_components(inside.unionByName(lone)).select("node", F.col("label").alias("community"))
+
+
 def _contract(adjacency: DataFrame, communities: DataFrame) -> DataFrame:
     own = communities.select("node", F.col("community").alias("c"))
     far = communities.select(F.col("node").alias("other"), F.col("community").alias("oc"))
@@ -107,6 +134,8 @@ def detect_communities(edges: DataFrame, guard: int = 500) -> DataFrame:
                 best, best_q, idle = state, q, 0
         if best is None:
             break
+        best = staged(connected_parts(adjacency, best), "parts")
+        best_q = max(best_q, _modularity(adjacency, best).first()["modularity"])
         names = best.select(F.col("node").alias("community"), F.col("community").alias("to"))
         membership = staged(membership.join(names, "community").select("node", F.col("to").alias("community")), "members")
         adjacency = staged(_contract(adjacency, best), "graph")

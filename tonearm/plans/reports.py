@@ -116,8 +116,11 @@ def similarity_network(recommendations: DataFrame, artists: DataFrame, seeds: in
 def user_segments(counts: DataFrame) -> dict[str, DataFrame] | None:
     """Named cluster statistics and chart points; None with too few users."""
     clustered = segments.cluster_users(segments.user_features(counts))
-    if clustered is None:
-        return None
+    return None if clustered is None else segment_datasets(clustered)
+
+
+def segment_datasets(clustered: DataFrame) -> dict[str, DataFrame]:
+    """The segments' datasets out of features with a cluster column."""
     return {
         "cluster_stats": segments.name_segments(segments.cluster_statistics(clustered)),
         "points": segments.chart_points(clustered),
