@@ -2,8 +2,8 @@ r"""Phrase collocations by set-oriented mining over relations of occurrences.
 
 Texts fall into pieces at punctuation and line breaks, pieces into words at blanks; A-Z is lower-cased. Words'
 occurrences are persisted in the order of piece and position, a piece's words in one row, so that neighbours
-meet within their row. A bit table of at most 2 MB keeps most rare words, and then most rare pairs, out of the
-exchanges; counts and joins by the words themselves decide. Then, length by length:
+meet within their row. Bit tables of at most 2 MB keep rare words out, then pairs whose hash is rare; what passes is
+counted by the words themselves, which decide. Then, length by length:
 
 1. extend: occurrences of frequent phrases of k words meet those of frequent pairs by piece and position, where the
    phrase's last word is the pair's first (a merge join of two sorted relations, one to one);
@@ -12,7 +12,7 @@ exchanges; counts and joins by the words themselves decide. Then, length by leng
 
 A phrase is frequent at ``min_count`` occurrences. All parts of a frequent phrase are frequent, so nothing is lost,
 and every count that a score needs is in the tables of frequent phrases. Groups are numbered when written; numbers
-stand for phrases exactly; hashes only skip what is rare.
+stand for phrases exactly; a pair's number is a hash that is checked to be its own.
 
 A phrase is cut in two after each of its words; the score of a cut is floor(1000 a n / (l r)) in decimals of 38
 digits, and the lowest one counts, of equal ones the first. Phrases that occur inside a longer frequent phrase no less
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import bit_table, columns_of, likely_in
+from .common import FILTER_WORDS, bit_table, columns_of, likely_in
 
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: Ends of pieces, all read as a line feed, and blanks, all read as a space.
@@ -57,23 +57,55 @@ def frequent_words(pieces: DataFrame, min_count: int) -> DataFrame:
 
 
 def neighbours(pieces: DataFrame, words: DataFrame) -> DataFrame:
-    """(piece, pos, lang, w0, w1): adjacent words that are both frequent, or taken so by the bit table."""
+    """(piece, pos, lang, w0, w1, before, after): adjacent words that are both frequent, or taken so by the bit table.
+
+    ``before`` and ``after`` are the words around them, null at the piece's ends.
+    """
     at = pieces.where(F.size("words") > 1).select("piece", "lang", "words", F.posexplode("words").alias("pos", "w0"))
-    at = at.select("piece", "pos", "lang", "w0", F.get("words", F.col("pos") + 1).alias("w1")).where("w1 is not null")
+    around = {"w1": F.get("words", F.col("pos") + 1), "after": F.get("words", F.col("pos") + 2), "before": F.when(F.col("pos") > 0, F.get("words", F.col("pos") - 1))}
+    at = at.select("piece", "pos", "lang", "w0", *(c.alias(n) for n, c in around.items())).where("w1 is not null")
     table = bit_table(words.select("lang", F.col("phrase").alias("w")), "lang", "w")
     return likely_in(likely_in(at, table, "lang", "w0"), table, "lang", "w1")
 
 
-def frequent_pairs(near: DataFrame, min_count: int) -> DataFrame:
-    """(lang, phrase, a, id, w0, w1): a pair that the bit table lets pass wrongly is too rare to stay."""
-    counts = near.groupBy("lang", "w0", "w1").agg(F.count("*").alias("a")).where(F.col("a") >= min_count)
-    return numbered(counts.withColumn("phrase", F.concat_ws(" ", "w0", "w1")), "phrases-2")
+def likely_pairs(near: DataFrame, min_count: int) -> DataFrame:
+    """(cell, bits): the bit table of the hashes that pairs share often enough; pairs that share one only add up."""
+    hashes = near.groupBy(F.hash("lang", "w0", "w1").alias("h")).agg(F.count("*").alias("a"))
+    return staged(bit_table(hashes.where(F.col("a") >= min_count), "h"), "pair-bits")
+
+
+def pair_occurrences(near: DataFrame, table: DataFrame, seed: int) -> DataFrame:
+    """(piece, pos, lang, w0, w1, id, ahead, behind): likely pairs, and whether likely pairs start at the next word and end at the first."""
+    marked = near.withColumn("h", F.hash("lang", "w0", "w1"))
+    held = likely_in(marked, table, "h")
+
+    def likely(a: str, b: str) -> Column:
+        bit = F.pmod(F.xxhash64(F.hash("lang", a, b)), F.lit(64 * FILTER_WORDS))
+        return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), bit)
 
+    out = held.select("piece", "pos", "lang", "w0", "w1", likely("w1", "after").alias("b1"), likely("before", "w0").alias("b0"), F.xxhash64(F.lit(seed), "lang", "w0", "w1").alias("id"))
+    for name, bit in (("ahead", "b1"), ("behind", "b0")):
+        cells = table.select(F.col("cell").alias(f"cell_{name}"), F.col("bits").alias(f"bits_{name}"))
+        out = out.join(F.broadcast(cells), F.floor(F.col(bit) / 64).cast("int") == F.col(f"cell_{name}"), "left")
+        out = out.withColumn(name, F.coalesce(F.expr(f"(shiftrightunsigned(bits_{name}, cast({bit} % 64 as int)) & 1) = 1"), F.lit(False)))
+    return staged(out.select("piece", "pos", "lang", "w0", "w1", "id", "ahead", "behind"), "occurrences-2")
 
-def pair_occurrences(near: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(piece, pos, id): the bit table keeps the rare ones out of the exchange, the join decides."""
-    keys = ["lang", "w0", "w1"]
-    return staged(likely_in(near, bit_table(pairs, *keys), *keys).join(pairs.select(*keys, "id"), keys).select("piece", "pos", "id"), "occurrences-2")
+
+def frequent_pairs(near: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """((lang, phrase, a, id, w1) of the frequent pairs, their occurrences).
+
+    Counts are by the words themselves. The numbers are hashes that are checked to differ; if two are equal, all are made
+    anew from another seed.
+    """
+    table = likely_pairs(near, min_count)
+    seed = 0
+    while True:
+        found = pair_occurrences(near, table, seed)
+        counts = found.groupBy("lang", "w0", "w1", "id").agg(F.count("*").alias("a"))
+        pairs = staged(counts.select("lang", F.concat_ws(" ", "w0", "w1").alias("phrase"), "a", "id", "w1"), "pairs")
+        if pairs.groupBy("id").count().where("count > 1").isEmpty():
+            return pairs.where(F.col("a") >= min_count), found
+        seed += 1
 
 
 def frequent_groups(grown: DataFrame, shorter: DataFrame, pairs: DataFrame, min_count: int, name: str) -> DataFrame:
@@ -91,8 +123,12 @@ def kept(grown: DataFrame, groups: DataFrame, name: str) -> DataFrame:
 
 
 def extended(occurrences: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(piece, pos, left, right): phrases of ``size`` words with the pair that starts at their last word."""
-    a = occurrences.select("piece", "pos", (F.col("pos") + size - 1).alias("end"), F.col("id").alias("left"))
+    """(piece, pos, left, right): phrases of ``size`` words with the pair that starts at their last word.
+
+    Of the pairs only those take part that follow on another one.
+    """
+    pairs = pairs.where("behind")
+    a = (occurrences.where("ahead") if size == 2 else occurrences).select("piece", "pos", (F.col("pos") + size - 1).alias("end"), F.col("id").alias("left"))
     b = pairs.select("piece", F.col("pos").alias("end"), F.col("id").alias("right"))
     return a.join(b, ["piece", "end"]).select("piece", "pos", "left", "right")
 
@@ -101,9 +137,8 @@ def phrase_counts(pieces: DataFrame, min_count: int = MIN_COUNT, longest: int =
     """(lang, phrase, size, a): every frequent phrase of up to ``longest`` words."""
     words = frequent_words(pieces, min_count)
     near = neighbours(pieces, words)  # read from the pieces twice, which is cheaper than to write the rare ones
-    pairs = frequent_pairs(near, min_count)
-    levels = [words, pairs][:longest]
-    starts = occurrences = pair_occurrences(near, pairs) if longest > 2 else None
+    pairs, starts = frequent_pairs(near, min_count)
+    levels, occurrences = [words, pairs][:longest], starts
     for size in range(2, longest):
         grown = staged(extended(occurrences, starts, size), f"extended-{size + 1}")
         groups = frequent_groups(grown, levels[-1], pairs, min_count, f"phrases-{size + 1}")
