@@ -6,6 +6,7 @@ import pytest
 import zstandard
 from frame_rows import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonearm.schemas import ARTISTS, COUNTS, MSID_MAPPING
 from tonearm.sources import listens, results, sinks, tables
@@ -108,14 +109,30 @@ def test_recommendation_files(spark, tmp_path):
 
 def test_recommendations_round_trip(spark, tmp_path):
     recs = spark.createDataFrame(
-        [("i1", "A & B's", 1, "i1", "A & B's", 1.0), ("i1", "A & B's", 2, "i2", "C", 0.5), ("i3", "!!!", 1, "i3", "!!!", 1.0)],
+        [("i1", "A & B's", 1, "i1", "A & B's", 1.0), ("i1", "A & B's", 2, "i2", "C", 0.5), ("i3", "!!!", 1, "i3", "!!!", 1.0),
+         ("i4", "Unknown Artist", 1, "i4", "Unknown Artist", 1.0), ("i5", "Unknown Artist", 1, "i5", "Unknown Artist", 1.0)],
         "source_artist_id STRING, source_artist STRING, rank INT, artist_id STRING, artist_name STRING, similarity_score DOUBLE",
     )
     path = str(tmp_path / "recs")
     sinks.write_recommendations(recs, path)
     assert (tmp_path / "recs" / "source_artist_slug=A_and_Bs").exists()
     back = results.read_recommendations(spark, path)
-    assert rows(back, "source_artist", "source_artist_id", "rank") == [("A and Bs", "i1", 1), ("A and Bs", "i1", 2), ("i3", "i3", 1)]
+    assert rows(back, "source_artist", "source_artist_id", "rank") == [
+        ("!!!", "i3", 1), ("A & B's", "i1", 1), ("A & B's", "i1", 2), ("Unknown Artist", "i4", 1), ("Unknown Artist", "i5", 1)
+    ]
+    assert all((tmp_path / "recs" / f"source_artist_slug=Unknown_Artist-{i}").exists() for i in ("i4", "i5")), "a folder per seed, not per name"
+
+
+def test_csv_line_breaks_and_failures(spark, tmp_path):
+    file = tmp_path / "names.csv"
+    file.write_text('id,name\n1,"a\nb, ""c"""\nx,plain\n,"last\n\n"\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    assert rows(tables.read_csv(spark, str(file), schema, multi_line=True)) == sorted([(1, 'a\nb, "c"'), (None, "plain"), (None, "last\n\n")], key=repr)
+    assert rows(tables.cast_failures(spark, str(file), schema, multi_line=True)) == [("id", 3, 1, 1), ("name", 3, 0, 0)]
+    broken = tmp_path / "broken.csv"
+    broken.write_text("id,name\n1,a\n2\n3,c,d\n4,\n")
+    assert rows(tables.broken_records(spark, str(broken))) == [("2",), ("3,c,d",)]
+    assert tables.broken_records(spark, str(file), multi_line=True).count() == 0
 
 
 def test_log_counts(spark, tmp_path):

@@ -54,6 +54,38 @@ def src03(t: Tables) -> DataFrame:
     return tables.read_csv(t.spark, path, ARTISTS).select(F.col("artist_mbid").cast("long").alias("id"), "name")
 
 
+@query(
+    "src03_quoted_line_breaks",
+    "SELECT concat(p_partkey, '') AS artist_mbid, concat(p_name, chr(10), '\"', p_brand, '\",', chr(10), chr(10), p_type) AS name FROM part",
+    views=False,
+)
+def src03_line_breaks(t: Tables) -> DataFrame:
+    """Names with line breaks, quotes and commas inside quotes, written and read back whole."""
+    path = scratch_path(t.spark, "line-breaks")
+    name = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('",\n\n'), "p_type")
+    t.read("part").select(F.col("p_partkey").cast("string").alias("artist_mbid"), name.alias("name")).write.option("header", True).option("escape", '"').csv(path)
+    return tables.read_csv(t.spark, path, ARTISTS, multi_line=True).select("artist_mbid", "name")
+
+
+@query(
+    "src03_cast_failures",
+    """
+    SELECT 'user_id' AS column_name, count(*) AS rows, count(*) FILTER (o_custkey % 5 = 0) AS empty, count(*) FILTER (o_custkey % 5 <> 0 AND o_custkey % 7 = 0) AS failed FROM orders
+    UNION ALL SELECT 'artist_id', count(*), 0, 0 FROM orders
+    UNION ALL SELECT 'listen_count', count(*), 0, count(*) FILTER (o_orderkey % 3 = 0) FROM orders
+    """,
+    views=False,
+)
+def src03_failures(t: Tables) -> DataFrame:
+    """Counts as CSV with missing and unreadable numbers: how many of each a reader turns into nulls."""
+    path = scratch_path(t.spark, "bad-counts")
+    k = F.col("o_custkey")
+    user = F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, F.lit("n/a")).otherwise(k.cast("string"))
+    count = F.when(F.col("o_orderkey") % 3 == 0, F.lit("12 plays")).otherwise(F.lit("12"))
+    t.read("orders").select(user.alias("user_id"), F.lit("a").alias("artist_id"), count.alias("listen_count")).write.option("header", True).csv(path)
+    return tables.cast_failures(t.spark, path, COUNTS)
+
+
 @query(
     "src04_csv_to_parquet",
     "SELECT recording_msid, match_type FROM msid_mapping",
@@ -376,6 +408,16 @@ def flt08(t: Tables) -> DataFrame:
     return lists.filter(F.size("ids") > 0).select("recording_mbid", F.size("ids").alias("artists"))
 
 
+@query(
+    "flt08_lists_of_blanks",
+    "SELECT recording_mbid, len(list_filter(string_split(artist_mbids, ';'), lambda x: x <> '')) AS artists FROM canonical WHERE len(list_filter(string_split(artist_mbids, ';'), lambda x: x <> '')) > 0",
+)
+def flt08_blanks(t: Tables) -> DataFrame:
+    """Lists that hold nothing but blanks are empty and go: a seventh of all."""
+    lists = t.canonical.select("recording_mbid", F.filter(F.split("artist_mbids", ";"), lambda x: x != "").alias("ids"))
+    return lists.filter(F.size("ids") > 0).select("recording_mbid", F.size("ids").cast("long").alias("artists"))
+
+
 @query("flt09_self_redirects", "SELECT concat('m', p_partkey) AS recording_mbid FROM part WHERE p_partkey = p_partkey - p_partkey % 3", views=False)
 def flt09(t: Tables) -> DataFrame:
     """Redirects to the next lower multiple of three; the multiples point at themselves."""

@@ -104,6 +104,18 @@ def jn09(t: Tables) -> DataFrame:
     return enriched.select("artist_id", "total_listens", "name", "country", F.array_join("genres", "|").alias("genres"), "start_date")
 
 
+@query(
+    "jn09_all_fields",
+    """
+    SELECT artist_id, coalesce(array_to_string(tags, '|'), '') AS tags, coalesce(end_date, 'Unknown') AS end_date, coalesce(type, 'Unknown') AS type
+    FROM artist_totals LEFT JOIN artist_metadata ON artist_mbid = artist_id
+    """,
+)
+def jn09_all(t: Tables) -> DataFrame:
+    enriched = diversity.enrich_artists(stats.artist_totals(t.counts), t.artist_metadata)
+    return enriched.select("artist_id", F.array_join("tags", "|").alias("tags"), "end_date", "type")
+
+
 TWO_LISTS_SQL = """--with
 model AS (SELECT user_id, list(part ORDER BY rk) AS a FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, part) AS rk FROM ranked_parts) x WHERE rk <= 10 GROUP BY user_id),

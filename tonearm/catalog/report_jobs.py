@@ -48,6 +48,52 @@ def rp02(t: Tables) -> DataFrame:
     return df.select("source_artist", F.array_join(line, "|").alias("listed"))
 
 
+_SAME_NAMES = _RECS.rstrip() + """,
+unnamed AS (SELECT * REPLACE (CASE WHEN CAST(substr(source_artist_id, 2) AS BIGINT) % 3 = 0 THEN 'Unknown Artist' ELSE source_artist END AS source_artist) FROM recs)
+"""
+
+
+def same_named(t: Tables) -> DataFrame:
+    """Recommendations of which every third seed is an "Unknown Artist"."""
+    unnamed = F.substring("source_artist_id", 2, 20).cast("long") % 3 == 0
+    recs = user_recommendations(t)
+    return recs.withColumn("source_artist", F.when(unnamed, F.lit("Unknown Artist")).otherwise(F.col("source_artist")))
+
+
+@query(
+    "rp02_same_named_seeds",
+    _SAME_NAMES + "SELECT source_artist_id, source_artist, array_to_string(list(concat(rank, ':', artist_name) ORDER BY rank), '|') AS listed FROM unnamed WHERE rank > 1 GROUP BY ALL",
+)
+def rp02_same_named(t: Tables) -> DataFrame:
+    """Each seed keeps a list of its own, whatever it is called."""
+    line = F.transform("recommendations", lambda r: F.concat(r["rank"].cast("string"), F.lit(":"), r["artist_name"]))
+    return reports.recommendation_analysis(same_named(t), t.artists).select("source_artist_id", "source_artist", F.array_join(line, "|").alias("listed"))
+
+
+@query(
+    "rp04_same_named_seeds",
+    _SAME_NAMES
+    + """
+    SELECT source_artist_id, source_artist AS artist_name, CAST(count(*) FILTER (artist_name = 'Unknown Artist') > 0 AS INTEGER) AS shared
+    FROM unnamed WHERE rank BETWEEN 2 AND 11 GROUP BY ALL
+    """,
+)
+def rp04_same_named(t: Tables) -> DataFrame:
+    """Every seed's own ten against an outside list that names one artist."""
+    recs = same_named(t)
+    outside = recs.select(F.col("source_artist").alias("artist_name")).distinct().withColumn("similar", F.array(F.lit("Unknown Artist")))
+    df = reports.external_comparison(recs, outside, seeds=None)
+    return df.select("source_artist_id", "artist_name", F.size("overlap").alias("shared"))
+
+
+@query("snk03_same_named_seeds", _SAME_NAMES + "SELECT source_artist_id, source_artist, rank, artist_id FROM unnamed")
+def snk03_same_named(t: Tables) -> DataFrame:
+    """Written to a folder per seed and read back."""
+    path = scratch_path(t.spark, "same-named")
+    sinks.write_recommendations(same_named(t).filter("artist_id is not null"), path)
+    return results.read_recommendations(t.spark, path).select("source_artist_id", "source_artist", "rank", "artist_id")
+
+
 @query(
     "rp03_artist_diversity",
     """--with

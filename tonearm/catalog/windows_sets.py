@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import split_items
 from ..operators import distribution, indexing, profile, resolve, sets, stats
 from ..plans.adapters import Tables
+from ..session import scratch_path
+from ..sources.listens import parse_months, read_landed_listens
 from .aggregates import BANDS_SQL
 from .base import query, rounded
 from .ingest import _MONTHLY, _RECS, user_recommendations
@@ -104,6 +106,16 @@ def set01(t: Tables) -> DataFrame:
     return sets.union_all(*months).groupBy("user_id").agg(F.count(F.lit(1)).alias("plays"))
 
 
+@query("set01_twelve_months", _MONTHLY + "SELECT month, count(*) AS plays, count(DISTINCT user_id) AS users FROM monthly GROUP BY month")
+def set01_twelve(t: Tables) -> DataFrame:
+    """All twelve months as one table: landed by month, their union is one scan."""
+    path = scratch_path(t.spark, "twelve-months")
+    t.monthly_listens.write.partitionBy("month").parquet(path)
+    every = read_landed_listens(t.spark, path, parse_months("1-12"))
+    pairs = every.groupBy("month", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("month").agg(F.sum("n").alias("plays"), F.count(F.lit(1)).alias("users"))
+
+
 @query("set02_distinct_pairs", "SELECT DISTINCT user_id, recording_msid FROM listens")
 def set02(t: Tables) -> DataFrame:
     return t.listens.distinct()

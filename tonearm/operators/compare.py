@@ -9,14 +9,20 @@ from ..functions import names_or_none, overlap_percent
 from .sets import head_per_group
 
 
-def ranked_list(df: DataFrame, group: str, value: str, order_col: str, n: int, name: str) -> DataFrame:
+def ranked_list(df: DataFrame, group: str | list[str], value: str, order_col: str, n: int, name: str) -> DataFrame:
     """One list of at most n values per group, in ascending ``order_col``.
 
     Rows beyond n leave before the lists are built, so no list grows with the data.
     """
     head = head_per_group(df, group, n, F.col(order_col).asc(), F.col(value).asc(), name="_rank")
     items = F.array_sort(F.collect_list(F.struct("_rank", F.col(value).alias("v"))))
-    return head.groupBy(group).agg(items.alias("_items")).select(group, F.col("_items.v").alias(name))
+    keys = [group] if isinstance(group, str) else group
+    return head.groupBy(*keys).agg(items.alias("_items")).select(*keys, F.col("_items.v").alias(name))
+
+
+def seed_keys(df: DataFrame) -> list[str]:
+    """What tells seeds apart: their id where the frame has it, as many seeds may share a name such as "Unknown Artist"."""
+    return [c for c in ("source_artist_id", "source_artist") if c in df.columns]
 
 
 def model_lists(recommendations: DataFrame, n: int = 10) -> DataFrame:
@@ -25,17 +31,18 @@ def model_lists(recommendations: DataFrame, n: int = 10) -> DataFrame:
     named = others.withColumn(
         "artist_name", F.coalesce("artist_name", F.concat(F.lit("Unknown Artist ("), F.col("artist_id"), F.lit(")")))
     )
-    return ranked_list(named, "source_artist", "artist_name", "rank", n, "model_recommendations")
+    return ranked_list(named, seed_keys(named), "artist_name", "rank", n, "model_recommendations")
 
 
 def compare_lists(model: DataFrame, external: DataFrame) -> DataFrame:
-    """Overlap of both lists per artist name; an artist without an outside list overlaps 0 %."""
+    """Overlap of both lists per seed; one whose name has no outside list overlaps 0 %."""
     outside = external.select(F.col("artist_name").alias("source_artist"), F.col("similar").alias("external_recommendations"))
     joined = model.join(outside, "source_artist", "left").withColumn(
         "external_recommendations", F.coalesce("external_recommendations", F.array().cast("array<string>"))
     )
     both = F.array_intersect("model_recommendations", "external_recommendations")
     return joined.withColumn("overlap", both).select(
+        *(c for c in ("source_artist_id",) if c in model.columns),
         F.col("source_artist").alias("artist_name"),
         "model_recommendations",
         "external_recommendations",

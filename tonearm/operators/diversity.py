@@ -11,8 +11,10 @@ from ..schemas import UNKNOWN, UNKNOWN_ARTIST
 
 
 def enrich_artists(artists: DataFrame, metadata: DataFrame, id_col: str = "artist_id") -> DataFrame:
-    """Left join of metadata with defaults where an artist has none."""
-    known = metadata.select(F.col("artist_mbid").alias(id_col), "name", "country", "genres", "start_date")
+    """Left join of metadata with defaults where an artist has none; tags, end date and type where the table has them."""
+    defaults = {"tags": F.array().cast("array<string>"), "end_date": F.lit(UNKNOWN), "type": F.lit(UNKNOWN)}
+    more = [c for c in defaults if c in metadata.columns]
+    known = metadata.select(F.col("artist_mbid").alias(id_col), "name", "country", "genres", "start_date", *more)
     empty = F.array().cast("array<string>")
     return artists.join(known, id_col, "left").select(
         *artists.columns,
@@ -20,6 +22,7 @@ def enrich_artists(artists: DataFrame, metadata: DataFrame, id_col: str = "artis
         "country",
         F.coalesce("genres", empty).alias("genres"),
         F.coalesce("start_date", F.lit(UNKNOWN)).alias("start_date"),
+        *(F.coalesce(c, defaults[c]).alias(c) for c in more),
     )
 
 

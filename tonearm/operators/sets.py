@@ -40,7 +40,7 @@ def first_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return best.select(key, "b.r.*")
 
 
-def head_per_group(df: DataFrame, group: str, n: int, *order: Column, name: str = "rank") -> DataFrame:
+def head_per_group(df: DataFrame, group: str | list[str], n: int, *order: Column, name: str = "rank") -> DataFrame:
     """The first n rows of each group with their 1-based rank.
 
     Spark limits each group to n rows within every task before the shuffle.

@@ -138,6 +138,9 @@ class Tables:
             .when(F.col("k") % 3 == 0, F.lit("Unknown"))
             .otherwise((F.lit(1950) + F.col("k")).cast("string"))
             .alias("start_date"),
+            F.slice(F.split("words", " "), 1, 2).alias("tags"),
+            F.when(F.col("k") % 4 == 0, (F.lit(1990) + F.col("k")).cast("string")).alias("end_date"),
+            F.when(F.col("k") % 2 == 0, F.lit("Group")).when(F.col("k") % 5 != 0, F.lit("Person")).alias("type"),
         )
 
     @cached_property
@@ -213,7 +216,9 @@ artist_metadata AS (
     CASE WHEN nk = 0 THEN 'Unknown' WHEN nk <> 1 THEN n_name END AS country,
     string_split(words, ' ') AS genres,
     CASE WHEN length(artist_mbid) % 2 = 0 THEN concat(1950 + k, '-06-21')
-         WHEN k % 3 = 0 THEN 'Unknown' ELSE concat(1950 + k, '') END AS start_date
+         WHEN k % 3 = 0 THEN 'Unknown' ELSE concat(1950 + k, '') END AS start_date,
+    string_split(words, ' ')[1:2] AS tags, CASE WHEN k % 4 = 0 THEN concat(1990 + k, '') END AS end_date,
+    CASE WHEN k % 2 = 0 THEN 'Group' WHEN k % 5 <> 0 THEN 'Person' END AS type
   FROM (SELECT *, (length(artist_mbid) * 3 + k) % 10 AS nk FROM (
           SELECT p_brand AS artist_mbid, min(p_size) AS k, min(p_name) AS words FROM part GROUP BY p_brand
           UNION ALL

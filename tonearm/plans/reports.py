@@ -70,7 +70,7 @@ def recommendation_analysis(recommendations: DataFrame, artists: DataFrame) -> D
     """Per seed its recommendations by rank, without the seed itself."""
     others = add_artist_names(recommendations.filter("rank > 1").drop("artist_name"), artists, "artist_id", "artist_name")
     items = F.array_sort(F.collect_list(F.struct("rank", "artist_id", "artist_name", "similarity_score")))
-    return others.groupBy("source_artist").agg(items.alias("recommendations"))
+    return others.groupBy(*compare.seed_keys(others)).agg(items.alias("recommendations"))
 
 
 def artist_diversity(counts: DataFrame, metadata: DataFrame, n: int = NAMED_ARTISTS) -> dict[str, DataFrame]:
@@ -93,7 +93,7 @@ def external_comparison(recommendations: DataFrame, external: DataFrame, seeds:
     """Overlap with the outside lists for a repeatable sample of seeds (all with None)."""
     model = compare.model_lists(recommendations)
     if seeds is not None:
-        model = repeatable_sample(model, seeds, "source_artist", seed)
+        model = repeatable_sample(model, seeds, compare.seed_keys(model)[0], seed)
     return compare.compare_lists(model, external)
 
 

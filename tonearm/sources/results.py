@@ -28,12 +28,9 @@ def read_recommendation_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    """Recommendations as ``write_recommendations`` leaves them; the seed is the folder name."""
-    schema = T.StructType(
-        [T.StructField("source_artist_id", T.StringType()), *RECOMMENDATIONS.fields, T.StructField("source_artist_slug", T.StringType())]
-    )
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    return df.withColumn("source_artist", F.replace("source_artist_slug", F.lit("_"), F.lit(" "))).drop("source_artist_slug")
+    """Recommendations as ``write_recommendations`` leaves them."""
+    names = [T.StructField(n, T.StringType()) for n in ("source_artist_id", "source_artist")]
+    return spark.read.schema(T.StructType([*names, *RECOMMENDATIONS.fields])).option("header", True).csv(path).drop("source_artist_slug")
 
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

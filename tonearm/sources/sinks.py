@@ -47,16 +47,21 @@ def write_counts_csv(counts: DataFrame, path: str) -> None:
 def write_recommendations(recommendations: DataFrame, path: str) -> None:
     """One folder per seed, named by the seed's slug, with one CSV of its rows in it.
 
-    A seed has at most the number of rows that was asked for, so one task each
+    Where several seeds have one slug, as all of unknown name do, the id follows it. The file holds the seed's
+    name as it is, which a slug does not. A seed has at most the number of rows that was asked for, so one task each
     is bounded.
     """
     # A name without letters or digits would leave an empty folder name.
     name = F.when(slug(F.col("source_artist")) == "", F.col("source_artist_id")).otherwise(slug(F.col("source_artist")))
+    named = recommendations.withColumn("source_artist_slug", name)
+    shared = named.groupBy("source_artist_slug").agg((F.min("source_artist_id") != F.max("source_artist_id")).alias("shared"))
+    folder = F.when(F.col("shared"), F.concat_ws("-", "source_artist_slug", "source_artist_id")).otherwise(F.col("source_artist_slug"))
     (
-        recommendations.withColumn("source_artist_slug", name)
+        named.join(shared, "source_artist_slug")
+        .withColumn("source_artist_slug", folder)
         .repartition("source_artist_slug")
         .sortWithinPartitions("source_artist_slug", "source_artist_id", "rank")
-        .select("source_artist_slug", "source_artist_id", "rank", "artist_id", "artist_name", "similarity_score")
+        .select("source_artist_slug", "source_artist_id", "source_artist", "rank", "artist_id", "artist_name", "similarity_score")
         .write.mode("overwrite")
         .partitionBy("source_artist_slug")
         .option("header", True)
