@@ -118,7 +118,7 @@ def test_recommendations_round_trip(spark, tmp_path):
     assert (tmp_path / "recs" / "source_artist_slug=A_and_Bs").exists()
     back = results.read_recommendations(spark, path)
     assert rows(back, "source_artist", "source_artist_id", "rank") == [
-        ("!!!", "i3", 1), ("A & B's", "i1", 1), ("A & B's", "i1", 2), ("Unknown Artist", "i4", 1), ("Unknown Artist", "i5", 1)
+        ("A & B's", "i1", 1), ("A & B's", "i1", 2), ("!!!", "i3", 1), ("Unknown Artist", "i4", 1), ("Unknown Artist", "i5", 1)
     ]
     assert all((tmp_path / "recs" / f"source_artist_slug=Unknown_Artist-{i}").exists() for i in ("i4", "i5")), "a folder per seed, not per name"
 

@@ -51,8 +51,9 @@ def broken_records(spark: SparkSession, path: str | list[str], multi_line: bool
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_record")])
     lines = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     found = lines.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").csv(path)
-    # all columns are asked for, or the parser skips the fields that nobody reads
-    return found.select(F.struct(*names).alias("fields"), "_record").filter("_record is not null").select(F.col("_record").alias("record"))
+    # a condition that always holds asks for all columns: the parser skips fields that nobody reads, and then finds nothing broken
+    read = F.concat_ws("", *names) >= F.lit("")
+    return found.filter(F.col("_record").isNotNull() & read).select(F.col("_record").alias("record"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
