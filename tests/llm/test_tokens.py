@@ -16,6 +16,31 @@ LETTERS = "ab the  tion\n\té▁ ßñ\u200b\xa0你😀.,'0123456789<s>aaaa  ½²
 HARD = ["", " ", "a" * 5000, "ab" * 3000, " " * 3001, "ationation" * 800, "x" * 70 + "😀" * 50, "=" * 3000, "é" * 999]
 
 
+def test_blocks_change_no_pre_token():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(LETTERS + "     ") for _ in range(rng.randint(0, 300))) for _ in range(300)] + [" " * 50, "x" * 50, "a  b   c " * 20, ""]
+    for text in texts:
+        for size in (1, 7, 40):
+            blocks = list(bpe_codec.blocks_of(text, 0, len(text), size))
+            assert "".join(blocks) == text
+            assert [w for b in blocks for w in bpe_codec.words_of(b)] == bpe_codec.words_of(text), text
+
+
+def test_memory_does_not_grow_with_the_text():
+    import tracemalloc
+
+    coder, part = bpe_codec.ByteCodec(P.path("byte_bpe_50k.json")), "some plain words, 12 of them; naïve <|endoftext|> and more. " * 1000
+    peaks = []
+    for times in (4, 40):
+        text = part * times
+        sum(map(len, coder.encode(part)))
+        tracemalloc.start()
+        assert sum(len(t) for t in coder.decode(coder.encode(text))) == len(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] and peaks[1] < 30e6
+
+
 def random_texts(n):
     rng = random.Random(1)
     return ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 60))) for _ in range(n)]

@@ -2,7 +2,9 @@
 
 Encoding reads a pre-token's bytes once, from left to right, through the transducer of the merge list. Tokens leave
 as soon as no continuation can change them. The merge list's sufficient lookahead, computed once, bounds how far
-that lies behind the reading position, so memory does not depend on the text. Decoding turns ids into bytes and
+that lies behind the reading position. A text is read block by block: before a space that follows another character
+a pre-token always ends, so blocks of some 65,536 characters are cut there. Beside the text itself a task holds one block, or
+the longest stretch without such a space, whatever the text's length. Decoding turns ids into bytes and
 bytes into text through an incremental UTF-8 machine that holds at most one unfinished character.
 
 A null text is empty: no ids, and the digests of the empty string. Each row stands for itself: repeated rows and
@@ -30,6 +32,8 @@ from .transducer import Machine, Merges
 
 #: Words whose result a task keeps, twice: the latest ones, and those of the round before, from which used ones come back.
 REMEMBER = 1 << 16
+#: As many as that where nothing else shares the task's memory.
+REMEMBER_MORE = 1 << 18
 SHORT = 48
 BLOCK = 1 << 16
 #: Fixed values of the vocabulary format: the bytes that stand for themselves, and the pattern of pre-tokens.
@@ -69,8 +73,21 @@ def pre_tokens(last: int = sys.maxunicode) -> re.Pattern:
     return re.compile(pattern.replace("{l}", letters).replace("{n}", numbers).replace("{s}", WHITE_SPACE))
 
 
+#: A space that starts a pre-token, whatever follows.
+START = re.compile(f"(?<=[^{WHITE_SPACE}]) ")
+
+
+def blocks_of(text: str, start: int, end: int, size: int = BLOCK) -> Iterator[str]:
+    """The stretch of a text in blocks that no pre-token crosses."""
+    while end - start > size and (cut := START.search(text, start + size, end)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    if start < end:
+        yield text[start:end]
+
+
 def words_of(text: str) -> list[str]:
-    """Pre-tokens of a text."""
+    """Pre-tokens of a block."""
     for last, coding, width in ((0xFF, "latin-1", 1), (0xFFFF, "utf-16-le", 2)):
         with contextlib.suppress(UnicodeEncodeError):
             if len(text.encode(coding)) == width * len(text):
@@ -79,7 +96,8 @@ def words_of(text: str) -> list[str]:
 
 
 class ByteCodec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = REMEMBER):
+        self.remember = remember
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
@@ -88,7 +106,7 @@ class ByteCodec:
         if len(self.rules.ranks) != len(pairs):
             raise ValueError("two merges form one piece")
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         symbols = byte_symbols()
         self.symbols = str.maketrans({chr(b): s for b, s in enumerate(symbols)})
         back = {s: b for b, s in enumerate(symbols)}
@@ -124,7 +142,7 @@ class ByteCodec:
             machine = Machine(self.rules)
             machine.read(data.decode("latin-1").translate(self.symbols))
             out = self.ids(machine.finish())
-        if len(self.known) >= REMEMBER:
+        if len(self.known) >= self.remember:
             self.older = dict(self.known)
             self.known.clear()
         self.known[text] = out
@@ -132,14 +150,18 @@ class ByteCodec:
 
     def encode(self, text: str) -> Iterator[bytes]:
         """Blocks of ids of a whole text; special strings inside count as their token."""
+        start = 0
+        for special in self.cut.finditer(text) if self.cut else ():
+            yield from self.plain(text, start, special.start())
+            yield pack("<I", self.special[special.group()])
+            start = special.end()
+        yield from self.plain(text, start, len(text))
+
+    def plain(self, text: str, start: int, end: int) -> Iterator[bytes]:
+        """Blocks of ids of a stretch without special strings."""
         get = self.known.get
-        for part in self.cut.split(text) if self.cut else [text]:
-            if part in self.special:
-                yield np.uint32(self.special[part]).astype("<u4").tobytes()
-            elif part:
-                words = words_of(part)
-                for i in range(0, len(words), BLOCK):
-                    yield b"".join([get(w) or self.word(w) for w in words[i : i + BLOCK]])
+        for block in blocks_of(text, start, end):
+            yield b"".join([get(w) or self.word(w) for w in words_of(block)])
 
     def decode(self, blocks: Iterable[bytes]) -> Iterator[str]:
         machine = codecs.getincrementaldecoder("utf-8")("replace")
@@ -150,15 +172,15 @@ class ByteCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> ByteCodec:
-    return ByteCodec(path)
+def codec(path: str, remember: int = REMEMBER) -> ByteCodec:
+    return ByteCodec(path, remember)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, and its ids decoded again."""
 
     def make():
-        coder = codec(path)
+        coder = codec(path, REMEMBER_MORE)
 
         def work(texts: list[str]) -> list[list]:
             counts, ids_digests, text_digests = [], [], []
