@@ -2,6 +2,7 @@
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -49,26 +50,88 @@ def test_toxicity_on_held_out_documents(docs, labels):
     assert held_out_auc(scored, labels, "toxic") > 0.7  # some forty toxic documents to learn from
 
 
+def plain_grams(word):
+    line = b"    " + word + b" "
+    return [int.from_bytes(line[i : i + 5], "big") for i in range(len(word) + 1)]
+
+
 @pytest.mark.parametrize("size", [8 << 20, 5000])
-def test_every_expression_keeps_its_own_figure(spark, docs, labels, monkeypatch, size):
+def test_every_expression_keeps_its_own_figure(spark, docs, monkeypatch, size):
     """What a batch is scored by are the exact ratios of its grams, contexts and words, or else the backoff figure."""
-    monkeypatch.setattr(toxicity, "BATCH_BYTES", size)
-    few = docs.where("doc_id % 20 = 0")
-    shape = "gram long, all double, fit double"
-    texts = [r.text or "" for r in few.collect()]
-    read = [toxicity.grams(t) for t in texts]
-    seen = {int(g): (float(g % 1009) - 500, float(g % 997)) for r in read[::2] for g in r[0]}
-    after = {int(g) >> 8: (float(g % 11), 1.0) for r in read[1::3] for g in r[0]}
-    words = {int(g): (float(g % 101), 2.0) for r in read[::2] for g in r[2]}
-    rows = [(k, g, *v) for k, d in ((toxicity.GRAM, seen), (toxicity.CONTEXT, after), (toxicity.WORD, words)) for g, v in d.items()]
-    table = spark.createDataFrame(rows, "kind int, " + shape)
-    got = {r.doc_id: r for r in toxicity.featured(toxicity.numbered(few.select("doc_id", "text")), table, {"all": -7.0, "fit": 3.0}).collect()}
-    assert len(got) == len(texts)
-    for r, (gram, _, word) in zip(few.collect(), read):
-        v = [seen[g][0] if g in seen else after.get(g >> 8, (0.0,))[0] for g in gram.tolist()]
-        named = [words.get(g, (-7.0,))[0] for g in word.tolist()]
-        assert got[r.doc_id].f0 == pytest.approx(np.mean(v)) and got[r.doc_id].f3 == pytest.approx(np.mean(named)) and got[r.doc_id].f4 == max(named)
-        assert (got[r.doc_id].g0 is None) == (got[r.doc_id].fold != toxicity.CALIBRATION_FOLD)
+    monkeypatch.setattr(toxicity, "PACK_BYTES", size)
+    monkeypatch.setattr(toxicity, "BATCH_BYTES", 3 * size)
+    few = docs.where("doc_id % 20 = 0").select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "x" * 33 + " b " + "x" * 5000)], "doc_id long, text string"))
+    read = {r.doc_id: (r.text or "").encode().lower().split() for r in few.collect()}
+    vocabulary = sorted({w for words in read.values() for w in words})
+    seen = {g: (float(g % 1009) - 500, float(g % 997)) for w in vocabulary[::2] for g in plain_grams(w)}
+    after = {g >> 8: (float((g >> 8) % 11), 1.0) for w in vocabulary[1::3] for g in plain_grams(w)}
+    named = {w: (float(i % 101), 2.0) for i, w in enumerate(vocabulary) if i % 2 or len(w) > 30}
+    by_gram, by_context = (spark.createDataFrame([(g, *v) for g, v in d.items()], "gram long, all double, fit double") for d in (seen, after))
+    by_word = spark.createDataFrame([(bytearray(w), *v) for w, v in named.items()], "word binary, all double, fit double")
+    table = toxicity.model_table(by_gram, by_context, by_word, "all")
+    got = {r.doc_id: r for r in toxicity.featured(toxicity.texts_of(few), table, -7.0).collect()}
+    assert len(got) == len(read) and (toxicity.packed(toxicity.texts_of(few)).select("batch").distinct().count() > 8) == (size == 5000)
+    for doc_id, words in read.items():
+        v = [[seen[g][0] if g in seen else after.get(g >> 8, (0.0,))[0] for g in plain_grams(w)] for w in words]
+        own = [named.get(w, (-7.0,))[0] for w in words]
+        top = sorted((sum(x) / len(x) for x in v), reverse=True)[:3]
+        r = got[doc_id]
+        assert r.f0 == pytest.approx(np.mean(sum(v, []))) and r.f1 == pytest.approx(top[0]) and r.f2 == pytest.approx(np.mean(top))
+        assert r.f3 == pytest.approx(np.mean(own)) and r.f4 == max(own) and r.f5 == pytest.approx(np.mean(sorted(own)[-3:]))
+        assert r.fold == zlib.crc32(str(doc_id).encode()) % 5
+    other = toxicity.featured(toxicity.texts_of(few), toxicity.model_table(by_gram, by_context, by_word, "fit"), 3.0).collect()
+    assert all(r.f5 in (2.0, 3.0) or 2.0 < r.f5 < 3.0 for r in other if read[r.doc_id])
+
+
+def plain_kneser_ney(texts):
+    """(figure of a gram, figure of a word) by the formulas, over (label, text): toxic less plain log-likelihood."""
+    d, words = 0.75, {y: [w for label, t in texts if label == y for w in t.encode().lower().split()] for y in (0, 1)}
+    counts = {y: Counter(g for w in words[y] for g in plain_grams(w)) for y in (0, 1)}
+    spelt = {5: {g.to_bytes(5, "big") for y in (0, 1) for g in counts[y]}}
+    for n in (4, 3, 2, 1):
+        spelt[n] = Counter(g[1:] for g in spelt[n + 1])
+
+    def shared(tail):
+        if not tail:
+            return 1 / 256
+        follow = {g: n for g, n in spelt[len(tail)].items() if g[:-1] == tail[:-1]}
+        return (max(follow.get(tail, 0) - d, 0) + d * len(follow) * shared(tail[1:])) / sum(follow.values())
+
+    def gram(g):
+        p = {}
+        for y in (0, 1):
+            follow = {h: n for h, n in counts[y].items() if h >> 8 == g >> 8}
+            n = sum(follow.values())
+            low = shared(g.to_bytes(5, "big")[1:])
+            p[y] = (max(follow.get(g, 0) - d, 0) + d * len(follow) * low) / n if n else low
+        return math.log(p[1] / p[0])
+
+    def word(w):
+        spread = Counter(v for _, t in texts for v in set(t.encode().lower().split()))
+        p = {}
+        for y in (0, 1):
+            seen = Counter(words[y])
+            p[y] = (max(seen[w] - d, 0) + d * len(seen) * spread[w] / sum(spread.values())) / len(words[y])
+        return math.log(p[1] / p[0])
+
+    return gram, word
+
+
+def test_kneser_ney_figures_follow_the_formulas(spark):
+    texts = [(1, "Awful awful rat goes"), (0, "a rat goes home"), (0, "she goes home and home"), (1, "rats awful"), (0, ""), (0, "awe at home")]
+    counted = toxicity.word_counts(spark.createDataFrame([(y, 1 + i % 4, t) for i, (y, t) in enumerate(texts)], "label int, fold int, text string"))
+    by_gram, by_context = toxicity.ratios(toxicity.gram_counts(counted))
+    by_word, no_word = toxicity.word_ratios(counted)
+    gram, word = plain_kneser_ney(texts)
+    figures, vocabulary = {r.gram: r["all"] for r in by_gram.collect()}, {w for _, t in texts for w in t.lower().encode().split()}
+    assert figures.keys() == {g for w in vocabulary for g in plain_grams(w)}
+    assert all(v == pytest.approx(gram(g), abs=1e-9) for g, v in figures.items())
+    words = {bytes(r.word): r["all"] for r in by_word.collect()}
+    assert words.keys() == vocabulary and all(v == pytest.approx(word(w), abs=1e-9) for w, v in words.items())
+    # a text whose fold calibrates counts in "all" and not in "fit"
+    without = {bytes(r.word) for r in counted.where("toxic_fit + plain_fit = 0").collect()}
+    assert without == {w for _, t in texts[3::4] for w in t.lower().encode().split()} - {w for i, (_, t) in enumerate(texts) if i % 4 != 3 for w in t.lower().encode().split()}
+    assert by_context.count() == len({g >> 8 for g in figures}) and set(no_word) == {"all", "fit"}
 
 
 def test_scores_of_odd_rows(odd_docs, no_docs, odd_labels):

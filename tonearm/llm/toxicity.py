@@ -7,9 +7,12 @@ same backed-off likelihood and does not speak for either. The two log-likelihood
 length, for the whole text and per word. A logistic curve, fitted on one fold that the calibration's counts
 leave out, turns the text's, the highest and the three highest words' figures into a score.
 
-Counts and statistics cover all labelled texts outside the held-out fold. The model is a table of exact figures by
-gram, context and word, which grows with the corpus. Texts are numbered in batches; the distinct expressions of each
-batch are joined with the table, and each batch meets its own figures. What the table lacks takes the backoff figure.
+The bytes' context starts anew at each word, so a word's figures depend on the word alone: grams are counted over
+distinct words, and each distinct word of a pack of texts is scored once. Counts and statistics cover all labelled
+texts outside the held-out fold. The model is a table of exact figures by gram, context and word (its 64-bit hash),
+which grows with the corpus. Texts are packed, compressed and shuffled once into batches; the distinct expressions of
+each batch are joined with the table, and each batch meets its own figures. What the model lacks takes the backoff
+figure. Figures are whole multiples of 2**-24, so sums do not depend on their order.
 A null or empty text is scored from zeros. Without labels of both kinds each score is the share of toxic ones
 among them, or 0. Rows without an id are scored and never learned from; repeated rows give repeated rows;
 an empty table gives an empty one.
@@ -19,79 +22,97 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tonearm.session import staged
 
-from .common import fold_of, labels_of, likely_known, texts_of
+from .common import bit_table, fold_of, labels_of, likely_in, likely_known, texts_of
 
 ORDER, DISCOUNT = 5, 0.75
 #: Kinds of expressions: byte grams, words, contexts of grams.
 GRAM, WORD, CONTEXT = 0, 1, 2
-#: Bytes of text in a batch whose expressions are looked up together.
-BATCH_BYTES = 8 << 20
+#: Bytes of text in a pack, and in a batch of packs whose expressions are looked up together.
+PACK_BYTES, BATCH_BYTES = 8 << 20, 32 << 20
+#: Words whose grams are unpacked at once.
+WORDS = 1 << 16
+#: Figures are whole multiples of one part in this.
+UNIT = 1 << 24
 #: The fold that calibrates, and the most documents of it that do.
 CALIBRATION_FOLD, CALIBRATION_ROWS = 4, 8192
 COUNTS = ("toxic", "plain", "toxic_fit", "plain_fit")
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed five-byte grams of the lower-cased words with the spaces between; where words start; a hash of each word."""
-    line = b" ".join([b"   ", *text.encode("utf-8", "replace").lower().split(), b""])
-    data = np.frombuffer(line, np.uint8).astype(np.int64)
-    if len(data) <= ORDER:
-        return (np.zeros(0, np.int64),) * 3
-    size = len(data) - ORDER + 1
-    packed = data[:size].copy()
+def words_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split()
+
+
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed five-byte grams of each word with four spaces before and one after; how many each word has."""
+    sizes = np.array([len(w) + 1 for w in words], np.int64)
+    if not len(sizes):
+        return np.zeros(0, np.int64), sizes
+    lead = b" " * (ORDER - 1)
+    data = np.frombuffer(b"".join([b"%b%b " % (lead, w) for w in words]), np.uint8).astype(np.int64)
+    packed = data[: len(data) - ORDER + 1].copy()
     for i in range(1, ORDER):
         packed <<= 8
-        packed |= data[i : size + i]
-    last = data[ORDER - 1 :]
-    starts = np.flatnonzero(np.concatenate(([True], last[:-1] == 32)))
-    place = np.arange(size) - np.repeat(starts, np.diff(np.append(starts, size)))
-    mixed = (last.view(np.uint64) + np.uint64(1)) * (place.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03))
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    words = np.add.reduceat(np.where(last == 32, np.uint64(0), mixed ^ (mixed >> np.uint64(32))), starts)
-    return packed, starts, (words >> np.uint64(1)).view(np.int64)
-
-
-def expression_counts(train: DataFrame) -> DataFrame:
-    """(kind, gram, toxic, plain, toxic_fit, plain_fit, texts) over (label, fold, text).
-
-    Kind 0 has byte grams, 1 words; ``texts`` says in how many texts a word is. The _fit counts leave the
-    calibration fold out. Tasks add up what they read before anything is shuffled.
+        packed |= data[i : i + len(packed)]
+    own = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(len(sizes)), sizes)
+    return packed[own], sizes
+
+
+def names_of(words: list[bytes]) -> np.ndarray:
+    """The hash that Spark's xxhash64 gives each word."""
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
+
+
+def word_counts(train: DataFrame) -> DataFrame:
+    """(word, toxic, plain, toxic_fit, plain_fit, texts) over (label, fold, text).
+
+    ``texts`` says in how many texts a word is. The _fit counts leave the calibration fold out. Tasks add up
+    what they read before anything is shuffled.
     """
-    schema = "kind int, gram long, toxic long, plain long, toxic_fit long, plain_fit long, texts long"
-    fields = train.sparkSession.createDataFrame([], schema).schema
+    fields = train.sparkSession.createDataFrame([], "word binary, toxic long, plain long, toxic_fit long, plain_fit long, texts long").schema
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            place: dict[bytes, int] = {}
+            at, code, once = [], [], []
+            for label, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
+                at.append(np.array([place.setdefault(w, len(place)) for w in words_of(text)], np.int64))
+                code.append(2 * label + (fold != CALIBRATION_FOLD))
+                once.append(np.unique(at[-1]))
+            if not place:
                 continue
-            labels, folds, texts = (c.to_pylist() for c in batch.columns)
-            read = [grams(t) for t in texts]
-            code = np.array([2 * y + (k != CALIBRATION_FOLD) for y, k in zip(labels, folds)])
-            for kind in (0, 1):
-                found = [r[2 * kind] for r in read]
-                gram, at = np.unique(np.concatenate(found), return_inverse=True)
-                if not len(gram):
-                    continue
-                n = np.bincount(at * 4 + np.repeat(code, [len(f) for f in found]), minlength=4 * len(gram)).reshape(-1, 4)
-                seen = np.zeros(len(gram), np.int64)
-                if kind:
-                    ends = np.cumsum([len(f) for f in found])
-                    for i, j in zip(ends - [len(f) for f in found], ends):
-                        seen[np.unique(at[i:j])] += 1
-                parts = [n[:, 2] + n[:, 3], n[:, 0] + n[:, 1], n[:, 3], n[:, 1], seen]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), kind, np.int32)), pa.array(gram), *map(pa.array, parts)], names=["kind", "gram", *COUNTS, "texts"])
-
-    return train.mapInArrow(count, fields).groupBy("kind", "gram").agg(*(F.sum(c).alias(c) for c in (*COUNTS, "texts")))
+            n = np.bincount(np.concatenate(at) * 4 + np.repeat(code, [len(a) for a in at]), minlength=4 * len(place)).reshape(-1, 4)
+            seen = np.bincount(np.concatenate(once), minlength=len(place))
+            parts = [n[:, 2] + n[:, 3], n[:, 0] + n[:, 1], n[:, 3], n[:, 1], seen]
+            yield pa.RecordBatch.from_arrays([pa.array(list(place), pa.binary()), *map(pa.array, parts)], names=fields.names)
+
+    return train.mapInArrow(count, fields).groupBy("word").agg(*(F.sum(c).alias(c) for c in (*COUNTS, "texts")))
+
+
+def gram_counts(counted: DataFrame) -> DataFrame:
+    """(gram, toxic, plain, toxic_fit, plain_fit) from the counts of words."""
+    fields = counted.sparkSession.createDataFrame([], "gram long, toxic long, plain long, toxic_fit long, plain_fit long").schema
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                packed, sizes = grams(batch.column(0).to_pylist())
+                order = np.argsort(packed, kind="stable")
+                gram, first = np.unique(packed[order], return_index=True)
+                sums = [np.add.reduceat(np.repeat(batch.column(i).to_numpy(), sizes)[order], first) for i in range(1, 5)]
+                yield pa.RecordBatch.from_arrays([pa.array(gram), *map(pa.array, sums)], names=fields.names)
+
+    return counted.select("word", *COUNTS).mapInArrow(count, fields).groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def low(column: str, size: int):
@@ -138,65 +159,90 @@ def ratios(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def word_ratios(counted: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """(gram, all, fit) of words, and the figure of a word that no text has; one row of totals reaches the driver."""
+    """(word, all, fit), and the figure of a word that no text has; one row of totals reaches the driver."""
     totals = counted.agg(F.sum("texts").alias("texts"), *(f(c).alias(f"{c}_{k}") for c in COUNTS for f, k in ((F.sum, "n"), (lambda x: F.sum((F.col(x) > 0).cast("long")), "kinds")))).first()
     rest = {c: DISCOUNT * totals[f"{c}_kinds"] / totals[f"{c}_n"] if totals[f"{c}_n"] else 1.0 for c in COUNTS}
     shared = F.col("texts") / F.lit(float(totals["texts"] or 1))
     p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.lit(float(totals[f"{c}_n"] or 1)) + rest[c] * shared for c in COUNTS}
-    rows = counted.select("gram", (F.log(p["toxic"]) - F.log(p["plain"])).alias("all"), (F.log(p["toxic_fit"]) - F.log(p["plain_fit"])).alias("fit"))
+    rows = counted.select("word", (F.log(p["toxic"]) - F.log(p["plain"])).alias("all"), (F.log(p["toxic_fit"]) - F.log(p["plain_fit"])).alias("fit"))
     return rows, {"all": float(np.log(rest["toxic"] / rest["plain"])), "fit": float(np.log(rest["toxic_fit"] / rest["plain_fit"]))}
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """(batch, doc_id, fold, text): texts in the order read, cut into batches of some ``BATCH_BYTES`` within a task."""
-    rows = docs.select("doc_id", fold_of().alias("fold"), "text")
-    schema = docs.sparkSession.createDataFrame([], "batch long, doc_id long, fold int, text string").schema
+def model_table(by_gram: DataFrame, by_context: DataFrame, by_word: DataFrame, counts: str) -> DataFrame:
+    """(kind, gram, figure): the figures by all counts or by the "fit" ones, in units."""
+    named = by_word.withColumn("gram", F.xxhash64("word"))
+    kinds = ((GRAM, by_gram), (CONTEXT, by_context), (WORD, named))
+    figure = F.round(F.col(counts) * F.lit(float(UNIT))).cast("long").alias("figure")
+    return reduce(DataFrame.unionByName, (rows.select(F.lit(kind).alias("kind"), "gram", figure) for kind, rows in kinds))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, read = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(batch, pack, rows): the rows (doc_id, fold, text) in packs of some ``PACK_BYTES``, brought together by batch.
+
+    A pack holds rows in the order read within a task; a longer text has a pack of its own.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches = max(1, -(-size // BATCH_BYTES))
+    rows = docs.select("doc_id", fold_of().alias("fold"), "text")
+    schema = docs.sparkSession.createDataFrame([], "batch long, pack long, rows binary").schema
+
+    def pack_of(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(pa.Table.from_batches(parts).combine_chunks())
+        batch = xxhash.xxh64_intdigest(number.to_bytes(8, "little")) % batches
+        return pa.RecordBatch.from_arrays([pa.array([batch]), pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=schema.names)
+
+    def pack(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, read, now, held = TaskContext.get().partitionId() << 32, 0, 0, []
+        for batch in batches_:
             if not batch.num_rows:
                 continue
-            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = first + (read + np.cumsum(sizes)) // BATCH_BYTES
-            read += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(at), *batch.columns], names=["batch", "doc_id", "fold", "text"])
+            ends = read + np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
+            at, read = ends // PACK_BYTES, int(ends[-1])
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]):
+                if at[a] != now and held:
+                    yield pack_of(first + now, held)
+                    held = []
+                now = int(at[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield pack_of(first + now, held)
 
-    return staged(rows.mapInArrow(number, schema), "texts")
+    return rows.mapInArrow(pack, schema).repartition(batches, "batch").sortWithinPartitions("batch")
 
 
-def expressions(texts: DataFrame) -> DataFrame:
-    """(batch, kind, gram): the distinct expressions of each batch; twice where tasks share a batch, which does no harm."""
-    schema = texts.sparkSession.createDataFrame([], "batch long, kind int, gram long").schema
+def unpacked(rows: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
 
-    def distinct(batch: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        gram, word = (np.unique(np.concatenate([p[i] for p in parts])) for i in (0, 1))
-        for kind, found in ((GRAM, gram), (WORD, word), (CONTEXT, np.unique(gram >> 8))):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), batch)), pa.array(np.full(len(found), kind, np.int32)), pa.array(found)], names=["batch", "kind", "gram"])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []
-        for batch in batches:
-            at, read = batch.column(0).to_numpy(), [grams(t) for t in batch.column(1).to_pylist()]
-            for number in np.unique(at):
-                if number != now and parts:
-                    yield from distinct(now, parts)
-                    parts = []
-                now = int(number)
-                own = [read[i] for i in np.flatnonzero(at == number)]
-                parts.append(tuple(np.unique(np.concatenate([r[i] for r in own])) for i in (0, 2)))
-        if parts:
-            yield from distinct(now, parts)
+def expressions(packs: DataFrame) -> DataFrame:
+    """(batch, kind, gram): the distinct expressions of each batch."""
+    schema = packs.sparkSession.createDataFrame([], "batch long, kind int, gram long").schema
 
-    return texts.select("batch", "text").mapInArrow(ask, schema)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((number, pack) for batch in batches for number, pack in zip(batch.column(0).to_pylist(), batch.column(2)))
+        for number, own in groupby(rows, lambda r: r[0]):
+            gram = name = np.zeros(0, np.int64)
+            for _, pack in own:
+                found: set[bytes] = set()
+                for text in unpacked(pack).column("text"):
+                    found.update(words_of(text.as_py()))
+                words = list(found)
+                parts = [np.unique(grams(words[i : i + WORDS])[0]) for i in range(0, len(words), WORDS)]
+                gram, name = np.unique(np.concatenate([gram, *parts])), np.union1d(name, names_of(words))
+            for kind, asked in ((GRAM, gram), (CONTEXT, np.unique(gram >> 8)), (WORD, name)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(asked), number)), pa.array(np.full(len(asked), kind, np.int32)), pa.array(asked)], names=schema.names)
+
+    return packs.mapInArrow(ask, schema)
 
 
 class Figures:
     """Sorted expressions with their figures; the ones that are not there take ``missing``."""
 
     def __init__(self, gram: np.ndarray, values: np.ndarray, missing: float):
-        self.gram, at = np.unique(gram, return_index=True)
-        self.values, self.missing = values[at], missing
+        order = np.argsort(gram, kind="stable")
+        self.gram, self.values, self.missing = gram[order], values[order] / UNIT, missing
 
     def __call__(self, gram: np.ndarray) -> np.ndarray:
         if not len(self.gram):
@@ -210,41 +256,49 @@ def highest(words: np.ndarray) -> tuple[float, float]:
     return float(top.max()), float(top.mean())
 
 
-def features(text: str, seen: Figures, unseen: Figures, words: Figures) -> tuple[float, ...]:
-    """By bytes and by words: the mean over the text, the highest word, the mean of the three highest."""
-    gram, starts, word = grams(text)
-    if not len(gram):
+def features(at: np.ndarray, n: np.ndarray, spelt: np.ndarray, named: np.ndarray) -> tuple[float, ...]:
+    """By bytes and by words, of a text's words ``at``: the mean over the text, the highest word, the mean of the three highest."""
+    if not len(at):
         return (0.0,) * 6
-    v = seen(gram)
-    gap = np.flatnonzero(np.isnan(v))
-    if len(gap):
-        v[gap] = unseen(gram[gap] >> 8)
-    spelt = np.add.reduceat(v, starts) / np.diff(np.append(starts, len(v)))
-    named = words(word)
-    return float(v.mean()), *highest(spelt), float(named.mean()), *highest(named)
-
-
-def featured(texts: DataFrame, table: DataFrame, no_word: dict[str, float]) -> DataFrame:
-    """(doc_id, fold, f0..f5, g0..g5) of (batch, doc_id, fold, text): by all counts, and in the calibration fold by those without it."""
-    found = expressions(texts).join(table, ["kind", "gram"]).select("batch", "kind", "gram", "all", "fit")
-    names = [f"{k}{i}" for k in "fg" for i in range(6)]
-    schema = "doc_id long, fold int, " + ", ".join(f"{n} double" for n in names)
+    n, spelt, named = n[at], spelt[at], named[at]
+    return spelt.sum() / n.sum(), *highest(spelt / n), named.mean(), *highest(named)
 
-    def score(rows: pa.Table, figures: pa.Table) -> pa.Table:
-        kind, gram = (figures.column(c).to_numpy() for c in ("kind", "gram"))
-        own = [kind == k for k in (GRAM, CONTEXT, WORD)]
 
-        def tables(c: str) -> list[Figures]:
-            values = figures.column(c).to_numpy()
-            return [Figures(gram[at], values[at], m) for at, m in zip(own, (np.nan, 0.0, no_word[c]))]
+def featured(docs: DataFrame, table: DataFrame, no_word: float) -> DataFrame:
+    """(doc_id, fold, f0..f5) of (doc_id, text) by a table of (kind, gram, figure).
+
+    A gram that neither class has takes its context's figure, and 0 where that is not there either.
+    """
+    packs = packed(docs)
+    found = likely_in(expressions(packs), bit_table(table, "kind", "gram"), "kind", "gram").join(table, ["kind", "gram"]).select("batch", "kind", "gram", "figure")
+    names = [f"f{i}" for i in range(6)]
+    schema = "doc_id long, fold int, " + ", ".join(f"{n} double" for n in names)
 
-        every, part = tables("all"), tables("fit")
-        folds = rows.column("fold").to_pylist()
-        made = [(*features(t, *every), *(features(t, *part) if k == CALIBRATION_FOLD else (None,) * 6)) for t, k in zip(rows.column("text").to_pylist(), folds)]
+    def score(packs: pa.Table, figures: pa.Table) -> pa.Table:
+        kind, gram, value = (figures.column(c).to_numpy() for c in ("kind", "gram", "figure"))
+        seen, unseen, known = (Figures(gram[kind == k], value[kind == k], m) for k, m in ((GRAM, np.nan), (CONTEXT, 0.0), (WORD, no_word)))
+        ids, folds, made = [], [], []
+        for pack in packs.column("rows"):
+            rows = unpacked(pack)
+            place: dict[bytes, int] = {}
+            at = [np.array([place.setdefault(w, len(place)) for w in words_of(text.as_py())], np.int64) for text in rows.column("text")]
+            words = list(place)
+            spelt, n = np.zeros(len(words)), np.zeros(len(words), np.int64)
+            for i in range(0, len(words), WORDS):
+                gram, n[i : i + WORDS] = grams(words[i : i + WORDS])
+                v = seen(gram)
+                gap = np.flatnonzero(np.isnan(v))
+                v[gap] = unseen(gram[gap] >> 8)
+                own = n[i : i + WORDS]
+                spelt[i : i + WORDS] = np.add.reduceat(v, np.cumsum(own) - own)
+            named = known(names_of(words))
+            ids += rows.column("doc_id").to_pylist()
+            folds += rows.column("fold").to_pylist()
+            made += [features(a, n, spelt, named) for a in at]
         columns = [pa.array(list(c), pa.float64()) for c in zip(*made)] or [pa.array([], pa.float64())] * len(names)
-        return pa.table([rows.column("doc_id").combine_chunks(), pa.array(folds, pa.int32()), *columns], names=["doc_id", "fold", *names])
+        return pa.table([pa.array(ids, pa.int64()), pa.array(folds, pa.int32()), *columns], names=["doc_id", "fold", *names])
 
-    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(score, schema)
+    return packs.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(score, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,14 +318,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     """(doc_id, held_out, score, predicted) per row, by models of the labelled rows outside the held-out fold."""
     known = labels_of(labels, label)
     train = likely_known(texts_of(docs, id_col, text_col), known).join(known, "doc_id").select(F.when(F.col("label") > 0, 1).otherwise(0).alias("label"), fold_of().alias("fold"), "text")
-    counted = staged(expression_counts(train), "expressions")
-    by_gram, by_context = ratios(counted.where("kind = 0").drop("kind", "texts"))
-    by_word, no_word = word_ratios(counted.where("kind = 1").drop("kind"))
-    kinds = ((GRAM, by_gram), (CONTEXT, by_context), (WORD, by_word))
-    table = reduce(DataFrame.unionByName, (rows.select(F.lit(kind).alias("kind"), "gram", "all", "fit") for kind, rows in kinds))
-    scored = staged(featured(numbered(texts_of(docs, id_col, text_col)), staged(table, "figures"), no_word), "features")
-    chosen = known.where(fold_of() == CALIBRATION_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    sample = scored.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", *(f"g{i}" for i in range(6)))
+    counted = staged(word_counts(train), "counts")
+    by_gram, by_context = ratios(staged(gram_counts(counted), "grams"))
+    by_word, no_word = word_ratios(counted)
+    table = {c: staged(model_table(by_gram, by_context, by_word, c), "figures") for c in ("all", "fit")}
+    texts = texts_of(docs, id_col, text_col)
+    chosen = staged(known.where(fold_of() == CALIBRATION_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS), "chosen")
+    sample = featured(texts.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), table["fit"], no_word["fit"])
+    sample = sample.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", *(f"f{i}" for i in range(6)))
     rows = sorted(map(tuple, sample.collect()))
     y = np.array([min(r[1], 1) for r in rows], float)
     if len(y) and y.min() < y.max():
@@ -282,4 +336,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
 
     z = sum(((F.col(f"f{i}") - F.lit(float(mean[i]))) / F.lit(float(scale[i])) * F.lit(float(w[i])) for i in range(6)), F.lit(float(w[-1])))
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+    scored = featured(texts, table["all"], no_word["all"])
     return scored.select("doc_id", (F.col("fold") == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
