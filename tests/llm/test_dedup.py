@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tonearm.llm import fingerprint as fp, simhash, suffix_dedup
+from tonearm.llm import fingerprint as fp, mixing, simhash, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,6 +78,34 @@ def test_one_near_copy_stays(spark, odd_docs, no_docs):
     assert simhash.without_near_copies(no_docs).count() == 0
 
 
+def test_near_copies_of_shared_and_missing_ids(spark):
+    """An id that several rows share neither drops an unlike text nor keeps a copy; copies without ids leave one."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "p"), (1, b, "q"), (1, b, "p"), (2, c, "p"), (3, a, "p"), (1, c, "p"), (None, "no id " + b, "p"), (None, "other one", "q"), (None, "other one", "p")]
+    kept = simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id or 0, r.text, r.source) for r in kept) == sorted([(1, a, "p"), (1, b, "p"), (1, c, "p"), (0, "other one", "p")])
+
+
+def test_stages_take_columns_that_differ_by_case(odd_docs):
+    clashing = odd_docs.withColumnsRenamed({"score": "DOC_ID", "fp": "Text", "n_tokens": "__digest"})
+    for stage in (simhash.without_near_copies, suffix_dedup.without_repeats, mixing.mixed):
+        after, plain = stage(clashing), stage(odd_docs)
+        assert after.columns == clashing.columns
+        assert Counter(map(tuple, after.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_changed_texts_by_both_ways(spark):
+    """Texts that lose bytes, and those that are passed on unread, together are what a plain search leaves."""
+    shared, rng = "shared passage " * 20, np.random.default_rng(5)
+    own = [" ".join(f"u{x}" for x in rng.integers(0, 1 << 40, 30)) for _ in range(40)]
+    texts = [t + (" " + shared if i % 3 == 0 else "") for i, t in enumerate(own)] + [own[1], own[2], None, ""]
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = plain_repeats(texts)
+    assert len(got) == len(texts) and got[42] is None
+    for i, (n_bytes, removed, *_) in enumerate(want):
+        assert len((got[i] or "").encode()) == n_bytes - removed
+
+
 def with_similarity(rng, n, similarity):
     """Two texts of n words each; the second has the words from some place on replaced, for about that Jaccard similarity."""
     words = [f"w{i}" for i in rng.integers(0, 1 << 40, n)]

@@ -96,3 +96,11 @@ def likely_in(df: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
     bit = F.pmod(F.xxhash64(*keys), F.lit(64 * FILTER_WORDS))
     met = df.withColumns({"cell": F.floor(bit / 64).cast("int"), "at": (bit % 64).cast("int")}).join(F.broadcast(table), "cell")
     return met.where(F.expr("(shiftrightunsigned(bits, at) & 1) = 1")).select(*df.columns)
+
+
+def likely_split(df: DataFrame, table: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys may be among those of a bit table, rows whose keys surely are not), found without a shuffle."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(64 * FILTER_WORDS))
+    met = df.withColumns({"cell": F.floor(bit / 64).cast("int"), "at": (bit % 64).cast("int")}).join(F.broadcast(table), "cell", "left")
+    hit = F.expr("coalesce((shiftrightunsigned(bits, at) & 1) = 1, false)")
+    return met.where(hit).select(*df.columns), met.where(~hit).select(*df.columns)

@@ -141,8 +141,11 @@ def mix_schedule(docs: DataFrame, limit: float | None = LIMIT, entropy: float |
 
 
 def mixed(docs: DataFrame, limit: float | None = LIMIT, entropy: float | None = None, budget: float | None = None) -> DataFrame:
-    """The documents themselves, each as often as the mixture reads it, with all their columns."""
+    """The documents themselves, each as often as the mixture reads it, with all their columns, found by exact spelling."""
     rows = staged(token_rows(docs), "tokens")
     plan_ = staged(plan(rows, limit, entropy, budget), "plan")
-    data = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce(F.col("source"), F.lit(NO_SOURCE)).alias("source"), block_of(F.col("doc_id")).alias("block"))
-    return scheduled(data, plan_).select("row.*")
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    doc_id, source = (F.col(f"c{names.index(c)}") for c in ("doc_id", "source"))
+    data = plain.select(F.struct("*").alias("row"), doc_id.alias("doc_id"), F.coalesce(source, F.lit(NO_SOURCE)).alias("source"), block_of(doc_id).alias("block"))
+    return scheduled(data, plan_).select("row.*").toDF(*names)

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tonearm.session import staged
 
@@ -206,15 +206,15 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str
     return named.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def rows_to_components(rows: DataFrame, edges_of) -> DataFrame:
-    """(doc_id, fp, component_id) from (doc_id, fp) and the links between distinct fingerprints."""
+def rows_to_components(rows: DataFrame, edges_of, *more: str) -> DataFrame:
+    """(doc_id, fp, component_id) from (doc_id, fp) and the links between distinct fingerprints; on request also the component's ``label``, never null."""
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     labels = components(staged(edges_of(distinct.select("fp")), "links"))
     labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     labelled = staged(labelled, "labelled")
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = staged(labelled.join(staged(named, "named"), "label").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = staged(labelled.join(staged(named, "named"), "label").select("fp", "component_id", *more), "components")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", *more)
 
 
 def shared_bits(rows: int) -> int:
@@ -398,44 +398,50 @@ def near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_co
 
     ``fp`` names the set. Fingerprints find the candidates, the sets themselves decide.
     """
+    return near_copy_groups(docs, size, radius, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
+def near_copy_groups(docs: DataFrame, size: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, component_id, label): ``near_copies`` with a name of each group that rows without ids have as well."""
     columns = lambda _, sets: [[set_key(x) for x in sets], [mixed_majorities(x, 4) for x in sets], [len(x) for x in sets]]
     rows = staged(shingle_sets(docs, size, "key binary, bits binary, n long", columns, id_col, text_col), "fingerprints")
     nodes = staged(rows.groupBy("key").agg(F.min("bits").alias("fp"), F.min("n").alias("n")).where("n > 0"), "sets")
     groups = components(staged(wide_edges(staged(nodes.select("fp").distinct(), "distinct"), radius), "links"))
     members = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("key", "n", F.coalesce("label", "fp").alias("group"))
     exact = exact_edges(texts_of(docs, id_col, text_col), staged(members, "members"), size)
-    return rows_to_components(rows.select("doc_id", F.col("key").alias("fp")), lambda _: exact)
+    return rows_to_components(rows.select("doc_id", F.col("key").alias("fp")), lambda _: exact, "label")
 
 
 def without_near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per group of near copies, the one with the smallest id (null ids after all others), with all its columns.
 
-    Of rows that share that id, the one with the smallest text stays.
+    Of a group's rows that share that id, or that all lack one, the one with the smallest text stays, then by the other
+    columns in turn. Rows of one id that lie in different groups are told apart. Columns are found by exact spelling.
     """
-    grouped = near_copies(docs, size, radius, id_col, text_col)
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    own = F.col(f"c{names.index(id_col)}")
+    grouped = near_copy_groups(docs, size, radius, id_col, text_col)
     kept = grouped.where(F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = staged(kept.groupBy("doc_id", "fp").agg(F.count("*").alias("rows")), "kept")
-    odd = staged(kept.groupBy("doc_id").agg(F.sum("rows").alias("rows")).where("rows > 1 or doc_id is null").select("doc_id"), "odd")
-    keys = kept.select(F.col("doc_id").alias("__id")).distinct().join(odd.withColumnRenamed("doc_id", "__id"), "__id", "left_anti").where("__id is not null")
-    out = docs.join(keys, F.col(id_col) == F.col("__id"), "left_semi")
-    if odd.isEmpty():
-        return out
-    # ids that several rows share, or that are missing: their rows are told apart by fingerprint and text
-    few = docs.join(odd.withColumnRenamed("doc_id", "__id"), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    return out.unionByName(distinct_rows(few, kept, size, id_col, text_col).select(*docs.columns))
-
-
-def distinct_rows(few: DataFrame, kept: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    kept = staged(kept.select(F.col("doc_id").alias("id"), "fp", "label").distinct(), "kept")
+    several = plain.groupBy(own.alias("several")).agg(F.count("*").alias("rows")).where("rows > 1 or several is null")
+    odd = staged(kept.select("id").distinct().join(several, F.col("id").eqNullSafe(F.col("several")), "left_semi"), "odd")
+    keys = kept.where("id is not null").select("id").distinct().join(odd, "id", "left_anti")
+    out = plain.join(keys, own == F.col("id"), "left_semi")
+    if not odd.isEmpty():
+        out = out.unionByName(one_per_group(plain.join(odd, own.eqNullSafe(F.col("id")), "left_semi"), kept, size, names.index(id_col), names.index(text_col)))
+    return out.toDF(*names)
+
+
+def one_per_group(few: DataFrame, kept: DataFrame, size: int, id_at: int, text_at: int) -> DataFrame:
     """Of rows whose id is shared or missing, the kept ones: one per group, the smallest text first."""
-    schema = few.select("*", F.lit(b"").cast("binary").alias("__fp")).schema
-    at = few.columns.index(text_col)
+    schema = few.select("*", F.lit(b"").cast("binary").alias("own_fp")).schema
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [set_key(np.unique(shingle_hashes(t or "", size))) for t in batch.column(at).to_pylist()]
+            fps = [set_key(np.unique(shingle_hashes(t or "", size))) for t in batch.column(text_at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.binary())], names=[f.name for f in schema])
 
-    with_fp = few.mapInArrow(add, schema).join(kept.select(F.col("doc_id").alias("__id"), F.col("fp").alias("__kept")), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__kept")))
-    least = F.when(F.col(id_col).isNull(), F.col("__fp"))
-    order = Window.partitionBy(id_col, least).orderBy(text_col, *(c for c in few.columns if c not in (id_col, text_col)))
-    return with_fp.withColumn("__r", F.row_number().over(order)).where("__r = 1")
+    met = few.mapInArrow(add, schema).join(kept, F.col(f"c{id_at}").eqNullSafe(F.col("id")) & (F.col("own_fp") == F.col("fp")))
+    order = [few.columns[text_at], *(c for i, c in enumerate(few.columns) if i != text_at)]
+    return met.groupBy("label").agg(F.min(F.struct(*order)).alias("row")).select(*(F.col("row")[c].alias(c) for c in few.columns))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tonearm.session import staged
 
-from .common import texts_of
+from .common import bit_table, likely_split, texts_of
 
 LENGTH, GRAM, HOT = 200, 24, 1 << 15
 #: Width of the bands of starts in hot buckets, and how many times as hot a bucket has bands of one.
@@ -349,7 +349,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns, with repeated strings taken out of the text; characters that lose some of their bytes go whole."""
+    """All columns, with repeated strings taken out of the text; characters that lose some of their bytes go whole.
+
+    Rows whose text surely keeps all its bytes are passed on as they are, without a shuffle. Columns are found by
+    exact spelling, so others of like names stay as they are.
+    """
     rows = texts_of(docs, id_col, text_col)
     kept, copies = kept_texts(rows, length, hot)
     schema = docs.sparkSession.createDataFrame([], "digest binary, kept string").schema
@@ -359,7 +363,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.decode("utf-8", "ignore") for k in batch.column(1).to_pylist()], pa.string())], names=schema.names)
 
     changed = staged(kept.select("digest", "kept").mapInArrow(decoded, schema), "kept")
-    keyed = docs.withColumn("__digest", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    keyed = keyed.join(changed.withColumnsRenamed({"digest": "__digest", "kept": "__kept"}), "__digest", "left").join(copies.withColumnsRenamed({"digest": "__digest", "copies": "__copies"}), "__digest", "left")
-    gone = F.col("__copies").isNotNull() & (F.octet_length(text_col) >= length)
-    return keyed.withColumn(text_col, F.when(gone, "").otherwise(F.coalesce("__kept", F.col(text_col)))).select(*docs.columns)
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    text = plain[names.index(text_col)]
+    keyed = docs.toDF(*plain).withColumn("digest", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+    some, rest = likely_split(keyed, bit_table(changed.select("digest").unionByName(copies.select("digest")), "digest"), "digest")
+    met = some.join(changed, "digest", "left").join(copies, "digest", "left")
+    gone = F.col("copies").isNotNull() & (F.octet_length(text) >= length)
+    met = met.withColumn(text, F.when(gone, "").otherwise(F.coalesce("kept", text)))
+    return rest.select(*plain).unionByName(met.select(*plain)).toDF(*names)
