@@ -1,6 +1,7 @@
 """Whole jobs from files to datasets."""
 
 import json
+import pathlib
 
 import pytest
 import zstandard
@@ -8,6 +9,7 @@ from frame_rows import rows
 
 from tonearm.plans import jobs, reports
 from tonearm.schemas import ARTIST_METADATA, EXTERNAL_SIMILAR
+from tonearm.session import discard, staged
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +84,14 @@ def test_full_report(spark, dumps, tmp_path):
     document = reports.summary_document(counts, artists).first()
     listed = [a["total_listens"] for a in document["top_artists"]]
     assert listed == sorted(listed, reverse=True) and document["dataset_statistics"]["total_artists"] == 7
+
+
+def test_discard_deletes_staged_tables_alone(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    left, gone = staged(given, "left"), staged(given.withColumnRenamed("id", "key"), "gone")
+    folder = pathlib.Path(gone.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists()
+    discard(gone.join(given, gone.key == given.id))
+    assert not folder.exists()
+    assert given.count() == left.count() == 5

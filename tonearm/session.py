@@ -61,3 +61,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the staged tables that the frames read.
+
+    For frames whose readers are all written: a task that runs again could not read the tables any more. Only
+    folders that ``staged`` made in the shared folder go; other tables of a frame stay.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getName().startswith("tonearm-"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
