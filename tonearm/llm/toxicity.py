@@ -31,7 +31,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tonearm.session import staged
+from tonearm.session import discard, staged
 
 from .common import bit_table, fold_of, labels_of, likely_in, likely_known, texts_of
 
@@ -39,9 +39,13 @@ ORDER, DISCOUNT = 5, 0.75
 #: Kinds of expressions: byte grams, words, contexts of grams.
 GRAM, WORD, CONTEXT = 0, 1, 2
 #: Bytes of text in a pack, and in a batch of packs whose expressions are looked up together.
-PACK_BYTES, BATCH_BYTES = 8 << 20, 32 << 20
+PACK_BYTES, BATCH_BYTES = 8 << 20, 48 << 20
+#: How hard a pack is compressed (zstd); it travels once and is kept until the scores are written.
+LEVEL = 9
 #: Words whose grams are unpacked at once.
 WORDS = 1 << 16
+#: Steps that deal packs evenly over the batches, by task and by place within it: golden ratio and square root of two.
+DEAL = (0.6180339887498949, 0.4142135623730951)
 #: Figures are whole multiples of one part in this.
 UNIT = 1 << 24
 #: The fold that calibrates, and the most documents of it that do.
@@ -177,7 +181,7 @@ def model_table(by_gram: DataFrame, by_context: DataFrame, by_word: DataFrame, c
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """(batch, pack, rows): the rows (doc_id, fold, text) in packs of some ``PACK_BYTES``, brought together by batch.
+    """(batch, pack, rows): the rows (doc_id, fold, lower-cased words) in packs of some ``PACK_BYTES``, brought together by batch.
 
     A pack holds rows in the order read within a task; a longer text has a pack of its own.
     """
@@ -188,9 +192,9 @@ def packed(docs: DataFrame) -> DataFrame:
 
     def pack_of(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
             out.write_table(pa.Table.from_batches(parts).combine_chunks())
-        batch = xxhash.xxh64_intdigest(number.to_bytes(8, "little")) % batches
+        batch = int((number >> 32) * DEAL[0] % 1 * batches + (number & 0xFFFFFFFF) * DEAL[1] % 1 * batches) % batches
         return pa.RecordBatch.from_arrays([pa.array([batch]), pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=schema.names)
 
     def pack(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +209,12 @@ def packed(docs: DataFrame) -> DataFrame:
                     yield pack_of(first + now, held)
                     held = []
                 now = int(at[a])
-                held.append(batch.slice(a, b - a))
+                words = [b" ".join(words_of(t)) for t in batch.column(2).slice(a, b - a).to_pylist()]
+                held.append(pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(words, pa.binary())], names=["doc_id", "fold", "words"]))
         if held:
             yield pack_of(first + now, held)
 
-    return rows.mapInArrow(pack, schema).repartition(batches, "batch").sortWithinPartitions("batch")
+    return rows.mapInArrow(pack, schema).repartition(2 * batches, "batch").sortWithinPartitions("batch")
 
 
 def unpacked(rows: pa.Scalar) -> pa.Table:
@@ -226,8 +231,8 @@ def expressions(packs: DataFrame) -> DataFrame:
             gram = name = np.zeros(0, np.int64)
             for _, pack in own:
                 found: set[bytes] = set()
-                for text in unpacked(pack).column("text"):
-                    found.update(words_of(text.as_py()))
+                for words in unpacked(pack).column("words"):
+                    found.update(words.as_py().split())
                 words = list(found)
                 parts = [np.unique(grams(words[i : i + WORDS])[0]) for i in range(0, len(words), WORDS)]
                 gram, name = np.unique(np.concatenate([gram, *parts])), np.union1d(name, names_of(words))
@@ -281,7 +286,7 @@ def featured(docs: DataFrame, table: DataFrame, no_word: float) -> DataFrame:
         for pack in packs.column("rows"):
             rows = unpacked(pack)
             place: dict[bytes, int] = {}
-            at = [np.array([place.setdefault(w, len(place)) for w in words_of(text.as_py())], np.int64) for text in rows.column("text")]
+            at = [np.array([place.setdefault(w, len(place)) for w in words.as_py().split()], np.int64) for words in rows.column("words")]
             words = list(place)
             spelt, n = np.zeros(len(words)), np.zeros(len(words), np.int64)
             for i in range(0, len(words), WORDS):
@@ -321,12 +326,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     counted = staged(word_counts(train), "counts")
     by_gram, by_context = ratios(staged(gram_counts(counted), "grams"))
     by_word, no_word = word_ratios(counted)
-    table = {c: staged(model_table(by_gram, by_context, by_word, c), "figures") for c in ("all", "fit")}
+    models = {c: model_table(by_gram, by_context, by_word, c) for c in ("all", "fit")}
+    table = {c: staged(model, "figures") for c, model in models.items()}
+    discard(*models.values())  # the counts; the two tables are written
     texts = texts_of(docs, id_col, text_col)
     chosen = staged(known.where(fold_of() == CALIBRATION_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS), "chosen")
     sample = featured(texts.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), table["fit"], no_word["fit"])
     sample = sample.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", *(f"f{i}" for i in range(6)))
     rows = sorted(map(tuple, sample.collect()))
+    discard(table["fit"])
     y = np.array([min(r[1], 1) for r in rows], float)
     if len(y) and y.min() < y.max():
         w, mean, scale = logistic(np.array([r[2:] for r in rows], float), y)
