@@ -5,10 +5,7 @@ vantage points. A fingerprint lives in one shard, and also visits each shard tha
 rule out for its radius. In a shard, a local tree prunes by the same bounds. Shards give back a forest of links
 instead of pairs, and components are joined across shards. So copies never expand into all pairs.
 
-``near_copies`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. They lie
-dozens of bits apart, where distance bands cover nearly everything and a tree prunes nothing. There, shards are made
-by sampled bits of a 256-bit fingerprint of the set in many tables. Links within a wide radius only make groups of
-candidates; in a group, the shingle sets (as 64-bit hashes) are compared exactly, and only those links count.
+``without_near_copies`` keeps one row of each component.
 
 Nulls and empty texts have fingerprint zero. Rows without an id link like others, but name no component, which
 is null where no member has an id. Repeated rows give repeated rows. An empty table gives an empty one.
@@ -28,26 +25,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tonearm.session import staged
 
-from .common import likely_known, map_texts, texts_of
+from .common import map_texts, texts_of
 from .components import components
 
 SEED = 42
 SAMPLE = 4096
 SHARD = 1 << 15
 LEAF = 256
-#: For wide radii: the least number of sampled bits that a shard shares, the rows a shard has on average at most, and
-#: those of a block, of which two are compared at once.
-SHARED_BITS, SHARD_ROWS, RUN = 12, 128, 4096
-#: The most pairs, at the similarity in question, that no table may bring together.
-MISSED = 0.002
-#: Near copies have a Jaccard similarity of at least this fraction.
-SIMILAR = 4, 5
-#: Share of bits by which shingle sets of that similarity differ (cosine 2j/(1+j), angle over pi), and of 256 bits
-#: the mean distance and four standard deviations more (sets of four and five shingles vary more than large ones).
-APART = math.acos(2 * SIMILAR[0] / sum(SIMILAR)) / math.pi
-WIDE_RADIUS = math.ceil(256 * APART + 4 * math.sqrt(256 * APART * (1 - APART)))
-#: Rows and shingles of a group of candidates that are compared with as many others in one piece.
-BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -71,25 +55,14 @@ def majority(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * counts > len(hashes)).tobytes()
 
 
-def fingerprint(text: str, size: int = 3, words: int = 1) -> bytes:
-    """``words`` x 64 bits of the shingles, repeats included."""
-    return mixed_majorities(shingle_hashes(text, size), words)
+def fingerprint(text: str, size: int = 3) -> bytes:
+    """64 bits of the shingles, repeats included."""
+    return majority(shingle_hashes(text, size))
 
 
-def mixed_majorities(hashes: np.ndarray, words: int) -> bytes:
-    """``words`` x 64 bits; further words come from remixed hashes."""
-    out = []
-    for i in range(words):
-        if i:
-            hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            hashes ^= hashes >> np.uint64(29)
-        out.append(majority(hashes))
-    return b"".join(out)
-
-
-def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint of every whole text, as bytes."""
-    return map_texts(texts_of(docs, id_col, text_col), "doc_id long, fp binary", lambda: lambda texts: [[fingerprint(t, size, words) for t in texts]])
+    return map_texts(texts_of(docs, id_col, text_col), "doc_id long, fp binary", lambda: lambda texts: [[fingerprint(t, size) for t in texts]])
 
 
 def to_words(fps) -> np.ndarray:
@@ -201,227 +174,33 @@ def shard_edges(fps: DataFrame, radius: int, shard_rows: int = SHARD) -> DataFra
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): documents linked by 64-bit fingerprints within the radius, exactly."""
-    rows = staged(fingerprints(docs, size, 1, id_col, text_col), "fingerprints")
-    named = rows_to_components(rows, lambda fps: shard_edges(fps, radius))
+    named = near_duplicate_groups(docs, size, radius, id_col, text_col)
     return named.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def rows_to_components(rows: DataFrame, edges_of, *more: str) -> DataFrame:
-    """(doc_id, fp, component_id) from (doc_id, fp) and the links between distinct fingerprints; on request also the component's ``label``, never null."""
+def near_duplicate_groups(docs: DataFrame, size: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, component_id, label): with the component's smallest fingerprint, which rows without ids have as well."""
+    rows = staged(fingerprints(docs, size, id_col, text_col), "fingerprints")
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    labels = components(staged(edges_of(distinct.select("fp")), "links"))
+    labels = components(staged(shard_edges(distinct.select("fp"), radius), "links"))
     labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     labelled = staged(labelled, "labelled")
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = staged(labelled.join(staged(named, "named"), "label").select("fp", "component_id", *more), "components")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id", *more)
-
-
-def shared_bits(rows: int) -> int:
-    return max(SHARED_BITS, math.ceil(math.log2(max(1, rows) / SHARD_ROWS)))
-
-
-def tables_for(shared: int, missed: float = MISSED) -> int:
-    """Tables by which all but a share ``missed`` of the pairs at the similarity share the bits of one.
-
-    A pair d of 256 bits apart shares the bits of a table with probability (1 - d/256)^shared; d is binomial.
-    """
-    d = np.arange(257)
-    p = np.array([math.comb(256, int(i)) * APART**i * (1 - APART) ** (256 - i) for i in d])
-    tables = 1
-    while (p * (1 - (1 - d / 256) ** shared) ** tables).sum() > missed:
-        tables += 1
-    return tables
-
-
-def dealt(fps: DataFrame, shared: int, tables: int) -> DataFrame:
-    """(shard, fp): each fingerprint once per table; a shard is a table and the sampled bits that its rows share."""
-    rng = np.random.default_rng(SEED)
-    schema = fps.sparkSession.createDataFrame([], "shard long, fp binary").schema
-    order = [rng.permutation(256)[:shared] for _ in range(tables)]
-    place = 1 << np.arange(shared, dtype=np.int64)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = batch.column(0)
-            flat = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)
-            for t, picked in enumerate(order):
-                yield pa.RecordBatch.from_arrays([pa.array((t << shared) + flat[:, picked] @ place), column], names=["shard", "fp"])
-
-    return fps.mapInArrow(deal, schema)
-
-
-def links_of(points: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray:
-    """Component label per point from all links between left and right points."""
-    n = len(points)
-    label = np.arange(n)
-    step = max(1, (1 << 18) // max(1, len(right)))
-    held_a, held_b, held = [], [], 0
-    for i in range(0, len(left), step):
-        x, y = np.nonzero(distances(points[left[i : i + step]][:, None, :], points[right][None, :, :]) <= radius)
-        a, b = left[i : i + step][x], right[y]
-        apart = label[a] != label[b]
-        held_a.append(a[apart])
-        held_b.append(b[apart])
-        held += int(apart.sum())
-        if held > n:  # keep a forest in place of all links
-            label = local_components(n, np.concatenate([np.arange(n), *held_a]), np.concatenate([label, *held_b]))
-            held_a, held_b, held = [], [], 0
-    return local_components(n, np.concatenate([np.arange(n), *held_a]), np.concatenate([label, *held_b])) if held else label
-
-
-def wide_edges(fps: DataFrame, radius: int) -> DataFrame:
-    """(a, b): links within the radius of 256 bits, found where two fingerprints share the sampled bits of a table.
-
-    Bits and tables follow the number of fingerprints. All rows of a shard are compared, wherever partitions end: a
-    shard of more than ``RUN`` rows is cut into blocks, and each pair of blocks gives a forest of links.
-    """
-    schema = fps.sparkSession.createDataFrame([], "a binary, b binary").schema
-    shared = shared_bits(fps.count())
-    rows = dealt(fps, shared, tables_for(shared))
-    hot = staged(rows.groupBy("shard").agg(F.ceil(F.count("*") / RUN).alias("parts")).where("parts > 1"), "hot")
-    rows = rows.withColumn("parts", F.lit(1).cast("long")) if hot.isEmpty() else rows.join(hot, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    met = paired(rows, ["shard"], F.pmod(F.xxhash64("fp"), F.col("parts")))
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, low, high), (fp, own) in pieces(batches, 3):
-            if len(fp) > 1:
-                own = np.array(own)
-                out = edges_of(fp, links_of(to_words(fp), np.flatnonzero(own == low), np.flatnonzero(own == high), radius))
-                if out.num_rows:
-                    yield out
-
-    return met.select("shard", "low", "high", "fp", "own").mapInArrow(link, schema)
-
-
-def shingle_sets(docs: DataFrame, size: int, schema: str, columns, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, columns): ``columns`` makes them from the texts and the texts' sets of distinct shingle hashes."""
-    return map_texts(texts_of(docs, id_col, text_col), f"doc_id long, {schema}", lambda: lambda texts: columns(texts, [np.unique(shingle_hashes(t, size)) for t in texts]))
-
-
-def set_key(shingles: np.ndarray) -> bytes:
-    """128 bits that name a set of shingles."""
-    return xxhash.xxh3_128_digest(shingles.tobytes(), SEED)
-
-
-def alike(sets: list[np.ndarray], own: np.ndarray, whole: bool) -> np.ndarray:
-    """Component label per set, from all pairs that are near copies; of two blocks (not ``whole``), pairs across only.
-
-    Sets that are linked already are not compared again.
-    """
-    sizes = np.array([len(x) for x in sets])
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    names, at = np.unique(np.concatenate(sets), return_inverse=True)
-    label, mark = np.arange(len(sets)), np.zeros(len(names), np.int64)
-    low, high = SIMILAR
-    for x in np.argsort(-sizes, kind="stable"):
-        near = (label != label[x]) & (sizes * high >= low * sizes[x]) & (sizes[x] * high >= low * sizes)
-        if not whole:
-            near &= own != own[x]
-        near = np.flatnonzero(near)
-        if not len(near):
-            continue
-        mine = at[starts[x] : starts[x] + sizes[x]]
-        mark[mine] = 1
-        both = np.add.reduceat(mark[at], starts)[near] if 4 * len(near) > len(sets) else np.array([mark[at[starts[y] : starts[y] + sizes[y]]].sum() for y in near])
-        mark[mine] = 0
-        hits = near[both * high >= low * (sizes[near] + sizes[x] - both)]
-        if len(hits):
-            joined = np.append(label[hits], label[x])
-            label[np.isin(label, joined)] = joined.min()
-    return label
-
-
-def paired(rows: DataFrame, keys: list[str], own) -> DataFrame:
-    """Each row once for every pair of blocks of its group that has the row's block: (rows, own, low, high).
-
-    ``parts`` is the number of blocks, ``own`` the row's one; so any two rows of a group meet in one pair.
-    """
-    met = rows.withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
-    met = met.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "parts")
-    return met.repartition(*keys, "low", "high").sortWithinPartitions(*keys, "low", "high")
-
-
-def exact_edges(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(a, b): a forest that connects the keys of near copies within each group of candidates (key, fp, n, group).
-
-    A large group is cut into blocks, and all pairs of blocks are compared. Of texts with one set, one is fetched.
-    """
-    spark = docs.sparkSession
-    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS))
-    sizes = members.groupBy("group").agg(F.count("*").alias("rows"), blocks.alias("parts")).where("rows > 1").select("group", "parts")
-    chosen = staged(members.join(sizes, "group").select("key", "group", "parts"), "candidates")
-    name = F.xxhash64("key").alias("doc_id")
-    texts = shingle_sets(docs, size, "key binary, text string", lambda texts, sets: [[set_key(x) for x in sets], texts]).select(name, "key", "text")
-    texts = likely_known(texts, chosen.select(name)).groupBy("key").agg(F.min("text").alias("text"))
-    met = paired(texts.join(chosen, "key").select("group", "parts", "key", "text"), ["group"], F.pmod(F.xxhash64("key"), F.col("parts")))
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, low, high), (keys, texts, own) in pieces(batches, 3):
-            if len(keys) > 1:
-                yield edges_of(keys, alike([np.unique(shingle_hashes(t, size)) for t in texts], np.array(own), low == high))
-
-    schema = spark.createDataFrame([], "a binary, b binary").schema
-    return met.select("group", "low", "high", "key", "text", "own").mapInArrow(link, schema)
-
-
-def pieces(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, tuple[list, ...]]]:
-    """Stretches of sorted rows that share the first ``keys`` columns: (those, the lists of the others)."""
-    now, held = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = list(zip(*(batch.column(i).to_pylist() for i in range(keys))))
-        others = [batch.column(i).to_pylist() for i in range(keys, batch.num_columns)]
-        ends = [i for i in range(1, len(names)) if names[i] != names[i - 1]] + [len(names)]
-        for a, b in zip([0, *ends], ends):
-            if names[a] == now:
-                for x, o in zip(held, others):
-                    x.extend(o[a:b])
-            else:
-                if held:
-                    yield now, held
-                now, held = names[a], tuple(o[a:b] for o in others)
-    if held:
-        yield now, held
-
-
-def edges_of(names: list[bytes], label: np.ndarray) -> pa.RecordBatch:
-    at = np.flatnonzero(label != np.arange(len(names))).tolist()
-    return pa.RecordBatch.from_arrays([pa.array([names[i] for i in at], pa.binary()), pa.array([names[j] for j in label[at].tolist()], pa.binary())], names=["a", "b"])
-
-
-def near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): documents linked by sets of five-word shingles with a Jaccard similarity of 0.8 or more.
-
-    ``fp`` names the set. Fingerprints find the candidates, the sets themselves decide.
-    """
-    return near_copy_groups(docs, size, radius, id_col, text_col).select("doc_id", "fp", "component_id")
-
-
-def near_copy_groups(docs: DataFrame, size: int, radius: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, fp, component_id, label): ``near_copies`` with a name of each group that rows without ids have as well."""
-    columns = lambda _, sets: [[set_key(x) for x in sets], [mixed_majorities(x, 4) for x in sets], [len(x) for x in sets]]
-    rows = staged(shingle_sets(docs, size, "key binary, bits binary, n long", columns, id_col, text_col), "fingerprints")
-    nodes = staged(rows.groupBy("key").agg(F.min("bits").alias("fp"), F.min("n").alias("n")).where("n > 0"), "sets")
-    groups = components(staged(wide_edges(staged(nodes.select("fp").distinct(), "distinct"), radius), "links"))
-    members = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("key", "n", F.coalesce("label", "fp").alias("group"))
-    exact = exact_edges(texts_of(docs, id_col, text_col), staged(members, "members"), size)
-    return rows_to_components(rows.select("doc_id", F.col("key").alias("fp")), lambda _: exact, "label")
+    named = staged(labelled.join(staged(named, "named"), "label").select("fp", "component_id", "label"), "components")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "label")
 
 
-def without_near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per group of near copies, the one with the smallest id (null ids after all others), with all its columns.
+def without_near_copies(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per component, the one with the smallest id (null ids after all others), with all its columns.
 
-    Of a group's rows that share that id, or that all lack one, the one with the smallest text stays, then by the other
-    columns in turn. Rows of one id that lie in different groups are told apart. Columns are found by exact spelling.
+    Of a component's rows that share that id, or that all lack one, the one with the smallest text stays, then by the
+    other columns in turn. Rows of one id that lie in different components are told apart. Columns are found by exact
+    spelling. Texts of ids that only one row has are never shuffled for it.
     """
     names = docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     own = F.col(f"c{names.index(id_col)}")
-    grouped = near_copy_groups(docs, size, radius, id_col, text_col)
+    grouped = near_duplicate_groups(docs, size, radius, id_col, text_col)
     kept = grouped.where(F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = staged(kept.select(F.col("doc_id").alias("id"), "fp", "label").distinct(), "kept")
     several = plain.groupBy(own.alias("several")).agg(F.count("*").alias("rows")).where("rows > 1 or several is null")
@@ -429,17 +208,18 @@ def without_near_copies(docs: DataFrame, size: int = 5, radius: int = WIDE_RADIU
     keys = kept.where("id is not null").select("id").distinct().join(odd, "id", "left_anti")
     out = plain.join(keys, own == F.col("id"), "left_semi")
     if not odd.isEmpty():
-        out = out.unionByName(one_per_group(plain.join(odd, own.eqNullSafe(F.col("id")), "left_semi"), kept, size, names.index(id_col), names.index(text_col)))
+        few = plain.join(odd, own.eqNullSafe(F.col("id")), "left_semi")
+        out = out.unionByName(one_per_component(few, kept, size, names.index(id_col), names.index(text_col)))
     return out.toDF(*names)
 
 
-def one_per_group(few: DataFrame, kept: DataFrame, size: int, id_at: int, text_at: int) -> DataFrame:
-    """Of rows whose id is shared or missing, the kept ones: one per group, the smallest text first."""
+def one_per_component(few: DataFrame, kept: DataFrame, size: int, id_at: int, text_at: int) -> DataFrame:
+    """Of rows whose id is shared or missing, the kept ones: one per component, the smallest text first."""
     schema = few.select("*", F.lit(b"").cast("binary").alias("own_fp")).schema
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [set_key(np.unique(shingle_hashes(t or "", size))) for t in batch.column(text_at).to_pylist()]
+            fps = [fingerprint(t or "", size) for t in batch.column(text_at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.binary())], names=[f.name for f in schema])
 
     met = few.mapInArrow(add, schema).join(kept, F.col(f"c{id_at}").eqNullSafe(F.col("id")) & (F.col("own_fp") == F.col("fp")))
