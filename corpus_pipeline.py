@@ -23,7 +23,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (five words, similarity 0.8 or more)."""
+    """One document, that of the smallest id, of each group whose fingerprints of three-word shingles link at two or fewer bits."""
     return simhash.without_near_copies(docs)
 
 
