@@ -34,6 +34,8 @@ from .transducer import Machine, Merges
 REMEMBER = 1 << 16
 #: As many as that where nothing else shares the task's memory.
 REMEMBER_MORE = 1 << 18
+#: Texts whose ids a task holds at once.
+ROWS = 256
 SHORT = 48
 BLOCK = 1 << 16
 #: Fixed values of the vocabulary format: the bytes that stand for themselves, and the pattern of pre-tokens.
@@ -238,4 +240,4 @@ def encoded_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
         return work
 
-    return map_texts(texts_of(docs, id_col, text_col), "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", make)
+    return map_texts(texts_of(docs, id_col, text_col), "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", make, rows=ROWS)

@@ -39,19 +39,22 @@ def labels_of(labels: DataFrame, label: str) -> DataFrame:
     return known.where(fold_of() > 0).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("label").cast("int").alias("label"))
 
 
-def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[list], list]], carry: int = 1) -> DataFrame:
+def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[list], list]], carry: int = 1, rows: int | None = None) -> DataFrame:
     """Rows (carried columns..., text) through a function over whole texts, batch by batch.
 
     ``make`` runs once per task and returns the function, which turns a list of texts into one list of
-    values per new column. The first ``carry`` columns pass through. Arrow carries the batches.
+    values per new column. The first ``carry`` columns pass through. Arrow carries the batches, of which ``rows`` at once
+    are worked on (None: all), so that wide results never stand in memory for a whole batch.
     """
     fields = df.select().sparkSession.createDataFrame([], schema).schema
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            step = rows or max(1, whole.num_rows)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 made = work(batch.column(carry).to_pylist())
                 kept = [batch.column(i) for i in range(carry)]
                 yield pa.RecordBatch.from_arrays(kept + [m if isinstance(m, pa.Array) else pa.array(m) for m in made], names=names)

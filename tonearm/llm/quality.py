@@ -12,10 +12,8 @@ are scored and never learned from; repeated rows give repeated rows; an empty ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import fold_of, labelled_sample, map_texts, texts_of
@@ -146,12 +144,12 @@ def score_quality(docs: DataFrame, model: Attention, threshold: float = 0.3, id_
 
 
 def keep_quality(docs: DataFrame, model: Attention, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows whose score reaches the threshold, with all their columns."""
-    at = docs.columns.index(text_col)
+    """The rows whose score reaches the threshold, with all their columns; only the texts travel to Python, and scores back."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = model.score([t or "" for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array(scores >= threshold))
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(texts.to_list()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return plain.where(score(F.coalesce(f"c{names.index(text_col)}", F.lit(""))) >= threshold).toDF(*names)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tonearm.session import staged
 
-from .common import map_texts, texts_of
+from .common import bit_table, likely_split, map_texts, texts_of
 from .components import components
 
 SEED = 42
@@ -195,7 +195,7 @@ def without_near_copies(docs: DataFrame, size: int = 3, radius: int = 2, id_col:
 
     Of a component's rows that share that id, or that all lack one, the one with the smallest text stays, then by the
     other columns in turn. Rows of one id that lie in different components are told apart. Columns are found by exact
-    spelling. Texts of ids that only one row has are never shuffled for it.
+    spelling. Rows whose id surely has neither a dropped row nor several rows pass on as they are, without a shuffle.
     """
     names = docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
@@ -205,8 +205,11 @@ def without_near_copies(docs: DataFrame, size: int = 3, radius: int = 2, id_col:
     kept = staged(kept.select(F.col("doc_id").alias("id"), "fp", "label").distinct(), "kept")
     several = plain.groupBy(own.alias("several")).agg(F.count("*").alias("rows")).where("rows > 1 or several is null")
     odd = staged(kept.select("id").distinct().join(several, F.col("id").eqNullSafe(F.col("several")), "left_semi"), "odd")
+    dropped = grouped.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    table = bit_table(dropped.select(F.col("doc_id").alias("id")).unionByName(odd), "id")
+    some, rest = likely_split(plain.withColumn("id", own.cast("long")), staged(table, "doubtful"), "id")
     keys = kept.where("id is not null").select("id").distinct().join(odd, "id", "left_anti")
-    out = plain.join(keys, own == F.col("id"), "left_semi")
+    out = rest.drop("id").unionByName(some.join(keys, "id", "left_semi").select(*plain.columns))
     if not odd.isEmpty():
         few = plain.join(odd, own.eqNullSafe(F.col("id")), "left_semi")
         out = out.unionByName(one_per_component(few, kept, size, names.index(id_col), names.index(text_col)))

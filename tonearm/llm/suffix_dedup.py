@@ -39,7 +39,7 @@ LENGTH, GRAM, HOT = 200, 24, 1 << 15
 #: Width of the bands of starts in hot buckets, and how many times as hot a bucket has bands of one.
 BAND, HOTTER = 32, 64
 #: Bytes of stretches that are sorted at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: A perfect difference set: every difference modulo 31 occurs.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Stretches that a task remembers to forward equal ones twice only.
