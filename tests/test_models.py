@@ -314,3 +314,17 @@ def test_redirect_chains_without_a_hop_limit_end_where_following_one_by_one_ends
         want[start] = (path, "circular" if len(set(path)) < len(path) else "terminal")
     got = {x["recording_mbid"]: (x["path"], x["status"]) for x in graph.redirect_walks(df, max_hops=None).collect()}
     assert got == want
+
+
+def test_searches_rank_names_not_artists(spark):
+    """A name that many artists share meets a query once; the order among its artists stays that of their ids."""
+    plain = ["red bolt", "red bolts", "Red  Bolt!", "blue bolt", "red rod"]
+    artists = spark.createDataFrame([(f"id{i:03}", plain[i % 5]) for i in range(400)] + [("id000", "red bolt")], "artist_mbid STRING, name STRING")
+    q = spark.createDataFrame([("red bolt",), ("bolt",)], "query STRING")
+    assert search.name_index(artists).filter("gram = '##r1'").select("folded", "names").orderBy("folded").collect() == [("red bolt", 161), ("red bolts", 80), ("red rod", 80)]
+    found = search.search_artists(q, artists, 7).filter("query = 'red bolt'").orderBy("rank")
+    assert [r["artist_mbid"] for r in found.collect()] == ["id000", "id002", "id005", "id007", "id010", "id012", "id015"], "a row listed twice counts once"
+    words = search.artists_sharing_word(q, artists, 4)
+    got = {(r["query"], r["rank"]): (r["artist_mbid"], r["score"]) for r in words.collect()}
+    assert [got["red bolt", i] for i in (1, 2, 3, 4)] == [("id000", 100.0), ("id000", 100.0), ("id002", 100.0), ("id005", 100.0)]
+    assert [got["bolt", i][0] for i in (1, 2, 3, 4)] == ["id000", "id000", "id002", "id005"]
