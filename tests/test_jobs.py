@@ -95,3 +95,17 @@ def test_discard_deletes_staged_tables_alone(spark, tmp_path):
     discard(gone.join(given, gone.key == given.id))
     assert not folder.exists()
     assert given.count() == left.count() == 5
+
+
+def test_report_reads_its_recommendations_once(spark, dumps, tmp_path):
+    """What several datasets read is written once, however it was made."""
+    recs = spark.createDataFrame(
+        [(f"a{s}", f"Artist {s}", r + 1, f"a{(s + r) % 7}", f"Artist {(s + r) % 7}", 1.0 - r / 10) for s in range(3) for r in range(7)],
+        "source_artist_id STRING, source_artist STRING, rank INT, artist_id STRING, artist_name STRING, similarity_score DOUBLE",
+    )
+    recs.write.parquet(str(tmp_path / "made"))
+    artists = spark.createDataFrame([("a0", "Artist 0")], "artist_mbid STRING, name STRING")
+    network = reports.similarity_network(spark.read.parquet(str(tmp_path / "made")), artists)
+    for name in ("edges", "nodes", "labels"):
+        assert not [f for f in network[name].inputFiles() if "/made/" in f], name
+    assert network["nodes"].count() == 7
