@@ -124,3 +124,14 @@ def test_a_giant_community_is_split_among_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_round_tells_the_modularity_of_the_state_before_it(spark):
+    """Also with self-loops, which a contracted graph has, and a node that has nothing else."""
+    adjacency = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0), ("b", "c", 2.0), ("c", "b", 2.0), ("c", "c", 3.0), ("d", "d", 5.0)], "node string, other string, w double")
+    state = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 3.0), ("c", "y", 5.0), ("d", "z", 5.0)], "node string, community string, k double")
+    total = communities._totals(state)
+    after = communities._move(adjacency, state, total, 14.0, 0)
+    assert rows(after.select("node", "own_links")) == [("a", 1.0), ("b", 1.0), ("c", 0.0), ("d", 0.0)]
+    want = communities._modularity(adjacency, state).first()[0]
+    assert communities._state_modularity(after, total, 8.0, 14.0) == pytest.approx(want, abs=1e-12)

@@ -46,7 +46,7 @@ def gr03_cover(t: Tables) -> DataFrame:
     from ..session import staged
     from ..operators.stats import combine_rows
 
-    edges = _edges(t)
+    edges = staged(_edges(t), "edges")
     found = staged(communities.detect_communities(edges), "communities")
     nodes = graph.degrees(edges).join(found, "node")
     lowest = found.groupBy("community").agg((F.min("node") == F.col("community")).alias("ok"))
