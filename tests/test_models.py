@@ -55,6 +55,22 @@ def test_users_without_a_positive_weight(spark):
     assert recommend.training_loss(model, entries).first()["entries"] == len(data)
 
 
+def test_many_users_for_few_items_take_few_item_blocks(spark, monkeypatch):
+    """A user's factors go to every item block; fewer item blocks change the layout, not the factors."""
+    assert recommend.item_blocks(5_400_000, 371, 12) == 2 and recommend.item_blocks(1000, 500, 12) == 6
+    assert recommend.item_blocks(100, 9000, 12) == 12 and recommend.item_blocks(900, 3, 1) == 1 and recommend.item_blocks(0, 0, 4) == 2
+    rnd = random.Random(5)
+    entries = spark.createDataFrame([(u, i, rnd.random() + 0.1) for u in range(400) for i in range(12) if rnd.random() < 0.6], "user_idx long, item_idx long, weight double")
+    made, als = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **given: made.append(given) or als(**given))
+    few = recommend.train_model(entries, factors=4, iterations=3, blocks=6)
+    wide = recommend.train_model(entries, factors=4, iterations=3, blocks=6, least_item_blocks=6)
+    assert [(m["numUserBlocks"], m["numItemBlocks"]) for m in made] == [(6, 2), (6, 6)]
+    for a, b in ((few.itemFactors, wide.itemFactors), (few.userFactors, wide.userFactors)):
+        a, b = ({r["id"]: list(r["features"]) for r in f.collect()} for f in (a, b))
+        assert set(a) == set(b) and all(a[k] == pytest.approx(b[k], abs=1e-4) for k in a)
+
+
 def test_model_recovers_blocks_and_is_saved(spark, blocks, tmp_path):
     root = str(tmp_path)
     model, index = jobs.model_for(spark, blocks, root, factors=8, iterations=8)

@@ -23,6 +23,9 @@ BM25_K1, BM25_B = 100.0, 0.8
 SIMILAR_ITEMS = 20
 POPULAR_SEEDS = 10
 
+# Item blocks of a fit at least: each one more sends all users' factors once more.
+ITEM_BLOCKS = 2
+
 # Seeds up to this number travel to the tasks as one matrix (1024 x 64 doubles
 # are 0.5 MB); more seeds are multiplied block by block over a shuffle, with at
 # most about 1024 x 20,000 scores (160 MB) in a task at a time.
@@ -75,6 +78,17 @@ def bm25_weights(counts: DataFrame, k1: float = BM25_K1, b: float = BM25_B, user
 # -- model -----------------------------------------------------------------
 
 
+def item_blocks(users: int, items: int, width: int, least: int = ITEM_BLOCKS) -> int:
+    """Item blocks of a fit with ``width`` user blocks: fewer, the more users there are per item.
+
+    Each round sends a user's factors once to each item block with one of the user's items, so few items
+    for many users would send all users ``width`` times. With this number a round sends about
+    ``least * users + width * items`` vectors at most that way, and ``width * items`` back. Where items are as
+    many as users, whose systems take the time, there are ``width`` blocks.
+    """
+    return min(width, max(least, -(-width * items // max(users, 1))))
+
+
 def train_model(
     weighted: DataFrame,
     factors: int = FACTORS,
@@ -83,14 +97,16 @@ def train_model(
     iterations: int = ITERATIONS,
     seed: int = 42,
     blocks: int | None = None,
+    least_item_blocks: int = ITEM_BLOCKS,
 ) -> ALSModel:
     """Implicit-feedback ALS over (user_idx, item_idx, weight).
 
     A user or item without a positive weight has the zero vector as its
     solution and adds nothing to others, so it stays out of the fit; its system
     would have no regularisation. Lineage is cut every few iterations in the
-    shared folder. ``blocks`` is the number of user and of item blocks; set it
-    to the cores of the cluster.
+    shared folder. ``blocks`` is the number of user blocks, and of item blocks
+    at most; set it to the cores of the cluster. ``item_blocks`` says how many
+    item blocks there are: a user's factors go to every one with an item of the user.
     """
     weighted = staged(weighted.select("user_idx", "item_idx", "weight"), "ratings")
     positive = weighted.filter(F.col("weight") > 0)
@@ -98,6 +114,7 @@ def train_model(
         positive.select("item_idx").distinct(), "item_idx", "left_semi"
     )
     width = blocks or weighted.sparkSession.sparkContext.defaultParallelism
+    users, items = positive.agg(F.approx_count_distinct("user_idx"), F.approx_count_distinct("item_idx")).first()
     als = ALS(
         rank=factors,
         regParam=regularisation,
@@ -111,7 +128,7 @@ def train_model(
         coldStartStrategy="drop",
         checkpointInterval=5,
         numUserBlocks=width,
-        numItemBlocks=width,
+        numItemBlocks=item_blocks(users, items, width, least_item_blocks),
         seed=seed,
         intermediateStorageLevel="MEMORY_AND_DISK",
         finalStorageLevel="MEMORY_AND_DISK",
