@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -209,3 +210,18 @@ def test_likeness_of_very_long_repetitive_texts(spark):
     assert r.i == a and r.d == b
     hashes = [spark.range(1).select(F.xxhash64(F.lit(w))).first()[0] for w in ("aa bb", "bb")]
     assert sorted(r.u) == sorted(60_000.0 * sum(1 if h >> k & 1 else -1 for h in hashes) for k in range(64))
+
+
+def test_repeats_are_sought_in_small_batches(spark, monkeypatch):
+    """Python gets at most a thousand rows at once while repeats are sought; the session's setting stays as it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sizes = lambda: spark.range(2500).coalesce(1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+    seen, write = [], suffix_dedup.staged
+    monkeypatch.setattr(suffix_dedup, "staged", lambda df, name: seen.append([r.n for r in sizes().collect()]) or write(df, name))
+    docs = spark.createDataFrame([(i, f"{i} " + "shared words " * 20) for i in range(3)], "doc_id long, text string")
+    before = spark.conf.get(key, None)
+    for run in (suffix_dedup.remove_repeats, suffix_dedup.without_repeats):
+        seen.clear()
+        assert run(docs).count() == 3
+        assert len(seen) == 4 and all(sum(s) == 2500 and max(s) <= 1000 for s in seen)
+        assert spark.conf.get(key, None) == before

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tonearm.session import staged
+from tonearm.session import arrow_batches_of, staged
 
 from .common import bit_table, likely_split, texts_of
 
@@ -40,6 +40,8 @@ LENGTH, GRAM, HOT = 200, 24, 1 << 15
 BAND, HOTTER = 32, 64
 #: Bytes of stretches that are sorted at once.
 BLOCK = 1 << 19
+#: Rows that travel to Python at once: whole texts with their stretches stand in memory several times.
+BATCH = 1000
 #: A perfect difference set: every difference modulo 31 occurs.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Stretches that a task remembers to forward equal ones twice only.
@@ -335,10 +337,11 @@ def kept_texts(rows: DataFrame, length: int, hot: int) -> tuple[DataFrame, DataF
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row."""
     rows = texts_of(docs, id_col, text_col)
-    kept, copies = kept_texts(rows, length, hot)
-    kept = kept.select("digest", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    with arrow_batches_of(docs.sparkSession, BATCH):
+        kept, copies = kept_texts(rows, length, hot)
+        kept = staged(kept.select("digest", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")), "kept")
     base = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.md5("text")).alias("digest"), F.sha2("text", 256).alias("own"))
-    joined = base.join(staged(kept, "kept"), "digest", "left").join(copies, "digest", "left")
+    joined = base.join(kept, "digest", "left").join(copies, "digest", "left")
     gone = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     return joined.select(
         "doc_id", "n_bytes",
@@ -355,14 +358,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_co
     exact spelling, so others of like names stay as they are.
     """
     rows = texts_of(docs, id_col, text_col)
-    kept, copies = kept_texts(rows, length, hot)
     schema = docs.sparkSession.createDataFrame([], "digest binary, kept string").schema
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.decode("utf-8", "ignore") for k in batch.column(1).to_pylist()], pa.string())], names=schema.names)
 
-    changed = staged(kept.select("digest", "kept").mapInArrow(decoded, schema), "kept")
+    with arrow_batches_of(docs.sparkSession, BATCH):
+        kept, copies = kept_texts(rows, length, hot)
+        changed = staged(kept.select("digest", "kept").mapInArrow(decoded, schema), "kept")
     names = docs.columns
     plain = [f"c{i}" for i in range(len(names))]
     text = plain[names.index(text_col)]
