@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,37 @@ def test_phrases(spark, odd_docs, min_count, longest, top):
     same(collocations.collocations(docs, min_count, longest, top), plain_phrases([(r[0], r[1]) for r in docs.collect()], min_count, longest, top))
 
 
+def test_phrase_occurrences_are_not_written(spark, monkeypatch):
+    written, staged = {}, collocations.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(collocations, "staged", counted)
+    docs = spark.createDataFrame([("one two three, four five six seven", "en")] * 50, "text string, lang string")
+    collocations.collocations(docs, 3).collect()
+    assert sum(written.values()) <= 7 + 5 + 3 + 1 + 1  # words, pairs, three and four words, the language; not 350 words
+
+
+def test_phrases_of_large_texts(spark):
+    """Texts beyond the bytes that are worked on at once, with null and empty ones between them."""
+    rows = [(t, lang) for i in range(4) for t, lang in (("Ab ba, ab\tBA ab ba é\x01e " * (i * 20_000), "x"), (None, "y"), ("", None), ("ba ab. ba ab ab" + " ab" * i, None))]
+    assert sum(len(t or "") for t, _ in rows) > 3 * collocations.CHUNK
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    same(collocations.collocations(docs, 4, 3, 50), plain_phrases(rows, 4, 3, 50))
+
+
+def test_phrases_are_told_by_words_not_hashes(spark):
+    """Bit tables that let every phrase through change no count."""
+    rows = [("a b a. b A", "x"), ("b a b", "y"), ("a b", "x")]
+    every = spark.sparkContext.broadcast([np.full(collocations.FILTER_WORDS, 2**64 - 1, np.uint64)] * 2)
+    found = collocations.likely_phrases(spark.createDataFrame([(lang, t) for t, lang in rows], "lang string, text string"), every, 2)
+    want = [("x", 0, "", 7), ("y", 0, "", 3), ("x", 1, "a", 4), ("x", 1, "b", 3), ("y", 1, "a", 1), ("y", 1, "b", 2), ("x", 2, "a b", 2), ("x", 2, "b a", 2), ("y", 2, "b a", 1), ("y", 2, "a b", 1)]
+    same(found.groupBy("lang", "size", "phrase").agg(F.sum("a")), want)
+
+
 def test_phrase_scores_pass_64_bits(spark):
     counts = spark.createDataFrame([("x", "a", 1, 10**12), ("x", "b", 1, 10**11), ("x", "a b", 2, 10**11 - 1)], "lang string, phrase string, size int, a long")
     totals = spark.createDataFrame([("x", 10**13 + 7)], "lang string, n long")
