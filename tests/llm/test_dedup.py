@@ -225,3 +225,20 @@ def test_repeats_are_sought_in_small_batches(spark, monkeypatch):
         assert run(docs).count() == 3
         assert len(seen) == 4 and all(sum(s) == 2500 and max(s) <= 1000 for s in seen)
         assert spark.conf.get(key, None) == before
+
+
+def test_kept_texts_come_from_one_python_step(spark, monkeypatch):
+    """A task has one Python process at a time: the step that removes bytes gives the text as well."""
+    plans, staged = {}, suffix_dedup.staged
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "staged", noted)
+    passage = "é passed on from text to text " * 10
+    docs = spark.createDataFrame([(1, "x" + passage), (2, "yy" + passage[1:]), (3, "other")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()}
+    assert got[3] == "other" and got[1].startswith("x") and len(got[1]) < 10
+    above = plans["kept"].split("Join", 1)[0]
+    assert above.count("MapInArrow") == 1

@@ -317,19 +317,24 @@ def without(text: str, spans: list[dict]) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, number
 
 
-def kept_texts(rows: DataFrame, length: int, hot: int) -> tuple[DataFrame, DataFrame]:
-    """((digest, kept, n_removed, n_spans) of the texts in one row that lose bytes, (digest, copies) of the others)."""
+def kept_texts(rows: DataFrame, length: int, hot: int, as_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """((digest, kept, n_removed, n_spans) of the texts in one row that lose bytes, (digest, copies) of the others).
+
+    What is kept are bytes, or with ``as_text`` the characters that are left whole. These are made in the same step:
+    a second one would keep a second Python process per task alive, which later stages then use and fill as well.
+    """
     spans, copies = repeated_spans(rows, length, hot)
     spark = rows.sparkSession
     texts = rows.select("doc_id", F.unhex(F.md5("text")).alias("digest"), "text")
     once = texts.join(spans.join(copies, "digest", "left_anti"), "digest").select("digest", "text", "spans", "doc_id")  # the same columns as before: the texts' exchange is used again
-    schema = spark.createDataFrame([], "digest binary, kept binary, n_removed long, n_spans long").schema
+    schema = spark.createDataFrame([], f"digest binary, kept {'string' if as_text else 'binary'}, n_removed long, n_spans long").schema
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 kept, n, number = zip(*(without(t, s) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(number, pa.int64())], names=schema.names)
+                left = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), left, pa.array(n, pa.int64()), pa.array(number, pa.int64())], names=schema.names)
 
     return once.mapInArrow(removed, schema), copies
 
@@ -358,15 +363,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_co
     exact spelling, so others of like names stay as they are.
     """
     rows = texts_of(docs, id_col, text_col)
-    schema = docs.sparkSession.createDataFrame([], "digest binary, kept string").schema
-
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k.decode("utf-8", "ignore") for k in batch.column(1).to_pylist()], pa.string())], names=schema.names)
-
     with arrow_batches_of(docs.sparkSession, BATCH):
-        kept, copies = kept_texts(rows, length, hot)
-        changed = staged(kept.select("digest", "kept").mapInArrow(decoded, schema), "kept")
+        kept, copies = kept_texts(rows, length, hot, as_text=True)
+        changed = staged(kept.select("digest", "kept"), "kept")
     names = docs.columns
     plain = [f"c{i}" for i in range(len(names))]
     text = plain[names.index(text_col)]
