@@ -10,9 +10,10 @@ from frame_rows import rows
 from pyspark.sql import functions as F
 
 from tonearm import functions as fn
-from tonearm.operators import communities, graph, recommend, search, segments
+from tonearm.operators import communities, few_items, graph, recommend, search, segments
 from tonearm.plans import jobs
 from tonearm.schemas import COUNTS
+from tonearm.session import arrow_batches_of
 from tonearm.sources import sinks
 
 
@@ -71,6 +72,35 @@ def test_many_users_for_few_items_take_few_item_blocks(spark, monkeypatch):
         assert set(a) == set(b) and all(a[k] == pytest.approx(b[k], abs=1e-4) for k in a)
 
 
+@pytest.mark.parametrize("regularisation,block,batch", [(0.05, 1 << 17, 10_000), (0.0, 50, 20)])
+def test_few_items_are_fitted_without_sending_factors(spark, monkeypatch, regularisation, block, batch):
+    """MLlib gives the first factors only, and the factors are those of its own rounds; ratings may repeat, be null or not positive."""
+    rnd = random.Random(8)
+    data = [(u, i, rnd.random() * 5 - 0.5) for u in range(300) for i in range(30) if rnd.random() < (0.8 if u % 9 == 0 else 0.15)]
+    data += [*data[:40], (900, 77, -1.0), (7, 78, -2.0), (901, 3, 0.0), (None, 3, 2.0), (5, None, 2.0), (902, 4, 1e-3)]
+    entries = spark.createDataFrame(data, "user_idx long, item_idx long, weight double")
+    assert few_items.fits(2048, 64) and not few_items.fits(2049, 64) and not few_items.fits(0, 64)
+    monkeypatch.setattr(few_items, "BLOCK_RATINGS", block)
+    rounds, fit = [], recommend.ALS._fit
+    monkeypatch.setattr(recommend.ALS, "_fit", lambda self, df: rounds.append(self.getMaxIter()) or fit(self, df))
+    with arrow_batches_of(spark, batch):
+        new = recommend.train_model(entries, factors=8, iterations=3, blocks=5, regularisation=regularisation)
+    assert rounds == [0, 0], "the rounds are not MLlib's"
+    monkeypatch.setattr(few_items, "SYSTEMS_BYTES", 0)
+    old = recommend.train_model(entries, factors=8, iterations=3, blocks=5, regularisation=regularisation)
+    assert rounds == [0, 0, 3] and new.rank == old.rank == 8
+    for a, b in ((new.itemFactors, old.itemFactors), (new.userFactors, old.userFactors)):
+        a, b = ({r["id"]: list(r["features"]) for r in f.collect()} for f in (a, b))
+        assert set(a) == set(b) and all(a[k] == pytest.approx(b[k], abs=1e-5) for k in a)
+    assert {901, 900}.isdisjoint(r["id"] for r in new.userFactors.collect())
+
+
+def test_ratings_that_are_no_numbers_are_an_error(spark):
+    entries = spark.createDataFrame([(0, 0, 1.0), (1, 1, 2.0), (1, 0, float("nan"))], "user_idx long, item_idx long, weight double")
+    with pytest.raises(Exception, match="NaN|Infinity|ratings"):
+        recommend.train_model(entries, factors=2, iterations=1, blocks=2)
+
+
 def test_model_recovers_blocks_and_is_saved(spark, blocks, tmp_path):
     root = str(tmp_path)
     model, index = jobs.model_for(spark, blocks, root, factors=8, iterations=8)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_SEEDS
 from ..session import staged
+from . import few_items
 from .indexing import dense_index
 from .resolve import add_artist_names
 from .sets import head_per_group
@@ -107,14 +108,15 @@ def train_model(
     shared folder. ``blocks`` is the number of user blocks, and of item blocks
     at most; set it to the cores of the cluster. ``item_blocks`` says how many
     item blocks there are: a user's factors go to every one with an item of the user.
+    Where the systems of all items fit a task, ``few_items`` makes the same fit without sending users' factors.
     """
-    weighted = staged(weighted.select("user_idx", "item_idx", "weight"), "ratings")
-    positive = weighted.filter(F.col("weight") > 0)
-    weighted = weighted.join(positive.select("user_idx").distinct(), "user_idx", "left_semi").join(
-        positive.select("item_idx").distinct(), "item_idx", "left_semi"
-    )
-    width = blocks or weighted.sparkSession.sparkContext.defaultParallelism
-    users, items = positive.agg(F.approx_count_distinct("user_idx"), F.approx_count_distinct("item_idx")).first()
+    ratings = staged(weighted.select(F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("weight").cast("double")), "ratings")
+    width = blocks or ratings.sparkSession.sparkContext.defaultParallelism
+    liked = F.col("weight") > 0
+    odd = F.col("weight").isNull() | F.isnan("weight") | F.isnan(F.col("weight").cast("float") * 0.0)
+    users, items, odd_weights = ratings.agg(
+        F.approx_count_distinct(F.when(liked, F.col("user_idx"))), F.approx_count_distinct(F.when(liked, F.col("item_idx"))), F.count_if(odd)
+    ).first()
     als = ALS(
         rank=factors,
         regParam=regularisation,
@@ -133,10 +135,11 @@ def train_model(
         intermediateStorageLevel="MEMORY_AND_DISK",
         finalStorageLevel="MEMORY_AND_DISK",
     )
-    ratings = weighted.select(
-        F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("weight").cast("float")
-    )
-    return als.fit(ratings)
+    if iterations and not odd_weights and few_items.fits(items, factors):
+        return few_items.fit(als, ratings)
+    positive = ratings.filter(liked)
+    ratings = ratings.join(positive.select("user_idx").distinct(), "user_idx", "left_semi").join(positive.select("item_idx").distinct(), "item_idx", "left_semi")
+    return als.fit(ratings.select("user_idx", "item_idx", F.col("weight").cast("float")))
 
 
 def training_loss(model: ALSModel, weighted: DataFrame, alpha: float = ALPHA) -> DataFrame:
