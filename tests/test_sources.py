@@ -123,6 +123,47 @@ def test_recommendations_round_trip(spark, tmp_path):
     assert all((tmp_path / "recs" / f"source_artist_slug=Unknown_Artist-{i}").exists() for i in ("i4", "i5")), "a folder per seed, not per name"
 
 
+RECOMMENDED = "source_artist_id STRING, source_artist STRING, rank INT, artist_id STRING, artist_name STRING, similarity_score DOUBLE"
+ODD = [None, "", "  edges ", 'q"uo"te', "a,b", "line\nbreak", "cr\rx", "back\\slash", "end\\", "ünï 日本", "tab\there", "null", '"', "_u", "x\u0085y"]
+
+
+def _folders(path):
+    """Folder: the bytes of its files, hidden ones left out."""
+    return {d.name: [f.read_bytes() for f in d.iterdir() if not f.name.startswith(".")] for d in path.iterdir() if d.is_dir()}
+
+
+def test_local_folders_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    """Folders and files that the tasks make and read themselves, byte for byte and row for row, whatever is in names and values."""
+    seeds = [(chr(i) if i % 7 == 0 else f"id{chr(i)}", "!!") for i in range(1, 128)] + [(f"u{i}", x) for i, x in enumerate(ODD)]
+    data = [(a, n, r, ODD[(i + r) % len(ODD)], ODD[(3 * i + r) % len(ODD)], i * 10.0 ** (-4 * r)) for i, (a, n) in enumerate(seeds) for r in (2, 1, 3)]
+    recs = spark.createDataFrame(data, RECOMMENDED)
+    mine, theirs = tmp_path / "mine", tmp_path / "theirs"
+    sinks.write_recommendations(recs.limit(5), str(mine))
+    sinks.write_recommendations(recs, str(mine))
+    read = results.read_recommendations(spark, str(mine))
+    assert not list(mine.rglob(".*")) and (mine / "_SUCCESS").exists(), "no file but the tasks' own, and none of the run before"
+    assert "FileScan" not in read._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sinks, "local_path", lambda *given: None)
+    monkeypatch.setattr(results, "local_path", lambda *given: None)
+    sinks.write_recommendations(recs, str(theirs))
+    assert _folders(mine) == _folders(theirs) and len(_folders(mine)) > 130
+    expected = spark.read.schema(read.schema).option("header", True).csv(str(theirs)).select(*read.columns)
+    assert rows(read) == rows(expected) == rows(results.read_recommendations(spark, str(mine))) == rows(results.read_recommendations(spark, str(theirs)))
+
+
+def test_folders_stay_as_they_are_when_a_task_fails(spark, tmp_path):
+    path = tmp_path / "recs"
+    good = spark.createDataFrame([("i1", "A", 1, "i1", "A", 1.0)], RECOMMENDED)
+    sinks.write_recommendations(good, str(path))
+    with pytest.raises(Exception, match="on purpose"):
+        sinks.write_recommendations(good.withColumn("artist_name", F.raise_error(F.lit("on purpose"))), str(path))
+    assert rows(results.read_recommendations(spark, str(path))) == [("i1", "A", 1, "i1", "A", 1.0)] and len(list(tmp_path.iterdir())) == 1
+    sinks.write_recommendations(good.filter("false"), f"file:{path}")
+    assert results.read_recommendations(spark, str(path)).count() == 0 and [f.name for f in path.iterdir()] == ["_SUCCESS"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        results.read_recommendations(spark, str(tmp_path / "none"))
+
+
 def test_csv_line_breaks_and_failures(spark, tmp_path):
     file = tmp_path / "names.csv"
     file.write_text('id,name\n1,"a\nb, ""c"""\nx,plain\n,"last\n\n"\n')
