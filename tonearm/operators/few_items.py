@@ -15,7 +15,8 @@ from ..session import arrow_batches_of, discard, scratch_path, staged
 # A task holds the systems of all items at once: 64 MB are 2,048 items of 64 factors.
 SYSTEMS_BYTES = 64 << 20
 
-# Ratings that are worked on together, and those that are gathered at once.
+# Ratings that a task sorts and packs, those that are worked on together, and those that are gathered at once.
+TASK_RATINGS = 4_000_000
 BLOCK_RATINGS = 1 << 17
 GATHERED_RATINGS = 1 << 12
 
@@ -216,7 +217,7 @@ def _user_factors(rank: int, alpha: float, factors: np.ndarray, regularisation:
     return run
 
 
-def fit(als: ALS, ratings: DataFrame) -> ALSModel:
+def fit(als: ALS, ratings: DataFrame, n_ratings: int) -> ALSModel:
     """The model that ``als.fit`` gives for implicit ``ratings`` of (user_idx int, item_idx int, weight double), by other means.
 
     Ratings of a null index, and those of users or items without a positive weight, stay out of the fit. The first factors of
@@ -236,7 +237,9 @@ def fit(als: ALS, ratings: DataFrame) -> ALSModel:
     started = als.copy({als.maxIter: 0, als.numItemBlocks: 1, als.finalStorageLevel: "NONE"}).fit(users).userFactors
     rows = ratings.select("user_idx", "item_idx", "weight", F.lit(None).cast("array<float>").alias("first")).filter("user_idx is not null and item_idx is not null")
     rows = rows.unionByName(started.select(F.col("id").alias("user_idx"), F.lit(0).alias("item_idx"), F.lit(None).cast("double").alias("weight"), F.col("features").alias("first")))
-    sorted_rows = rows.repartition("user_idx").sortWithinPartitions("user_idx")
+    # Equal shares of a whole number per core, so that no round waits for a last task.
+    shares = width * -(-n_ratings // (width * TASK_RATINGS))
+    sorted_rows = rows.repartition(shares, "user_idx").sortWithinPartitions("user_idx")
     packed = staged(sorted_rows.mapInArrow(_pack(items, rank), _PACKED), "packed")
 
     factors = None

@@ -114,8 +114,8 @@ def train_model(
     width = blocks or ratings.sparkSession.sparkContext.defaultParallelism
     liked = F.col("weight") > 0
     odd = F.col("weight").isNull() | F.isnan("weight") | F.isnan(F.col("weight").cast("float") * 0.0)
-    users, items, odd_weights = ratings.agg(
-        F.approx_count_distinct(F.when(liked, F.col("user_idx"))), F.approx_count_distinct(F.when(liked, F.col("item_idx"))), F.count_if(odd)
+    users, items, odd_weights, n_ratings = ratings.agg(
+        F.approx_count_distinct(F.when(liked, F.col("user_idx"))), F.approx_count_distinct(F.when(liked, F.col("item_idx"))), F.count_if(odd), F.count(F.lit(1))
     ).first()
     als = ALS(
         rank=factors,
@@ -136,7 +136,7 @@ def train_model(
         finalStorageLevel="MEMORY_AND_DISK",
     )
     if iterations and not odd_weights and few_items.fits(items, factors):
-        return few_items.fit(als, ratings)
+        return few_items.fit(als, ratings, n_ratings)
     positive = ratings.filter(liked)
     ratings = ratings.join(positive.select("user_idx").distinct(), "user_idx", "left_semi").join(positive.select("item_idx").distinct(), "item_idx", "left_semi")
     return als.fit(ratings.select("user_idx", "item_idx", F.col("weight").cast("float")))
